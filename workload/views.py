@@ -68,3 +68,102 @@ def stores(spark, sf_dir) -> DataFrame:
             F.col("r_name").alias("region"),
         )
     )
+
+
+def checkouts(spark, sf_dir) -> DataFrame:
+    """The events as checkouts at 50 stores: errors are manual overrides, clicks carry a promo code."""
+    e = table(spark, sf_dir, "events")
+    amount = F.col("value").cast("decimal(18,2)")
+    return e.select(
+        F.concat(F.lit("TXN-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        store_of(F.col("user_id") % 50).alias("store_id"),
+        cashier_of("user_id").alias("cashier_id"),
+        F.col("event_type").alias("payment_method"),
+        amount.alias("subtotal_amount"),
+        (amount * quantity() / 100).cast("decimal(18,4)").alias("discount_amount"),
+        F.when(F.col("event_type") == "click", F.lit("PROMO")).alias("promo_code_applied"),
+        (F.col("event_type") == "error").alias("manual_discount_flag"),
+    )
+
+
+def alerts(spark, sf_dir) -> DataFrame:
+    """Error and click events as the two kinds of alert."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "click"))
+    anomaly = F.col("event_type") == "error"
+    return e.select(
+        F.concat(F.when(anomaly, "ALT-ANOMALY-").otherwise("ALT-ABUSE-"), F.col("event_id").cast("string")).alias("alert_id"),
+        store_of(F.col("user_id") % 50).alias("store_id"),
+        F.when(anomaly, "order_anomaly").otherwise("cashier_promo_abuse").alias("alert_type"),
+        F.when(anomaly, "order_anomaly_model").otherwise("cashier_abuse_model").alias("alert_source"),
+        F.concat(F.lit("TXN-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        cashier_of("user_id").alias("cashier_id"),
+        (quantity() / 100).alias("discount_pct"),
+        F.round(F.col("value") / (F.col("value") + 100.0), 6).alias("risk_score"),
+        F.col("ts").cast("timestamp").alias("alert_ts"),
+    )
+
+
+def order_lines(spark, sf_dir) -> DataFrame:
+    """Deduplicated order lines with their order's date and customer."""
+    from aislewise.operators.dedup import latest_per_key
+
+    line = latest_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    order = table(spark, sf_dir, "orders")
+    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").alias("transaction_id"),
+        F.col("l_linenumber").alias("line_seq"),
+        F.col("o_custkey").alias("customer_id"),
+        F.to_date("o_orderdate").alias("business_date"),
+        store_of("l_suppkey").alias("store_id"),
+        F.col("l_partkey").alias("item_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("extended_price"),
+        F.col("l_discount").cast("decimal(6,2)").alias("discount_rate"),
+        F.col("l_tax").cast("decimal(6,2)").alias("tax_rate"),
+    )
+
+
+def transactions(spark, sf_dir) -> DataFrame:
+    """Gold checkouts: every order with its customer's nation as the store."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("transaction_id"),
+        F.to_date("o_orderdate").alias("business_date"),
+        store_of("c_nationkey").alias("store_id"),
+        F.col("o_orderpriority").alias("payment_method"),
+        F.col("o_totalprice").alias("total"),
+    )
+
+
+def gold_checkouts(spark, sf_dir) -> DataFrame:
+    """Order totals built from their lines, with the identity total = subtotal - discount + tax."""
+    price, cut, tax = F.col("extended_price"), F.col("discount_rate"), F.col("tax_rate")
+    per_line = order_lines(spark, sf_dir).select(
+        "transaction_id",
+        "customer_id",
+        "business_date",
+        "quantity",
+        price.alias("sub"),
+        (price * cut).alias("cut"),
+        ((price - price * cut) * tax).alias("tax"),
+    )
+    sums = per_line.groupBy("transaction_id", "customer_id", "business_date").agg(
+        F.count(F.lit(1)).alias("item_count"),
+        F.sum("quantity").cast("long").alias("total_quantity"),
+        F.sum("sub").cast("decimal(38,9)").alias("subtotal_amount"),
+        F.sum("cut").cast("decimal(38,9)").alias("discount"),
+        F.sum("tax").cast("decimal(38,9)").alias("tax_amount"),
+    )
+    return sums.withColumn("total", F.col("subtotal_amount") - F.col("discount") + F.col("tax_amount"))
+
+
+def policies(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_size").cast("long").alias("warranty_duration_months"),
+        F.col("p_type").alias("service_level"),
+        F.col("p_retailprice").alias("retail_price_usd"),
+    )
