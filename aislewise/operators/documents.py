@@ -155,13 +155,16 @@ PRODUCT_CATEGORIES = {
 }
 
 
+def _among(vocabulary: Sequence[str]) -> Callable[[Column], Column]:
+    return lambda w: w.isin(*vocabulary)
+
+
 def classify(df: DataFrame, text: str, categories: Mapping[str, Sequence[str]], abstain: str = "UNCLASSIFIED") -> DataFrame:
     """The category whose words occur most; ties go to the one listed first, no word at all abstains."""
     bag = words(F.col(text))
     scores = []
     for n, (name, vocabulary) in enumerate(categories.items()):
-        known = F.array(*[F.lit(w) for w in vocabulary])
-        hits = F.size(F.filter(F.col("_words"), lambda w, k=known: F.array_contains(k, w)))
+        hits = F.size(F.filter(F.col("_words"), _among(vocabulary)))
         scores.append(F.struct(hits.alias("score"), F.lit(-n).alias("rank"), F.lit(name).alias("name")))
     best = F.array_max(F.array(*scores))
     return (

@@ -185,11 +185,19 @@ def text_matches(queries: DataFrame, chunk_table: DataFrame, document: str) -> D
     phrase = asked.filter(F.col("_code").isNull()).withColumn("_words", words(F.col("query")))
     longest = F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     phrase = phrase.filter(F.size("_words") > 0).select("query_id", longest.alias("_anchor"), _spaced(F.col("_words")).alias("_phrase"))
-    bag = words(F.col("chunk_content"))
-    text = chunk_table.select(document, "chunk_index", bag.alias("_bag")).select(
-        document, "chunk_index", _spaced(F.col("_bag")).alias("_line"), F.explode(F.array_distinct("_bag")).alias("_anchor")
+    # Chunks that hold the question's longest word, by key only; their text joins after that.
+    anchors = chunk_table.select(
+        document, "chunk_index", F.explode(F.array_distinct(words(F.col("chunk_content")))).alias("_anchor")
+    )
+    lines = chunk_table.select(document, "chunk_index", _spaced(words(F.col("chunk_content"))).alias("_line"))
+    by_phrase = (
+        anchors.join(phrase, "_anchor")
+        .drop("_anchor")
+        .join(lines, [document, "chunk_index"])
+        .filter(F.contains("_line", "_phrase"))
+        .groupBy("query_id")
+        .agg(place)
     )
-    by_phrase = text.join(phrase, "_anchor").filter(F.contains("_line", "_phrase")).groupBy("query_id").agg(place)
     return by_code.unionByName(by_phrase).select(
         "query_id", F.col("place.doc").alias(document), F.col("place.at").alias("chunk_index")
     )
