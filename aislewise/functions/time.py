@@ -36,13 +36,13 @@ def within_days(ts: Column, as_of: Column, days: int) -> Column:
     return ts >= as_of - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
-def date_range(col: Column, start: str | None, until: str | None) -> Column:
+def date_range(col: Column, start: str | None, until: str | None, kind: str = "date") -> Column:
     """Inclusive range; a missing end, or the word ``all``, leaves that side open."""
     keep = F.lit(True)
     if start:
-        keep = keep & (col >= F.lit(start).cast("date"))
+        keep = keep & (col >= F.lit(start).cast(kind))
     if until and until.lower() != "all":
-        keep = keep & (col <= F.lit(until).cast("date"))
+        keep = keep & (col <= F.lit(until).cast(kind))
     return keep
 
 

@@ -59,9 +59,15 @@ def read_sources(
     start_date: str | None = None,
     until_date: str | None = None,
 ) -> Sources:
-    """The three inputs of the nightly ledger; only the sales are limited by date."""
+    """The three inputs of the nightly ledger; only the sales are limited by date.
+
+    ISO text sorts like the date it spells, so the range is compared in the column's own type and stays a
+    partition or row-group filter.
+    """
+    sales = read_table(spark, pos)
+    kind = sales.schema["business_date"].dataType.simpleString()
     return Sources(
-        read_table(spark, pos, where=date_range(F.col("business_date").try_cast("date"), start_date, until_date)),
+        sales.filter(date_range(F.col("business_date"), start_date, until_date, kind)),
         read_table(spark, inventory),
         read_table(spark, stores),
     )

@@ -71,8 +71,11 @@ def stores(spark, sf_dir) -> DataFrame:
 
 
 def checkouts(spark, sf_dir) -> DataFrame:
+    return as_checkouts(table(spark, sf_dir, "events"))
+
+
+def as_checkouts(e: DataFrame) -> DataFrame:
     """The events as checkouts at 50 stores: errors are manual overrides, clicks carry a promo code."""
-    e = table(spark, sf_dir, "events")
     amount = F.col("value").cast("decimal(18,2)")
     return e.select(
         F.concat(F.lit("TXN-"), F.col("event_id").cast("string")).alias("transaction_id"),
