@@ -52,7 +52,7 @@ def require_partition_filter(df: DataFrame, column: str, exempt: Iterable[str] =
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """Estimated bytes of the plan's leaves after pruning."""
+    """Estimated bytes of the plan's inputs: catalog tables after partition pruning, bare paths before it."""
     text = plan_text(df, "cost").split("== Physical Plan ==")[0].split("== Optimized Logical Plan ==")[1]
     total = 0
     for line in text.splitlines():

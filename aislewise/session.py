@@ -35,18 +35,19 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster such a folder would
     exist on one machine only.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="aislewise-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aislewise-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, so a lost executor does not replay the whole plan."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()

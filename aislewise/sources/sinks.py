@@ -24,14 +24,14 @@ def _measures(columns: Sequence[str]) -> list[Column]:
 def write_dated(df: DataFrame, path: str, by: str = "business_date", order: Sequence[str] = (), mode: str = "overwrite") -> dict:
     """Write a table partitioned by day and sorted for skipping; returns its row count and checksum.
 
-    Only the days present are replaced, so running a day again is safe. Rows are spread by range over day
-    and sort columns together: a day that holds a third of the table is written by many tasks. Count and
-    checksum are taken by the writing job itself.
+    Only the days present are replaced, so running a day again is safe. Rows are brought together by day and
+    rebalanced by size: a day that holds a third of the table is written by many tasks. Count and checksum
+    are taken in the writing stage, whose tasks Spark counts once even when they run again.
     """
     seen = Observation()
-    watched = df.observe(seen, *_measures(sorted(df.columns)))
-    laid_out = watched.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
-    laid_out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    laid_out = df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *order)
+    watched = laid_out.observe(seen, *_measures(sorted(df.columns)))
+    watched.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     return seen.get
 
 

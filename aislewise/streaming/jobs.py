@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aislewise.functions.keys import salt_bucket
@@ -18,6 +19,9 @@ from aislewise.sources.streams import table_changes
 from aislewise.streaming import events, scoring, windows
 
 
+PANE_PARTITIONS = T.StructType([T.StructField("pane_hour", T.StringType()), T.StructField("batch_id", T.LongType())])
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the streams write; all folders are shared by the executors."""
@@ -70,8 +74,9 @@ def _recent_panes(spark: SparkSession, lake: Lake, fresh: DataFrame, batch_id: i
     first, last = fresh.agg(F.min("pane_end"), F.max("pane_end")).first()
     if first is None:
         return None
+    columns = T.StructType([*fresh.schema.fields, *PANE_PARTITIONS.fields])
     try:
-        stored = spark.read.schema(fresh.schema.add("pane_hour", "string").add("batch_id", "long")).parquet(lake.path("panes"))
+        stored = spark.read.schema(columns).parquet(lake.path("panes"))
     except Exception as e:  # noqa: BLE001 - the first batch has no table yet
         if "PATH_NOT_FOUND" in str(e):
             return None
@@ -104,10 +109,11 @@ def cashier_watch(
             rolled = windows.rolling_from_panes(known).join(new_ends, [*windows.KEYS, "window_end"], "left_semi")
             scored = windows.serving_rows(scoring.score_cashiers(rolled, scorer)).persist()
             try:
-                hour = F.date_format("pane_end", "yyyy-MM-dd-HH")
-                write_batch(fresh.withColumn("pane_hour", hour), lake.path("panes"), batch_id, ("pane_hour",))
                 write_batch(scored.withColumn("salt", salt_bucket(F.col("cashier_id"))), lake.path("serving"), batch_id, ("salt",))
                 write_batch(scoring.abuse_alerts(scored), lake.path("alerts"), batch_id)
+                # Last: a write to the pane table makes Spark read it again for whatever is cached from it.
+                hour = F.date_format("pane_end", "yyyy-MM-dd-HH")
+                write_batch(fresh.withColumn("pane_hour", hour), lake.path("panes"), batch_id, ("pane_hour",))
             finally:
                 scored.unpersist()
         finally:
