@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +25,7 @@ DIMENSIONS = 256
 # Ranks compare distances at nine digits, so equal texts tie whatever the order of additions.
 RANK_DIGITS = 9
 BROADCAST_BYTES = 64 << 20
+PRODUCT_CELLS = 4 << 20
 
 
 def token_buckets(text: Column) -> Column:
@@ -32,14 +33,16 @@ def token_buckets(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 2), 16, 10).cast("int"))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _unit_counts(buckets: pd.Series) -> pd.Series:
-    def one(values):
-        counts = np.bincount(np.asarray(values, dtype=np.int64), minlength=DIMENSIONS).astype(float)
-        length = np.linalg.norm(counts)
-        return counts / length if length else counts
-
-    return buckets.map(one, na_action="ignore")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def _unit_counts(buckets: pa.Array) -> pa.Array:
+    lengths = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(buckets)), lengths)
+    cell = row * DIMENSIONS + buckets.flatten().to_numpy(zero_copy_only=False)
+    counts = np.bincount(cell, minlength=len(buckets) * DIMENSIONS).reshape(-1, DIMENSIONS).astype(float)
+    length = np.linalg.norm(counts, axis=1, keepdims=True)
+    unit = np.divide(counts, length, out=counts, where=length > 0)
+    offsets = pa.array(np.arange(len(buckets) + 1, dtype=np.int32) * DIMENSIONS)
+    return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=buckets.is_null())
 
 
 def hashed_embedding(text: Column) -> Column:
@@ -74,23 +77,28 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 def _scorer(ids: pa.Array, matrix: np.ndarray, keys: Sequence[str], vector: str, top_k: int):
     """Per Arrow batch: all similarities in one product, then each query's best rows of the batch.
 
-    Rows level with the k-th best stay in, so the ranking that follows sees every tie.
+    Rows level with the k-th best stay in, so the ranking that follows sees every tie. Large batches are
+    cut so that one product stays within a few million cells.
     """
+    step = max(1, PRODUCT_CELLS // max(1, len(ids)))
+
+    def best(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = batch.column(vector).flatten().to_numpy(zero_copy_only=False).astype(float)
+        similarity = matrix @ _unit_rows(values.reshape(batch.num_rows, -1)).T
+        similarity = np.nan_to_num(similarity, nan=-np.inf)
+        k = min(top_k, batch.num_rows)
+        floor = np.partition(similarity, batch.num_rows - k, axis=1)[:, batch.num_rows - k]
+        q, r = np.nonzero((similarity >= floor[:, None] - 10.0**-RANK_DIGITS) & np.isfinite(similarity))
+        rows = pa.array(r)
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(q)), *[batch.column(c).take(rows) for c in keys], pa.array(similarity[q, r])],
+            names=["query_id", *keys, "similarity"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = batch.column(vector).flatten().to_numpy(zero_copy_only=False).astype(float)
-            similarity = matrix @ _unit_rows(values.reshape(batch.num_rows, -1)).T
-            similarity = np.nan_to_num(similarity, nan=-np.inf)
-            k = min(top_k, batch.num_rows)
-            floor = np.partition(similarity, batch.num_rows - k, axis=1)[:, batch.num_rows - k]
-            q, r = np.nonzero((similarity >= floor[:, None] - 10.0**-RANK_DIGITS) & np.isfinite(similarity))
-            rows = pa.array(r)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(q)), *[batch.column(c).take(rows) for c in keys], pa.array(similarity[q, r])],
-                names=["query_id", *keys, "similarity"],
-            )
+            for start in range(0, batch.num_rows, step):
+                yield best(batch.slice(start, step))
 
     return run
 

@@ -35,6 +35,9 @@ def panes(events: DataFrame) -> DataFrame:
     )
 
 
+_MEASURES = ("txn_count", "override_count", "promo_count", "discount_sum", "share_sum")
+
+
 def _totals(over=None) -> dict[str, Column]:
     def total(c):
         return c if over is None else c.over(over)
@@ -64,17 +67,59 @@ def _finish(df: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def sliding_metrics(events: DataFrame) -> DataFrame:
-    """Every one-hour window, advanced by ten seconds, that holds an event: one row per store and cashier.
+def sliding_runs(events: DataFrame) -> DataFrame:
+    """All one-hour windows, advanced by ten seconds, as runs of windows with the same content.
 
-    Written with a sequence of window ends: a sliding ``window`` with 360 overlaps becomes 360
-    projections in one stage, too much for code generation.
+    A window's content changes only where a pane enters or leaves. Each pane becomes an entry and an exit,
+    and running totals over those give the runs, so three rows per pane are shuffled and not one per
+    window. Totals run inside one store, cashier and hour; a pane still open at an hour's start enters
+    there again, so no register's history has to fit one task.
     """
-    first = F.col("pane.end")
-    last = first + F.expr(f"INTERVAL {SPAN_SECONDS - PANE_SECONDS} SECONDS")
-    ends = F.explode(F.sequence(first, last, F.expr(f"INTERVAL {PANE_SECONDS} SECONDS")))
-    copies = panes(events).withColumn("window_end", ends)
-    return _finish(copies.groupBy(*KEYS, "window_end").agg(*[c.alias(n) for n, c in _totals().items()]), "window_end")
+    hour_of = F.floor(F.col("start") / SPAN_SECONDS)
+    pane_rows = (
+        panes(events).withColumn("start", F.unix_seconds("pane.end")).withColumn("first_hour", hour_of).drop("pane")
+    )
+    next_hour = F.col("first_hour") + 1
+    moves = F.array(
+        _move(F.col("first_hour"), F.col("start"), 1),
+        _move(next_hour, next_hour * SPAN_SECONDS, 1),
+        _move(next_hour, F.col("start") + SPAN_SECONDS, -1),
+    )
+    change = pane_rows.select(*KEYS, *_MEASURES, "last_event_ts", F.inline(moves)).repartition(*KEYS, "hour")
+    deltas = change.groupBy(*KEYS, "hour", "at").agg(
+        *[F.sum(F.col(c) * F.col("sign")).alias(c) for c in _MEASURES],
+        F.max(F.when(F.col("sign") > 0, F.col("last_event_ts"))).alias("last_event_ts"),
+    )
+    ordered = Window.partitionBy(*KEYS, "hour").orderBy("at")
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = (
+        deltas.withColumn("until", F.coalesce(F.lead("at").over(ordered), (F.col("hour") + 1) * SPAN_SECONDS))
+        .withColumns({f"w_{n}": c for n, c in _totals(running).items()})
+        .filter((F.col("w_cashier_1h_txn_count") > 0) & (F.col("until") > F.col("at")))
+    )
+    return _finish(
+        runs.select(
+            *KEYS,
+            F.timestamp_seconds("at").alias("first_window_end"),
+            ((F.col("until") - F.col("at")) / PANE_SECONDS).cast("long").alias("n_windows"),
+            *[F.col(f"w_{n}").alias(n) for n in _totals()],
+        ),
+        "first_window_end",
+        "n_windows",
+    )
+
+
+def _move(hour: Column, at: Column, sign: int) -> Column:
+    return F.struct(hour.alias("hour"), at.alias("at"), F.lit(sign).alias("sign"))
+
+
+def sliding_metrics(events: DataFrame) -> DataFrame:
+    """Every one-hour window, advanced by ten seconds, that holds an event: one row per store and cashier."""
+    runs = sliding_runs(events)
+    last = F.col("first_window_end") + F.make_dt_interval(secs=(F.col("n_windows") - 1) * PANE_SECONDS)
+    ends = F.explode(F.sequence("first_window_end", last, F.expr(f"INTERVAL {PANE_SECONDS} SECONDS")))
+    carried = [c for c in runs.columns if c not in ("first_window_end", "n_windows")]
+    return runs.select(ends.alias("window_end"), *carried)
 
 
 def rolling_metrics(events: DataFrame) -> DataFrame:
@@ -132,10 +177,10 @@ def serving_rows(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("row_key", serving_key(F.col("store_id"), F.col("cashier_id"), F.col("last_event_ts")))
 
 
-def peaks(windows: DataFrame) -> DataFrame:
-    """Each cashier's busiest and most overridden window."""
-    return windows.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("windows"),
+def peaks(runs: DataFrame) -> DataFrame:
+    """How many windows each cashier has, and the highest of each metric among them."""
+    return runs.groupBy(*KEYS).agg(
+        F.sum("n_windows").alias("windows"),
         F.max("cashier_1h_txn_count").alias("peak_txn_count"),
         F.max("cashier_1h_manual_override_count").alias("peak_override_count"),
         F.max("cashier_1h_total_discount_usd").alias("peak_discount_usd"),

@@ -50,7 +50,7 @@ top3 AS (
 
 
 def chunk_table(spark, sf_dir):
-    return D.chunks(V.table(spark, sf_dir, "documents"), "text", ["doc_id", "source"])
+    return D.chunks(V.texts(spark, sf_dir, "documents", "doc_id"), "text", ["doc_id", "source"])
 
 
 def embedded_chunks(spark, sf_dir):

@@ -10,6 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A text table, spread over the cores when it is a single file: that file has one row group."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def store_of(col: str | Column) -> Column:
     return F.format_string("STORE_%03d", F.col(col) if isinstance(col, str) else col)
 
