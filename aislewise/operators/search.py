@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from aislewise.functions.text import CODE_PATTERN, first_match
 from aislewise.operators.dedup import top_per_key
 from aislewise.operators.documents import words
+from aislewise.session import cut_lineage
 
 # The gate, and the score a text match is given.
 SIMILARITY_THRESHOLD = 0.70
@@ -81,6 +82,7 @@ def _scorer(ids: pa.Array, matrix: np.ndarray, keys: Sequence[str], vector: str,
     cut so that one product stays within a few million cells.
     """
     step = max(1, PRODUCT_CELLS // max(1, len(ids)))
+    empty = not len(ids)
 
     def best(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = batch.column(vector).flatten().to_numpy(zero_copy_only=False).astype(float)
@@ -97,7 +99,7 @@ def _scorer(ids: pa.Array, matrix: np.ndarray, keys: Sequence[str], vector: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, step):
+            for start in range(0, 0 if empty else batch.num_rows, step):
                 yield best(batch.slice(start, step))
 
     return run
@@ -116,34 +118,40 @@ def vector_search(
 
     The corpus is scanned where it lies and only each task's best rows are shuffled. Query vectors go to
     every task, but never more than ``broadcast_bytes`` of them at once: a larger query set is split into
-    blocks by its key, one corpus scan per block.
+    blocks by its key. Each block is one corpus scan whose ranking is checkpointed before the next block
+    is sent, so neither the driver nor a task ever holds more than one.
     """
     spark = corpus.sparkSession
     asked = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"))
     n, width = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     width = width or 0
-    blocks = max(1, math.ceil(2 * n * max(width, 1) * 8 / broadcast_bytes)) if n * width * 8 > broadcast_bytes else 1
+    size = n * width * 8
+    blocks = 1 if size <= broadcast_bytes else math.ceil(2 * size / broadcast_bytes)
     pool = corpus.filter(F.size(vector) == width).select(*keys, vector)
     schema = T.StructType(
         [asked.schema["query_id"], *[corpus.schema[k] for k in keys], T.StructField("similarity", T.DoubleType())]
     )
-    found = []
-    for b in range(blocks):
-        part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
+
+    def ranked(part: DataFrame):
         rows = part.toArrow()
         matrix = _unit_rows(np.array(rows.column("v").to_pylist(), dtype=float).reshape(rows.num_rows, width))
         sent = spark.sparkContext.broadcast((rows.column("query_id").combine_chunks(), matrix))
 
-        def search(batches, sent=sent):
+        def search(batches):
             return _scorer(*sent.value, keys, vector, top_k)(batches)
 
-        if rows.num_rows:
-            found.append(pool.mapInArrow(search, schema))
-    if not found:
-        found = [pool.limit(0).select(F.lit(None).cast(schema["query_id"].dataType).alias("query_id"), *keys, F.lit(None).cast("double").alias("similarity"))]
-    scored = reduce(DataFrame.unionByName, found).withColumn("distance", F.round(1.0 - F.col("similarity"), RANK_DIGITS))
-    ranked = top_per_key(scored, ["query_id"], ["distance", *keys], top_k)
-    return ranked.withColumn("similarity_score", F.round(1.0 - F.col("distance"), 4)).drop("similarity")
+        hits = pool.mapInArrow(search, schema).withColumn("distance", F.round(1.0 - F.col("similarity"), RANK_DIGITS))
+        best = top_per_key(hits, ["query_id"], ["distance", *keys], top_k)
+        return best.withColumn("similarity_score", F.round(1.0 - F.col("distance"), 4)).drop("similarity"), sent
+
+    if blocks == 1:
+        return ranked(asked)[0]
+    found = []
+    for b in range(blocks):
+        best, sent = ranked(asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b))
+        found.append(cut_lineage(best))
+        sent.unpersist()
+    return reduce(DataFrame.unionByName, found)
 
 
 def stitch(matches: DataFrame, chunk_table: DataFrame, document: str, keys: Sequence[str], radius: int = 1, separator: str = "\n") -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-AREAS = ("ledger_queries", "sales_queries", "stream_queries", "graph_queries", "document_queries", "quality_queries", "governance_queries")
+AREAS = ("ledger_queries", "sales_queries", "stream_queries", "graph_queries", "document_queries", "quality_queries", "governance_queries", "key_queries")
 
 
 def load_all() -> None:
