@@ -24,9 +24,9 @@ def file_stem(uri: Column, extension: str = "pdf") -> Column:
     return first_match(uri, rf"([^/]+)\.{extension}$")
 
 
-def https_link(uri: Column, host: str = "https://storage.cloud.google.com/") -> Column:
-    """Object-store address to a clickable link; any other address stays as it is."""
-    return F.regexp_replace(uri, "^gs://", host)
+def https_link(uri: Column, host: str, scheme: str = "gs://") -> Column:
+    """Object-store address to a clickable link on ``host``; any other address stays as it is."""
+    return F.regexp_replace(uri, f"^{scheme}", f"{host.rstrip('/')}/")
 
 
 def search_token(query: Column) -> Column:

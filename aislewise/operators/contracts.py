@@ -139,7 +139,7 @@ def silver_rules() -> list[Rule]:
     return [
         holds("cashier_id_not_null", "completeness", F.col("cashier_id").isNotNull()),
         holds("event_timestamp_parseable", "validity", event_time("event_timestamp").isNotNull()),
-        holds("cashier_id_consistent_with_gcp_alerts", "consistency", F.col("cashier_id").rlike("^CASH_[0-9]+$")),
+        holds("cashier_id_consistent_with_alerts", "consistency", F.col("cashier_id").rlike("^CASH_[0-9]+$")),
         holds("transaction_id_not_null", "completeness", F.col("transaction_id").isNotNull()),
         Rule("transaction_id_unique", "uniqueness", unique=("transaction_id",)),
         holds("total_amount_usd_non_negative", "validity", F.col("total_amount_usd") >= 0),

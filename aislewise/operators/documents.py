@@ -99,39 +99,31 @@ def assemble(parts: Sequence[tuple[str, str]]) -> Column:
     return F.concat(*pieces)
 
 
-def _lines(parts: Sequence[tuple[str, str]], between: str) -> list[tuple[str, str]]:
-    return [(label if i == 0 else between + label, name) for i, (label, name) in enumerate(parts)]
+# The layout of a certificate as one document.
+CERTIFICATE_LAYOUT = (
+    ("SOURCE FILE: ", "source_pdf_uri"),
+    ("\nPRODUCT ID: ", "product_id"),
+    ("\nPRODUCT NAME: ", "product_name"),
+    ("\nBRAND: ", "brand"),
+    ("\nCATEGORY: ", "category"),
+    ("\nRETAIL PRICE USD: $", "retail_price_usd"),
+    ("\nWARRANTY DURATION: ", "warranty_duration_months"),
+    (" Months\nWARRANTY START: ", "warranty_start"),
+    ("\nCOVERAGE TYPE: ", "coverage_type"),
+    ("\nSERVICE LEVEL: ", "service_level"),
+    ("\nSERVICE REGION: ", "service_region"),
+    ("\n\n### SECTION 1: WARRANTY COVERAGE & PROTECTION TERMS\n", "coverage_scope_details"),
+    ("\n\n### SECTION 2: EXCLUSIONS & OPERATING LIMITATIONS\n", "exclusions_and_limitations"),
+    ("\n\n### SECTION 3: OFFICIAL AUTHORIZED RETAILER GUARANTEE & SEAL\n", "official_retailer_guarantee_and_sla"),
+    ("\n\n### SUPPORT, CLAIMS & STATUTORY RIGHTS\n", "support_and_claims_process"),
+    ("\nSUPPORT URL: ", "support_url"),
+    ("\nSUPPORT EMAIL: ", "support_email"),
+    ("\n\n### FULL EXTRACTED TEXT TRANSCRIPTION\n", "extracted_full_text"),
+)
 
 
 def certificate_text() -> Column:
-    """A certificate as one document: header lines, three sections, support, full text."""
-    header = _lines(
-        [
-            ("SOURCE FILE: ", "source_pdf_uri"),
-            ("PRODUCT ID: ", "product_id"),
-            ("PRODUCT NAME: ", "product_name"),
-            ("BRAND: ", "brand"),
-            ("CATEGORY: ", "category"),
-            ("RETAIL PRICE USD: $", "retail_price_usd"),
-            ("WARRANTY DURATION: ", "warranty_duration_months"),
-            (" Months\nWARRANTY START: ", "warranty_start"),
-            ("COVERAGE TYPE: ", "coverage_type"),
-            ("SERVICE LEVEL: ", "service_level"),
-            ("SERVICE REGION: ", "service_region"),
-        ],
-        "\n",
-    )
-    header = [(label.replace("\n Months", " Months"), name) for label, name in header]
-    body = [
-        ("\n\n### SECTION 1: WARRANTY COVERAGE & PROTECTION TERMS\n", "coverage_scope_details"),
-        ("\n\n### SECTION 2: EXCLUSIONS & OPERATING LIMITATIONS\n", "exclusions_and_limitations"),
-        ("\n\n### SECTION 3: OFFICIAL AUTHORIZED RETAILER GUARANTEE & SEAL\n", "official_retailer_guarantee_and_sla"),
-        ("\n\n### SUPPORT, CLAIMS & STATUTORY RIGHTS\n", "support_and_claims_process"),
-        ("\nSUPPORT URL: ", "support_url"),
-        ("\nSUPPORT EMAIL: ", "support_email"),
-        ("\n\n### FULL EXTRACTED TEXT TRANSCRIPTION\n", "extracted_full_text"),
-    ]
-    return assemble(header + body)
+    return assemble(CERTIFICATE_LAYOUT)
 
 
 def policy_test(text: Column, include: Sequence[str], exclude: Sequence[str] = ()) -> Column:

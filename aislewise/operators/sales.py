@@ -56,17 +56,6 @@ def promo_alert_rate(alerts: DataFrame) -> DataFrame:
     )
 
 
-def override_baseline(txn: DataFrame, as_of: Column, days: int) -> DataFrame:
-    """Checkouts, overrides and override rate per cashier over the trailing days."""
-    recent = txn.filter(within_days(F.col("event_ts"), as_of, days) & (F.col("event_ts") <= as_of))
-    overrides = F.count_if("manual_discount_flag")
-    return recent.groupBy("cashier_id").agg(
-        F.count(F.lit(1)).alias(f"txn_count_{days}d"),
-        overrides.alias(f"override_count_{days}d"),
-        percent(ratio(overrides, F.count(F.lit(1)))).alias(f"override_rate_{days}d_pct"),
-    )
-
-
 def override_rates(txn: DataFrame, as_of: Column, short: int = 7, long: int = 30) -> DataFrame:
     """Both trailing windows in one aggregation: the short one is a condition inside the long one."""
     recent = txn.filter(within_days(F.col("event_ts"), as_of, long) & (F.col("event_ts") <= as_of))
@@ -81,27 +70,24 @@ def override_rates(txn: DataFrame, as_of: Column, short: int = 7, long: int = 30
 
 
 def live_against_baseline(txn: DataFrame, as_of: Column, live_hours: int = 1, days: int = 30) -> DataFrame:
-    """Each live cashier's override rate next to the trailing baseline, with ratio and difference."""
-    start = as_of - F.expr(f"INTERVAL {int(live_hours)} HOURS")
-    overrides = F.count_if("manual_discount_flag")
-    live = (
-        txn.filter((F.col("event_ts") > start) & (F.col("event_ts") <= as_of))
-        .groupBy("cashier_id")
-        .agg(
-            F.count(F.lit(1)).alias("live_txn_count"),
-            overrides.alias("live_override_count"),
-            percent(ratio(overrides, F.count(F.lit(1)))).alias("live_override_rate_pct"),
-        )
+    """Each live cashier's override rate next to the trailing baseline, with ratio and difference.
+
+    The live hours lie inside the baseline's days, so one scan and one aggregation give both.
+    """
+    recent = txn.filter(within_days(F.col("event_ts"), as_of, days) & (F.col("event_ts") <= as_of))
+    live = F.col("event_ts") > as_of - F.expr(f"INTERVAL {int(live_hours)} HOURS")
+    flag = F.col("manual_discount_flag")
+    n_live, n_live_overrides = F.count_if(live), F.count_if(live & flag)
+    rates = recent.groupBy("cashier_id").agg(
+        n_live.alias("live_txn_count"),
+        n_live_overrides.alias("live_override_count"),
+        percent(ratio(n_live_overrides, n_live)).alias("live_override_rate_pct"),
+        percent(ratio(F.count_if(flag), F.count(F.lit(1)))).alias("baseline_rate_pct"),
     )
-    base = F.col(f"override_rate_{days}d_pct")
-    return live.join(override_baseline(txn, as_of, days), "cashier_id", "left").select(
-        "cashier_id",
-        "live_txn_count",
-        "live_override_count",
-        "live_override_rate_pct",
-        base.alias("baseline_rate_pct"),
-        F.round(F.try_divide("live_override_rate_pct", base), 2).alias("times_baseline"),
-        F.round(F.col("live_override_rate_pct") - base, 2).alias("difference_pct"),
+    return rates.filter(F.col("live_txn_count") > 0).select(
+        "*",
+        F.round(F.try_divide("live_override_rate_pct", "baseline_rate_pct"), 2).alias("times_baseline"),
+        F.round(F.col("live_override_rate_pct") - F.col("baseline_rate_pct"), 2).alias("difference_pct"),
     )
 
 

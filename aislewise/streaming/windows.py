@@ -118,8 +118,8 @@ def sliding_metrics(events: DataFrame) -> DataFrame:
     runs = sliding_runs(events)
     last = F.col("first_window_end") + F.make_dt_interval(secs=(F.col("n_windows") - 1) * PANE_SECONDS)
     ends = F.explode(F.sequence("first_window_end", last, F.expr(f"INTERVAL {PANE_SECONDS} SECONDS")))
-    carried = [c for c in runs.columns if c not in ("first_window_end", "n_windows")]
-    return runs.select(ends.alias("window_end"), *carried)
+    carried = [c for c in runs.columns if c not in (*KEYS, "first_window_end", "n_windows")]
+    return runs.select(*KEYS, ends.alias("window_end"), *carried)
 
 
 def rolling_metrics(events: DataFrame) -> DataFrame:

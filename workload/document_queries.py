@@ -316,11 +316,11 @@ def concept_lookup(spark, sf_dir):
 
 @query(
     "citation_links",
-    "SELECT page_id, regexp_replace('gs://' || substr(url, 9), '^gs://', 'https://storage.cloud.google.com/') AS link FROM pages",
+    "SELECT page_id, regexp_replace('gs://' || substr(url, 9), '^gs://', 'https://files.example/') AS link FROM pages",
 )
 def citation_links(spark, sf_dir):
     uri = F.concat(F.lit("gs://"), F.substring("url", 9, 1 << 30))
-    return V.table(spark, sf_dir, "pages").select("page_id", https_link(uri).alias("link"))
+    return V.table(spark, sf_dir, "pages").select("page_id", https_link(uri, "https://files.example").alias("link"))
 
 
 @query("object_table")

@@ -110,7 +110,7 @@ RULE_VALUES = [
     ("warranty_generic_sections_extracted", "extracted_content_minimum_length", "completeness", ">=", 1, _fraction("length(extracted_full_content) >= 800"), "warr"),
     ("silver_pos_transactions", "cashier_id_not_null", "completeness", ">=", 1, _fraction("cashier_id IS NOT NULL"), "baskets"),
     ("silver_pos_transactions", "event_timestamp_parseable", "validity", ">=", 1, _fraction("TRY_CAST(event_timestamp AS TIMESTAMP) IS NOT NULL"), "baskets"),
-    ("silver_pos_transactions", "cashier_id_consistent_with_gcp_alerts", "consistency", ">=", 1, _fraction("regexp_matches(cashier_id, '^CASH_[0-9]+$')"), "baskets"),
+    ("silver_pos_transactions", "cashier_id_consistent_with_alerts", "consistency", ">=", 1, _fraction("regexp_matches(cashier_id, '^CASH_[0-9]+$')"), "baskets"),
     ("silver_pos_transactions", "transaction_id_not_null", "completeness", ">=", 1, _fraction("transaction_id IS NOT NULL"), "baskets"),
     ("silver_pos_transactions", "transaction_id_unique", "uniqueness", ">=", 1, _unique("transaction_id"), "baskets"),
     ("silver_pos_transactions", "total_amount_usd_non_negative", "validity", ">=", 1, _fraction("total_amount_usd >= 0"), "baskets"),
