@@ -18,6 +18,12 @@ EXPOSED = ("TRUE", "CONTAMINATED_HARMFUL")
 VIP_TIERS = ("PLATINUM", "GOLD")
 
 
+def _long(table: str, counts: DataFrame) -> DataFrame:
+    """One row per rule from one row of counts."""
+    rules = [F.struct(F.lit(c).alias("rule"), F.col(c).alias("violations")) for c in counts.columns]
+    return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*rules)))
+
+
 @dataclass(frozen=True)
 class Nodes:
     table: DataFrame
@@ -50,19 +56,21 @@ class PropertyGraph:
         found = []
         for name, part in [*self.nodes.items(), *self.edges.items()]:
             keys = part.table.groupBy(F.col(part.key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-            found.append((name, "key_not_unique", keys.filter(F.col("k").isNotNull() & (F.col("n") > 1))))
-            found.append((name, "key_missing", part.table.filter(F.col(part.key).isNull())))
+            known = F.col("k").isNotNull()
+            counts = keys.agg(
+                F.count_if(known & (F.col("n") > 1)).alias("key_not_unique"),
+                F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("key_missing"),
+            )
+            found.append(_long(name, counts))
         for name, e in self.edges.items():
             for rule, (col, label) in (("source_not_found", e.source), ("target_not_found", e.target)):
                 node = self.nodes[label]
                 known = node.table.select(F.col(node.key).alias("known"))
-                dangling = e.table.join(known, F.col(col) == F.col("known"), "left_anti")
-                found.append((name, rule, dangling))
-        rows = [
-            d.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(n).alias("table_name"), F.lit(r).alias("rule"), "violations")
-            for n, r, d in found
-        ]
-        return reduce(DataFrame.unionByName, rows)
+                # Ends are counted before the join, so a hub joins as one row.
+                ends = e.table.groupBy(F.col(col).alias("end")).agg(F.count(F.lit(1)).alias("n"))
+                dangling = ends.join(known, F.col("end") == F.col("known"), "left_anti")
+                found.append(_long(name, dangling.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(rule))))
+        return reduce(DataFrame.unionByName, found)
 
     def node(self, label: str, prefix: str, where: Column | None = None) -> DataFrame:
         """A node table with prefixed columns. Filters name the plain columns, so they reach the scan."""

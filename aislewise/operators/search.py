@@ -154,11 +154,31 @@ def vector_search(
     return reduce(DataFrame.unionByName, found)
 
 
-def stitch(matches: DataFrame, chunk_table: DataFrame, document: str, keys: Sequence[str], radius: int = 1, separator: str = "\n") -> DataFrame:
+def semantic_search(
+    queries: DataFrame,
+    corpus: DataFrame,
+    keys: Sequence[str],
+    top_k: int = 3,
+    embedder: Callable[[Column], Column] = hashed_embedding,
+) -> DataFrame:
+    """Text in, nearest rows out: ``queries`` has ``query_id`` and ``query``, the corpus its ``embedding``."""
+    return vector_search(corpus, embed(queries.select("query_id", "query"), F.col("query"), embedder), keys, top_k)
+
+
+def stitch(
+    matches: DataFrame,
+    chunk_table: DataFrame,
+    document: str,
+    keys: Sequence[str],
+    radius: int = 1,
+    separator: str = "\n",
+    trim_overlap: int = 0,
+) -> DataFrame:
     """Matched chunks with their neighbours' text, in order.
 
     The wanted indexes are listed first, so the neighbours come from an equi join, not a range join.
-    ``keys`` identify a match; overlapping text is kept as the chunks hold it.
+    ``keys`` identify a match. Overlapping text is kept as the chunks hold it, unless ``trim_overlap`` says
+    how many characters a chunk shares with the one before it.
     """
     wanted = matches.withColumn(
         "_wanted", F.explode(F.sequence(F.col("chunk_index") - radius, F.col("chunk_index") + radius))
@@ -170,11 +190,18 @@ def stitch(matches: DataFrame, chunk_table: DataFrame, document: str, keys: Sequ
         *matches.columns, near["_wanted"].alias("_at"), "_text"
     )
     carried = [c for c in matches.columns if c not in keys]
-    pieces = F.sort_array(F.collect_list(F.struct("_at", "_text")))
-    return joined.groupBy(*keys).agg(
+    grouped = joined.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in carried],
-        F.array_join(F.transform(pieces, lambda p: p["_text"]), separator).alias("stitched_content"),
+        F.sort_array(F.collect_list(F.struct("_at", "_text"))).alias("_pieces"),
     )
+    pieces = F.col("_pieces")
+
+    def own_text(p, i):
+        follows = F.get(pieces, i - 1)["_at"] == p["_at"] - 1
+        return F.when(follows, F.substring(p["_text"], F.lit(trim_overlap + 1), F.length(p["_text"]))).otherwise(p["_text"])
+
+    texts = F.transform(pieces, own_text if trim_overlap else (lambda p: p["_text"]))
+    return grouped.withColumn("stitched_content", F.array_join(texts, separator)).drop("_pieces")
 
 
 def text_matches(queries: DataFrame, chunk_table: DataFrame, document: str) -> DataFrame:
@@ -235,8 +262,7 @@ def retrieve(
     ``queries`` has ``query_id`` and ``query``; ``chunk_table`` has the document key, ``chunk_index``,
     ``chunk_content`` and ``embedding``. One plan answers all questions.
     """
-    asked = embed(queries.select("query_id", "query"), F.col("query"), embedder)
-    best = vector_search(chunk_table, asked, [document, "chunk_index"], top_k=1)
+    best = semantic_search(queries, chunk_table, [document, "chunk_index"], 1, embedder)
     grounded = best.filter(F.col("similarity_score") >= threshold).select(
         "query_id", document, "chunk_index", "similarity_score", F.lit(VECTOR_MATCH).alias("status")
     )

@@ -37,6 +37,9 @@ class Lake:
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if partition_by:
+        # Few files per partition, and several tasks for one that is large.
+        stamped = stamped.hint("rebalance", *[F.col(c) for c in partition_by])
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -176,6 +176,15 @@ def test_stitch_keeps_order_and_gaps(spark):
     assert got == {"q": "intro words only\nClear ERR-PAY-4001 by restart\nthen wait", "r": "after a gap"}
 
 
+def test_stitch_can_trim_the_overlap(spark):
+    text = "".join(chr(97 + i % 26) for i in range(1300))
+    table = D.chunks(spark.createDataFrame([("d", text)], "doc string, text string"), "text", ["doc"])
+    m = spark.createDataFrame([("q", "d", 1)], "query_id string, doc string, chunk_index long")
+    whole = S.stitch(m, table, "doc", ["query_id"], separator="", trim_overlap=100).first().stitched_content
+    assert whole == text
+    assert len(S.stitch(m, table, "doc", ["query_id"]).first().stitched_content) == 500 + 500 + 500 + 2
+
+
 def test_gate_is_inclusive(spark):
     scores = spark.createDataFrame([(0.69994,), (0.69996,), (0.70,)], "s double").select(F.round("s", 4).alias("s"))
     assert [r.ok for r in scores.select((F.col("s") >= S.SIMILARITY_THRESHOLD).alias("ok")).collect()] == [False, True, True]

@@ -105,8 +105,7 @@ def vector_topk(spark, sf_dir):
 
 @query("vector_topk_text", f"WITH {VECTORS_SQL} SELECT * FROM top3")
 def vector_topk_text(spark, sf_dir):
-    asked = S.embed(questions(spark, sf_dir), F.col("query"))
-    hits = S.vector_search(embedded_chunks(spark, sf_dir), asked, ["doc_id", "chunk_index"], top_k=3)
+    hits = S.semantic_search(questions(spark, sf_dir), embedded_chunks(spark, sf_dir), ["doc_id", "chunk_index"], 3)
     return hits.withColumn("distance", F.round("distance", 6))
 
 
@@ -118,8 +117,7 @@ FROM top3 t JOIN chunks c ON c.doc_id = t.doc_id AND c.chunk_index BETWEEN t.chu
 GROUP BY query_id, t.doc_id, t.chunk_index""",
 )
 def stitch_neighbours(spark, sf_dir):
-    asked = S.embed(questions(spark, sf_dir), F.col("query"))
-    hits = S.vector_search(embedded_chunks(spark, sf_dir), asked, ["doc_id", "chunk_index"], top_k=3)
+    hits = S.semantic_search(questions(spark, sf_dir), embedded_chunks(spark, sf_dir), ["doc_id", "chunk_index"], 3)
     hits = hits.select("query_id", "doc_id", "chunk_index", "similarity_score")
     return S.stitch(hits, chunk_table(spark, sf_dir), "doc_id", ["query_id", "doc_id", "chunk_index"])
 
@@ -160,8 +158,7 @@ def token_fallback(spark, sf_dir):
 SELECT query_id, similarity_score, similarity_score >= 0.7 AS grounded FROM best""",
 )
 def grounding_gate(spark, sf_dir):
-    asked = S.embed(questions(spark, sf_dir), F.col("query"))
-    best = S.vector_search(embedded_chunks(spark, sf_dir), asked, ["doc_id", "chunk_index"], top_k=1)
+    best = S.semantic_search(questions(spark, sf_dir), embedded_chunks(spark, sf_dir), ["doc_id", "chunk_index"], 1)
     return best.select(
         "query_id", "similarity_score", (F.col("similarity_score") >= S.SIMILARITY_THRESHOLD).alias("grounded")
     )
