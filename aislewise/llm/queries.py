@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe
+from aislewise.llm import bpe, chat, urls
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -28,6 +28,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A conversation whose texts are control strings of the format, as its contract gives it.
+HARD_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted and read back, and the one that quotes control strings."""
+    hard = spark.sql(
+        "SELECT * FROM VALUES (-7L, 0L, 'user', :text), (-7L, 1L, 'assistant', :text) AS v(conv_id, turn, role, text)",
+        args={"text": HARD_TEXT},
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(rows.unionByName(hard))
+
+
+SQL["op1_chat"] = r"""
+WITH plain AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+    SELECT *,
+        length(replace(replace(replace(text, '\', '\0'), '</turn>', '\1'), '###', '\2')) AS text_length,
+        length(replace(replace(replace(replace(role, '\', '\0'), '</turn>', '\1'), '###', '\2'), ':', '\3')) AS role_length
+    FROM plain
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+    CAST(sum(4 + role_length + 2 + text_length + 8) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict for the URL of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
+
+
+SQL["op5_urls"] = """
+WITH split AS (
+    SELECT page_id,
+        translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), judged AS (
+    SELECT s.*, (
+        SELECT max(struct_pack(n := length(rule_host || rule_path), rule := rule_host || rule_path, verdict := verdict))
+        FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    ) AS won FROM split s
+)
+SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS verdict FROM judged
+"""
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, encoded and decoded again."""
