@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.session import cut_lineage
+from aislewise.session import cut_lineage, shared_dir
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROW = "__row"
@@ -27,6 +28,14 @@ def numbered(df: DataFrame) -> DataFrame:
     return cut_lineage(df.withColumn(ROW, F.monotonically_increasing_id()))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the shared folder as Parquet and reads it back: lineage ends here, and later reads take only
+    the columns they need. The files stay with the other checkpoints until that folder is cleaned."""
+    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Applies ``work`` to each Arrow batch of each partition; memory is bounded by a batch."""
 

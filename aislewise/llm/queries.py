@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, urls
+from aislewise.llm import bpe, chat, minhash, urls
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -99,6 +99,12 @@ SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS
 """
 
 
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, encoded and decoded again."""
