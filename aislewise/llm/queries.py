@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, fmindex, minhash, urls
+from aislewise.llm import bpe, chat, fmindex, minhash, secrets, urls
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -69,6 +69,12 @@ def op3_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmindex.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; a source owns the documents it publishes, and each of them is a repository."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
