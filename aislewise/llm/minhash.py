@@ -56,7 +56,7 @@ def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     if len(known) > REMEMBERED:
         known.clear()
-    for w in set(words) - known.keys():
+    for w in {x for x in words if x not in known}:
         known[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
