@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, fmindex, minhash, nbsvm, secrets, urls
+from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, secrets, urls
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -123,6 +123,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every embedding."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned from the labelled ones."""
