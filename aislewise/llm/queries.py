@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, secrets, urls, warc
+from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, secrets, toxicity, urls, warc
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -63,6 +63,12 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity categories of every document, learned from the labelled ones."""
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_fmindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark phrases in every document."""
