@@ -39,10 +39,14 @@ def names_fault(text: Column) -> Column:
 
 
 def store_key(raw: Column) -> Column:
-    """``48``, ``Store 48`` and ``STORE_048`` all become ``STORE_048``; no digits leaves the input."""
+    """``48``, ``Store 48`` and ``STORE_048`` all become ``STORE_048``; no digits leaves the input.
+
+    The number stays text, so ids of any length keep all their digits.
+    """
     digits = F.regexp_replace(raw.cast("string"), "[^0-9]", "")
-    padded = F.format_string("STORE_%03d", F.try_to_number(F.nullif(digits, F.lit("")), F.lit("9" * 18)).cast("long"))
-    return F.when(digits == "", raw.cast("string")).otherwise(padded)
+    number = F.ltrim(digits, F.lit("0"))
+    padded = F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number)
+    return F.when(digits == "", raw.cast("string")).otherwise(F.concat(F.lit("STORE_"), padded))
 
 
 def cashier_key(raw: Column) -> Column:

@@ -28,22 +28,37 @@ def file_corpus(spark: SparkSession, root: str, extension: str = "pdf", *, conte
 
 @dataclass(frozen=True)
 class Field:
-    """One extracted column: its type and the pattern whose group holds the value."""
+    """One extracted column: its type, the pattern whose group holds the value, and what to drop from that."""
 
     name: str
     dtype: str
     pattern: str
     group: int = 1
+    drop: str = ""
 
+    def text(self, source: Column) -> Column:
+        """What the pattern finds, without the parts that ``drop`` matches; NULL if it finds nothing."""
+        found = first_match(source, self.pattern, self.group)
+        return F.regexp_replace(found, self.drop, "") if self.drop else found
 
-def labelled(name: str, label: str, dtype: str = "string") -> Field:
-    """``Label: value`` on a line of its own."""
-    return Field(name, dtype, rf"(?im)^\s*{label}:[ \t]*\$?(.+?)(?: months)?[ \t]*$")
+
+THOUSANDS = r",(?=\d{3}(?:\D|$))"
+
+
+def labelled(name: str, label: str, dtype: str = "string", unit: str = "") -> Field:
+    """``Label: value`` on a line of its own. ``unit`` is a pattern for what may follow the value and is no part of it."""
+    after = f"(?:{unit})?" if unit else ""
+    return Field(name, dtype, rf"(?im)^\s*{label}:[ \t]*(.+?){after}[ \t]*$")
+
+
+def amount(name: str, label: str) -> Field:
+    """A price: a leading currency sign and separators between thousands are no part of the number."""
+    return Field(name, "double", rf"(?im)^\s*{label}:[ \t]*\$?[ \t]*(.+?)[ \t]*$", drop=THOUSANDS)
 
 
 def section(name: str, heading: str) -> Field:
-    """The text under a heading, up to the next heading or the end."""
-    return Field(name, "string", rf"(?is)#+ {heading}[^\n]*\n(.*?)\s*(?=\n#+ |\z)")
+    """The text under a heading, up to the next heading or the end. The heading's words end where they end."""
+    return Field(name, "string", rf"(?is)#+ {heading}\b[^\n]*\n(.*?)\s*(?=\n#+ |\z)")
 
 
 # The columns of the two document kinds.
@@ -64,8 +79,8 @@ CERTIFICATE_FIELDS = (
     labelled("product_name", "product name"),
     labelled("brand", "brand"),
     labelled("category", "category"),
-    labelled("retail_price_usd", "retail price usd", "double"),
-    labelled("warranty_duration_months", "warranty duration", "bigint"),
+    amount("retail_price_usd", "retail price usd"),
+    labelled("warranty_duration_months", "warranty duration", "bigint", unit="[ \\t]*months?"),
     labelled("warranty_start", "warranty start"),
     labelled("coverage_type", "coverage type"),
     labelled("service_level", "service level"),
@@ -80,9 +95,22 @@ CERTIFICATE_FIELDS = (
 )
 
 
-def extract_fields(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns from document text by rule; a value that does not fit its type is NULL."""
-    values = [first_match(F.col(text), f.pattern, f.group).try_cast(f.dtype).alias(f.name) for f in fields]
+def extract_fields(
+    df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[str] = (), rejects: str | None = None
+) -> DataFrame:
+    """Typed columns from document text by rule; a value that does not fit its type is NULL.
+
+    ``rejects`` names a column that lists such values as ``field=value``, so that none is lost unseen.
+    """
+    found = {f.name: f.text(F.col(text)) for f in fields}
+    values = [found[f.name].try_cast(f.dtype).alias(f.name) for f in fields]
+    if rejects:
+        unfit = [
+            F.when(v.isNotNull() & v.try_cast(f.dtype).isNull(), F.concat(F.lit(f"{f.name}="), v))
+            for f, v in ((f, found[f.name]) for f in fields)
+            if f.dtype != "string"
+        ]
+        values.append(F.array_compact(F.array(*unfit).cast("array<string>")).alias(rejects))
     return df.select(*keep, *values)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,16 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aislewise.functions.numbers import pass_fraction, ratio
+from aislewise.functions.time import reversed_micros
 from aislewise.operators.governance import field_rows
 
-# Comparison operators a rule may use.
-COMPARE = {
-    ">=": lambda a, b: a >= b,
-    "<=": lambda a, b: a <= b,
-    "==": lambda a, b: a == b,
-    ">": lambda a, b: a > b,
-    "<": lambda a, b: a < b,
-}
+# The comparisons a rule may name.
+COMPARE = {">=": operator.ge, "<=": operator.le, "==": operator.eq, ">": operator.gt, "<": operator.lt}
 RESULT = ("contract", "rule_id", "dimension", "value", "operator", "threshold", "ok")
 
 
@@ -131,7 +128,11 @@ TYPE_NAMES = {
 
 
 def _fields(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    rows = [(p, "record" if "struct<" in t else t, n) for p, t, n, _ in field_rows(schema)]
+    def kind(t: str) -> str:
+        """Records by their mode: a repeated one differs from a plain one, its fields have rows of their own."""
+        return re.sub(r"struct<.*>(?=>|$)", "record", t, flags=re.S) if "struct<" in t else TYPE_NAMES.get(t.upper(), t)
+
+    rows = [(p, kind(t), n) for p, t, n, _ in field_rows(schema)]
     return spark.createDataFrame(rows, "path string, type string, nullable boolean")
 
 
@@ -196,12 +197,11 @@ def _outside(column: str, low: float | None, high: float | None) -> Column:
 def kv_checks(rows: DataFrame, prefix: str, contract: str = "cashier_realtime_alerts") -> DataFrame:
     """The serving table's checks in one pass over all of its rows.
 
-    The value of a check is its number of violations. Under one prefix rows sort newest first exactly
-    when all reversed-time suffixes have the same width, so that check compares two lengths and needs no
-    sort. ``prefix`` ends at a key separator.
+    The value of a check is its number of violations. Rows sort newest first exactly when every key ends in
+    the reversed time of its own row, so that check compares each suffix with its row and needs no sort.
+    ``prefix`` ends at a key separator.
     """
     under = F.startswith("row_key", F.lit(prefix))
-    width = F.length(F.substring_index("row_key", "#", -1))
     found = F.count_if(under)
 
     def violations(*conditions: Column) -> Column:
@@ -227,7 +227,7 @@ def kv_checks(rows: DataFrame, prefix: str, contract: str = "cashier_realtime_al
         Rule(
             "newest_row_first_on_prefix_scan",
             "timeliness",
-            F.when((found >= 1) & (F.min(F.when(under, width)) == F.max(F.when(under, width))), 1).otherwise(0),
+            F.when((found >= 1) & (F.count_if(under & ~in_time_order()) == 0), 1).otherwise(0),
         ),
         Rule(
             "override_count_not_exceeding_txn_count",
@@ -242,12 +242,14 @@ def kv_checks(rows: DataFrame, prefix: str, contract: str = "cashier_realtime_al
 
 
 def newest_first(rows: DataFrame) -> DataFrame:
-    """The same test for every store and cashier: key prefixes whose suffixes differ in width."""
+    """The same test for every store and cashier."""
     prefix = F.regexp_extract("row_key", r"^([^#]+#[^#]+)#", 1).alias("prefix")
-    width = F.length(F.substring_index("row_key", "#", -1))
-    return rows.groupBy(prefix).agg(
-        F.count(F.lit(1)).alias("rows"), (F.min(width) == F.max(width)).alias("newest_first")
-    )
+    return rows.groupBy(prefix).agg(F.count(F.lit(1)).alias("rows"), F.every(in_time_order()).alias("newest_first"))
+
+
+def in_time_order() -> Column:
+    """The key ends in the reversed time of its row; a key or time that is NULL does not."""
+    return F.substring_index("row_key", "#", -1).eqNullSafe(reversed_micros(F.col("last_event_ts")))
 
 
 # Profiles.

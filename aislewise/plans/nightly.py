@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +44,11 @@ def run(
     form: str = "closed",
     dry_run: bool = False,
 ) -> NightlyResult:
-    """Build the ledger once, while it is written; then compare it with its inputs and with the files.
+    """Build the ledger once, in a staging folder beside the target; publish it only when it passed.
 
-    Row count, checksum and days come from the writing job, so the events are read a single time.
+    The row count is compared with days times stocked pairs of the inputs, so a lost day or store is seen, and the
+    staged files with what was written. Only then are the target's days replaced, from the staged files. A run
+    that fails leaves the target as it was. The staging folder is removed by the file system's own owner.
     """
     silver = L.silver_sales(sources.pos, settings)
     led = L.ledger(L.positions(sources.inventory, sources.stores, silver), settings, form)
@@ -53,8 +56,13 @@ def run(
         raise L.ContractError(f"ledger columns are {led.columns}")
     if dry_run:
         return NightlyResult(L.check_contract(led), 0, None)
-    written = write_dated(led, target, order=["store_id", "item_id"])
-    pairs = stocked_pairs(sources.inventory, sources.stores).count()
-    parity_gate(written["n_rows"], pairs * len(written["days"]))
+    staging = f"{target.rstrip('/')}.staging/{uuid.uuid4().hex}"
+    order = ["store_id", "item_id"]
+    staged = write_dated(led, staging, order=order)
+    parity_gate(staged["n_rows"], expected_positions(sources.inventory, sources.stores, silver.dates).first()[0] or 0)
+    if not staged["n_rows"]:
+        return NightlyResult(0, 0, target)
+    audit_written(spark, staging, L.LEDGER_COLUMNS, staged)
+    written = write_dated(spark.read.parquet(staging).select(*L.LEDGER_COLUMNS), target, order=order)
     audit_written(spark, target, L.LEDGER_COLUMNS, written)
     return NightlyResult(written["n_rows"], int(written["checksum"]), target)

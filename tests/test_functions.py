@@ -107,3 +107,10 @@ def test_masks(spark):
     assert lit(spark, masks.last_four(F.lit("CUST_30697"))) == "XXXXX0697"
     masks.register_card_mask(spark)
     assert spark.sql("SELECT mask_card_number('4111111111111234') AS v").first().v == "X" * 12 + "1234"
+
+
+def test_store_keys_of_any_length(spark):
+    cases = {"Store 48": "STORE_048", "0000": "STORE_000", "007": "STORE_007", "1234": "STORE_1234", "none": "none", None: None}
+    cases |= {"9" * 19: "STORE_" + "9" * 19, "0" * 5 + "1" * 40: "STORE_" + "1" * 40}
+    df = spark.createDataFrame([(k,) for k in cases], "raw string")
+    assert {r.raw: r.key for r in df.select("raw", text.store_key(F.col("raw")).alias("key")).collect()} == cases

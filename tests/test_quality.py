@@ -93,14 +93,18 @@ def test_linkage_and_summary(spark):
     assert {r.contract: r.all_ok for r in Q.summary(res).collect()} == {"a": False, "b": True}
 
 
-KV = "row_key string, risk_score double, cashier_1h_txn_count long, cashier_1h_manual_override_count long, cashier_1h_promo_rate double, audit_status string"
+KV = "row_key string, risk_score double, cashier_1h_txn_count long, cashier_1h_manual_override_count long, cashier_1h_promo_rate double, audit_status string, last_event_ts timestamp"
 
 
 def test_kv_checks(spark):
-    good = [("STORE_001#CASH_1#100", 0.5, 3, 1, 0.2, "clear"), ("STORE_001#CASH_1#200", 0.1, 3, 3, 1.0, "review")]
+    def key(prefix, second):
+        return f"{prefix}#{2**63 - 1 - second * 10**6:019d}", dt.datetime.fromtimestamp(second, dt.timezone.utc)
+
+    (a, at), (b, bt), (c, ct) = key("STORE_001#CASH_1", 1_000), key("STORE_001#CASH_1", 900), key("STORE_1#CASH_1", 800)
+    good = [(a, 0.5, 3, 1, 0.2, "clear", at), (b, 0.1, 3, 3, 1.0, "review", bt)]
     got = results(Q.kv_checks(spark.createDataFrame(good, KV), "STORE_001#CASH_1#"))
     assert len(got) == 9 and all(ok for _, ok in got.values())
-    bad = [("STORE_1#CASH_1#99", 1.5, None, 4, 1.2, "odd"), ("STORE_001#CASH_1#99", None, 1, 4, 0.0, None), good[0]]
+    bad = [(c, 1.5, None, 4, 1.2, "odd", ct), ("STORE_001#CASH_1#99", None, 1, 4, 0.0, None, bt), good[0]]
     got = results(Q.kv_checks(spark.createDataFrame(bad, KV), "STORE_001#CASH_1#"))
     assert {k for k, (_, ok) in got.items() if ok} == {"row_key_prefix_exists", "counters_non_negative"}
     assert got["core_qualifiers_present"][0] == 3.0
@@ -109,8 +113,13 @@ def test_kv_checks(spark):
 
 
 def test_newest_first(spark):
-    df = spark.createDataFrame([("S#C#10",), ("S#C#11",), ("S#D#9",), ("S#D#10",)], "row_key string")
-    assert {r.prefix: r.newest_first for r in Q.newest_first(df).collect()} == {"S#C": True, "S#D": False}
+    """Plain, unreversed times of equal width do not pass: each suffix is compared with its own row's time."""
+    rows = [(f"S#C#{2**63 - 1 - s * 10**6}", s) for s in (5, 6)] + [(f"S#D#{10**18 + s * 10**6}", s) for s in (5, 6)]
+    rows += [(f"S#E#{2**63 - 1 - 7 * 10**6}", 7), (f"S#E#{2**63 - 1 - 9 * 10**6}", 8), ("S#F#1", None)]
+    at = lambda s: s and dt.datetime.fromtimestamp(s, dt.timezone.utc)
+    df = spark.createDataFrame([(k, at(s)) for k, s in rows], "row_key string, last_event_ts timestamp")
+    want = {"S#C": True, "S#D": False, "S#E": False, "S#F": False}
+    assert {r.prefix: r.newest_first for r in Q.newest_first(df).collect()} == want
 
 
 def test_profiles(spark):
@@ -200,3 +209,29 @@ def test_partition_and_scan_guards(spark, tmp_path):
     guards.require_scan_within(df)
     with pytest.raises(guards.ScanLimitError):
         guards.require_scan_within(df, 10)
+    other = df.filter("id = 5").withColumnRenamed("business_date", "my_business_date")
+    with pytest.raises(guards.PartitionFilterError):
+        guards.require_partition_filter(other.filter("my_business_date > DATE '2026-01-01'"), "date")
+
+
+def test_guards_refuse_scans_they_do_not_understand(spark, tmp_path):
+    """The second reader of files shows as a batch scan, an RDD as an existing one: neither lists partition filters."""
+    path = str(tmp_path / "v2")
+    spark.range(10).write.parquet(path)
+    old = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    try:
+        with pytest.raises(guards.PartitionFilterError):
+            guards.require_partition_filter(spark.read.parquet(path).filter("id = 1"), "business_date")
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", old)
+    with pytest.raises(guards.PartitionFilterError):
+        guards.require_partition_filter(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "id int"), "id")
+    assert guards.require_partition_filter(spark.range(5), "id").count() == 5
+
+
+def test_repeated_records_differ_from_plain_ones(spark):
+    plain = T.StructType.fromDDL("a struct<x:int>, b array<struct<x:int>>, c string")
+    live = T.StructType.fromDDL("a array<struct<x:int>>, b array<struct<x:int>>, c string")
+    issues = {r.path: r.issue for r in Q.schema_diff(spark, plain, live).collect()}
+    assert issues["a"] == "TYPE" and issues["b"] == issues["c"] == "OK"

@@ -35,7 +35,8 @@ def stock_keys(spark, sf_dir):
 @query(
     "normalised_ids",
     """SELECT c_custkey, printf('STORE_%03d', CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS BIGINT)) AS store_id,
-'CASH_' || regexp_replace(c_name, '[^0-9]', '', 'g') AS cashier_id, c_mktsegment AS no_digits FROM customer""",
+'CASH_' || regexp_replace(c_name, '[^0-9]', '', 'g') AS cashier_id, c_mktsegment AS no_digits,
+'STORE_' || (CAST(9000000000000000000 AS HUGEINT) + c_custkey) AS long_id FROM customer""",
 )
 def normalised_ids(spark, sf_dir):
     return V.table(spark, sf_dir, "customer").select(
@@ -43,6 +44,7 @@ def normalised_ids(spark, sf_dir):
         text.store_key(F.col("c_name")).alias("store_id"),
         text.cashier_key(F.col("c_name")).alias("cashier_id"),
         text.store_key(F.col("c_mktsegment")).alias("no_digits"),
+        text.store_key(F.concat(F.lit("Store 0"), F.lit(9 * 10**18) + F.col("c_custkey"))).alias("long_id"),
     )
 
 

@@ -1,8 +1,14 @@
 """Ledger, its slots and the reports on it. Point-of-sale data: the whole events table."""
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aislewise.operators import ledger as L
+from aislewise.plans import nightly
+from aislewise.session import shared_dir
+from aislewise.sources.tables import Sources
 from workload import views as V
 from workload.registry import query
 
@@ -143,8 +149,8 @@ def stockout_top20(spark, sf_dir):
     "revenue_cover_quadrants",
     f"""WITH {LEDGER_CTE}, known AS (
   SELECT *, intraday_gross_revenue_usd >= 100 AS high, est_cover_hours_remaining >= 24 AS long
-  FROM ledger WHERE est_cover_hours_remaining IS NOT NULL)
-SELECT CASE WHEN high AND long THEN 'HIGH_REVENUE_LONG_COVER' WHEN high THEN 'HIGH_REVENUE_SHORT_COVER'
+  FROM ledger)
+SELECT CASE WHEN est_cover_hours_remaining IS NULL THEN 'UNKNOWN_COVER' WHEN high AND long THEN 'HIGH_REVENUE_LONG_COVER' WHEN high THEN 'HIGH_REVENUE_SHORT_COVER'
             WHEN long THEN 'LOW_REVENUE_LONG_COVER' ELSE 'LOW_REVENUE_SHORT_COVER' END AS quadrant,
        count(*) AS positions, count(DISTINCT store_id) AS stores
 FROM known GROUP BY 1""",
@@ -186,3 +192,40 @@ def audit_hash(spark, sf_dir):
     return hashes.groupBy("business_date", "store_id").agg(
         F.count(F.lit(1)).alias("slots"), F.min("audit_hash").alias("first_hash"), F.max("audit_hash").alias("last_hash")
     )
+
+
+DATES_SQL = "SELECT min(business_date) + 1 AS low, max(business_date) - 1 AS high FROM positions"
+
+
+@query(
+    "ledger_date_range",
+    f"WITH {LEDGER_CTE}, ends AS ({DATES_SQL}) SELECT ledger.* FROM ledger, ends WHERE business_date BETWEEN low AND high",
+)
+def ledger_date_range(spark, sf_dir):
+    """The ledger with both ends of its date range set: all days but the first and the last."""
+    day = F.col("ts").cast("date")
+    low, high = V.table(spark, sf_dir, "events").agg(F.date_add(F.min(day), 1), F.date_sub(F.max(day), 1)).first()
+    settings = L.LedgerSettings(start_date=str(low), until_date=str(high))
+    silver = L.silver_sales(V.bronze_events(spark, sf_dir), settings)
+    return L.ledger(L.positions(V.inventory(spark, sf_dir), V.stores(spark, sf_dir), silver), settings)
+
+
+@query("ledger_written", LEDGER_SQL)
+def ledger_written(spark, sf_dir):
+    """The nightly job: staged, compared with its inputs, published, and read back."""
+    target = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    sources = Sources(V.bronze_events(spark, sf_dir), V.inventory(spark, sf_dir), V.stores(spark, sf_dir))
+    nightly.run(spark, sources, target, SETTINGS)
+    return spark.read.parquet(target).select(*L.LEDGER_COLUMNS)
+
+
+@query(
+    "ordered_ledger",
+    f"""WITH {LEDGER_CTE} SELECT store_id, item_id, row_number() OVER (PARTITION BY business_date
+ORDER BY est_cover_hours_remaining ASC NULLS LAST, store_id, item_id) AS place, business_date FROM ledger""",
+)
+def ordered_ledger(spark, sf_dir):
+    """The place of every position in its day's reading order: shortest cover first, unknown cover last."""
+    order = [F.col("est_cover_hours_remaining").asc_nulls_last(), "store_id", "item_id"]
+    place = F.row_number().over(Window.partitionBy("business_date").orderBy(*order)).alias("place")
+    return ledger(spark, sf_dir).select("business_date", "store_id", "item_id", place)

@@ -201,6 +201,36 @@ def kv_checks(spark, sf_dir):
     return Q.kv_checks(serving(spark, sf_dir), KV_PREFIX)
 
 
+KV_BROKEN_SQL = f"""{KV_SQL.rsplit("kv AS (", 1)[0]}whole AS ({KV_SQL.rsplit("kv AS (", 1)[1]},
+kv AS (
+  SELECT * REPLACE (
+    CASE WHEN s % 7 = 0 THEN risk_score + 2 WHEN s % 7 = 1 THEN NULL ELSE risk_score END AS risk_score,
+    CASE WHEN s % 11 = 0 THEN 'odd' ELSE audit_status END AS audit_status,
+    CASE WHEN s % 13 = 0 THEN -cashier_1h_txn_count ELSE cashier_1h_txn_count END AS cashier_1h_txn_count,
+    CASE WHEN s % 5 = 0 THEN cashier_1h_promo_rate + 1.5 ELSE cashier_1h_promo_rate END AS cashier_1h_promo_rate,
+    CASE WHEN s % 3 = 0 THEN store_id || '#' || cashier_id || '#' || lpad(CAST(epoch_us(last_event_ts) AS VARCHAR), 19, '0')
+         WHEN s % 17 = 0 THEN 'x' || row_key ELSE row_key END AS row_key)
+  FROM (SELECT *, CAST(floor(epoch(last_event_ts)) AS BIGINT) AS s FROM whole)
+)"""
+
+
+@query("kv_checks_broken", _results_sql(KV_BROKEN_SQL, [v for v in KV_VALUES if v[1] != "newest_row_first_on_prefix_scan"]))
+def kv_checks_broken(spark, sf_dir):
+    """The same checks over the same rows with faults put in by their time's second; each check finds some."""
+    s = F.unix_seconds("last_event_ts")
+    plain = F.concat_ws("#", "store_id", "cashier_id", F.lpad(F.unix_micros("last_event_ts").cast("string"), 19, "0"))
+    rows = serving(spark, sf_dir).withColumns(
+        {
+            "risk_score": F.when(s % 7 == 0, F.col("risk_score") + 2).when(s % 7 != 1, F.col("risk_score")),
+            "audit_status": F.when(s % 11 == 0, "odd").otherwise(F.col("audit_status")),
+            "cashier_1h_txn_count": F.when(s % 13 == 0, -F.col("cashier_1h_txn_count")).otherwise(F.col("cashier_1h_txn_count")),
+            "cashier_1h_promo_rate": F.when(s % 5 == 0, F.col("cashier_1h_promo_rate") + 1.5).otherwise(F.col("cashier_1h_promo_rate")),
+            "row_key": F.when(s % 3 == 0, plain).when(s % 17 == 0, F.concat(F.lit("x"), "row_key")).otherwise(F.col("row_key")),
+        }
+    )
+    return Q.kv_checks(rows, KV_PREFIX).where("rule_id <> 'newest_row_first_on_prefix_scan'")
+
+
 @query(
     "contract_summary",
     f"""SELECT contract, count(*) FILTER (ok) AS passed, count(*) FILTER (NOT ok) AS failed, bool_and(ok) AS all_ok
