@@ -76,31 +76,53 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def _scorer(ids: pa.Array, matrix: np.ndarray, keys: Sequence[str], vector: str, top_k: int):
-    """Per Arrow batch: all similarities in one product, then each query's best rows of the batch.
+    """Per task: each query's best rows so far, given out once at the end of its partition.
 
-    Rows level with the k-th best stay in, so the ranking that follows sees every tie. Large batches are
-    cut so that one product stays within a few million cells.
+    Batches are cut so that one product stays within a few million cells. Only rows at least as near as a query's
+    current last are kept, then sorted by distance and key as the ranking does, so a task gives out at most
+    ``top_k`` rows a query and ties fall the same way everywhere.
     """
-    step = max(1, PRODUCT_CELLS // max(1, len(ids)))
-    empty = not len(ids)
-
-    def best(batch: pa.RecordBatch) -> pa.RecordBatch:
+    names = ["q", *keys, "distance"]
+    order = [("q", "ascending"), ("distance", "ascending"), *((k, "ascending") for k in keys)]
+
+    def near(batch: pa.RecordBatch, floor: np.ndarray) -> pa.Table:
+        lengths = pc.list_value_length(batch.column(vector)).to_numpy(zero_copy_only=False)
+        if (lengths != matrix.shape[1]).any():
+            wrong = int((lengths != matrix.shape[1]).sum())
+            raise ValueError(f"{wrong} of {batch.num_rows} corpus vectors are not {matrix.shape[1]} wide like the queries")
         values = batch.column(vector).flatten().to_numpy(zero_copy_only=False).astype(float)
-        similarity = matrix @ _unit_rows(values.reshape(batch.num_rows, -1)).T
-        similarity = np.nan_to_num(similarity, nan=-np.inf)
+        distance = np.round(1.0 - matrix @ _unit_rows(values.reshape(batch.num_rows, -1)).T, RANK_DIGITS)
+        distance = np.where(np.isfinite(distance), distance, np.inf)
         k = min(top_k, batch.num_rows)
-        floor = np.partition(similarity, batch.num_rows - k, axis=1)[:, batch.num_rows - k]
-        q, r = np.nonzero((similarity >= floor[:, None] - 10.0**-RANK_DIGITS) & np.isfinite(similarity))
+        last = np.minimum(np.partition(distance, k - 1, axis=1)[:, k - 1], floor) if k == top_k else floor
+        q, r = np.nonzero((distance <= last[:, None]) & (distance < np.inf))
         rows = pa.array(r)
-        return pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(q)), *[batch.column(c).take(rows) for c in keys], pa.array(similarity[q, r])],
-            names=["query_id", *keys, "similarity"],
-        )
+        return pa.table([pa.array(q), *[batch.column(c).take(rows) for c in keys], pa.array(distance[q, r])], names=names)
+
+    def best(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
+        q = rows.column("q").to_numpy()
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        rows = rows.filter(pa.array(place < top_k))
+        q, place = q[place < top_k], place[place < top_k]
+        floor = np.full(len(matrix), np.inf)
+        full = place == top_k - 1
+        floor[q[full]] = rows.column("distance").to_numpy()[full]
+        return rows, floor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, floor = None, np.full(len(matrix), np.inf)
         for batch in batches:
-            for start in range(0, 0 if empty else batch.num_rows, step):
-                yield best(batch.slice(start, step))
+            step = max(1, PRODUCT_CELLS // max(1, len(ids)))
+            for start in range(0, batch.num_rows if len(ids) else 0, step):
+                found = near(batch.slice(start, step), floor)
+                if found.num_rows:
+                    held, floor = best(pa.concat_tables([held, found]) if held is not None else found)
+        for part in held.to_batches(max_chunksize=10_000) if held is not None else ():
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(part.column("q")), *[part.column(k) for k in keys], part.column("distance")],
+                names=["query_id", *keys, "distance"],
+            )
 
     return run
 
@@ -116,40 +138,36 @@ def vector_search(
 ) -> DataFrame:
     """The ``top_k`` rows of the corpus nearest to each query by cosine distance, exactly.
 
-    The corpus is scanned where it lies and only each task's best rows are shuffled. Query vectors go to
-    every task, but never more than ``broadcast_bytes`` of them at once: a larger query set is split into
-    blocks by its key. Each block is one corpus scan whose ranking is checkpointed before the next block
-    is sent, so neither the driver nor a task ever holds more than one.
+    The corpus is scanned where it lies; a task shuffles at most ``top_k`` rows a query. Query vectors go to every
+    task, never more than ``broadcast_bytes`` of them at once on average: the query set is cut into blocks by a hash
+    of its rows. Each block is one corpus scan whose ranking is checkpointed before the next block is sent, with any
+    number of blocks, so neither the driver nor a task holds more than one. Query ids are unique.
+
+    All vectors have one width: queries or corpus rows of another raise an error with their number. Queries and rows
+    without a vector, or with one of length zero, have no distance and take no part; ``retrieve`` reports them.
     """
     spark = corpus.sparkSession
     asked = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"))
-    n, width = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    width = width or 0
-    size = n * width * 8
-    blocks = 1 if size <= broadcast_bytes else math.ceil(2 * size / broadcast_bytes)
-    pool = corpus.filter(F.size(vector) == width).select(*keys, vector)
+    n, narrow, width = asked.agg(F.count(F.lit(1)), F.min(F.size("v")), F.max(F.size("v"))).first()
+    if narrow != width:
+        raise ValueError(f"{n} query vectors are between {narrow} and {width} wide")
+    blocks = max(1, math.ceil(2 * n * (width or 0) * 8 / broadcast_bytes))
+    pool = corpus.filter(F.col(vector).isNotNull()).select(*keys, vector)
     schema = T.StructType(
-        [asked.schema["query_id"], *[corpus.schema[k] for k in keys], T.StructField("similarity", T.DoubleType())]
+        [asked.schema["query_id"], *[corpus.schema[k] for k in keys], T.StructField("distance", T.DoubleType())]
     )
 
-    def ranked(part: DataFrame):
-        rows = part.toArrow()
-        matrix = _unit_rows(np.array(rows.column("v").to_pylist(), dtype=float).reshape(rows.num_rows, width))
+    found = []
+    for b in range(blocks):
+        rows = asked.filter(F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)) == b).toArrow()
+        matrix = _unit_rows(np.array(rows.column("v").to_pylist(), dtype=float).reshape(rows.num_rows, width or 0))
         sent = spark.sparkContext.broadcast((rows.column("query_id").combine_chunks(), matrix))
 
-        def search(batches):
+        def search(batches, sent=sent):
             return _scorer(*sent.value, keys, vector, top_k)(batches)
 
-        hits = pool.mapInArrow(search, schema).withColumn("distance", F.round(1.0 - F.col("similarity"), RANK_DIGITS))
-        best = top_per_key(hits, ["query_id"], ["distance", *keys], top_k)
-        return best.withColumn("similarity_score", F.round(1.0 - F.col("distance"), 4)).drop("similarity"), sent
-
-    if blocks == 1:
-        return ranked(asked)[0]
-    found = []
-    for b in range(blocks):
-        best, sent = ranked(asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b))
-        found.append(cut_lineage(best))
+        best = top_per_key(pool.mapInArrow(search, schema), ["query_id"], ["distance", *keys], top_k)
+        found.append(cut_lineage(best.withColumn("similarity_score", F.round(1.0 - F.col("distance"), 4))))
         sent.unpersist()
     return reduce(DataFrame.unionByName, found)
 
@@ -226,12 +244,25 @@ def text_matches(queries: DataFrame, chunk_table: DataFrame, document: str) -> D
     by_code = coded.join(index, F.col("_code") == F.col("_token")).select("query_id", "place")
 
     phrase = asked.filter(F.col("_code").isNull()).withColumn("_words", words(F.col("query")))
-    longest = F.array_max(F.transform("_words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    phrase = phrase.filter(F.size("_words") > 0).select("query_id", longest.alias("_anchor"), _spaced(F.col("_words")).alias("_phrase"))
-    # Chunks that hold the question's longest word, by key only; their text joins after that.
-    anchors = chunk_table.select(
+    phrase = phrase.filter(F.size("_words") > 0).select("query_id", "_words", _spaced(F.col("_words")).alias("_phrase"))
+    # Chunks that hold the question's rarest word, by key only; their text joins after that. A word that no chunk
+    # holds is rarest of all, and its question has no match.
+    held = chunk_table.select(
         document, "chunk_index", F.explode(F.array_distinct(words(F.col("chunk_content")))).alias("_anchor")
     )
+    asked_words = phrase.select("query_id", F.explode(F.array_distinct("_words")).alias("_anchor"))
+    frequency = (
+        held.join(asked_words.select("_anchor").distinct(), "_anchor", "left_semi")
+        .groupBy("_anchor")
+        .agg(F.count(F.lit(1)).alias("chunks"))
+    )
+    rarest = (
+        asked_words.join(frequency, "_anchor", "left")
+        .groupBy("query_id")
+        .agg(F.min(F.struct(F.coalesce("chunks", F.lit(0)), "_anchor"))["_anchor"].alias("_anchor"))
+    )
+    phrase = phrase.drop("_words").join(rarest, "query_id")
+    anchors = held
     lines = chunk_table.select(document, "chunk_index", _spaced(words(F.col("chunk_content"))).alias("_line"))
     by_phrase = (
         anchors.join(phrase, "_anchor")

@@ -200,3 +200,48 @@ def test_retrieve_statuses(spark):
     assert (got[1].status, got[1].similarity_score) == (S.VECTOR_MATCH, 1.0)
     assert (got[2].status, got[2].similarity_score, got[2].doc) == (S.TEXT_MATCH, 0.85, "d1")
     assert (got[3].status, got[3].stitched_content) == (S.NO_MATCH, None)
+
+
+def test_values_are_cleaned_by_field_only(spark):
+    text = """Product Name: Game Pass 3 Months
+Brand: $Money
+Retail Price USD: $1,299.00
+Warranty Duration: 24 Months
+# Section 10 extra
+ten
+# Section 1: Coverage
+one"""
+    odd = "Retail Price USD: about 5\nWarranty Duration: 1,5 months"
+    df = spark.createDataFrame([(1, text), (2, odd), (3, None)], "id int, text string")
+    a, b, c = D.extract_fields(df, "text", D.CERTIFICATE_FIELDS, ["id"], rejects="rejected").orderBy("id").collect()
+    assert (a.product_name, a.brand, a.retail_price_usd, a.warranty_duration_months) == ("Game Pass 3 Months", "$Money", 1299.0, 24)
+    assert a.coverage_scope_details == "one" and a.rejected == [] and c.rejected == []
+    assert b.retail_price_usd is None and sorted(b.rejected) == ["retail_price_usd=about 5", "warranty_duration_months=1,5"]
+
+
+def test_vectors_of_another_width_are_not_dropped(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0])], "id int, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<double>")
+    with pytest.raises(Exception, match="1 of . corpus vectors are not 2 wide"):
+        S.vector_search(corpus, asked, ["id"])
+    with pytest.raises(ValueError, match="between 2 and 3 wide"):
+        S.vector_search(corpus, asked.unionByName(spark.createDataFrame([(2, [1.0] * 3)], asked.schema)), ["id"])
+
+
+def test_a_task_gives_out_its_best_rows_once(spark, monkeypatch):
+    """However small the slices, at most top_k rows leave a task for each query, and they are the right ones."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    vectors, asked = rng.integers(-2, 3, (400, 4)).astype(float), rng.normal(size=(50, 4))
+    monkeypatch.setattr(S, "PRODUCT_CELLS", 350)
+    batches = [
+        pa.RecordBatch.from_pydict({"id": list(range(i, i + 100)), "embedding": vectors[i : i + 100].tolist()})
+        for i in range(0, 400, 100)
+    ]
+    out = list(S._scorer(pa.array(range(50)), S._unit_rows(asked), ["id"], "embedding", 3)(iter(batches)))
+    rows = [r for b in out for r in zip(*(b.column(c).to_pylist() for c in ("query_id", "distance", "id")))]
+    distance = np.round(1 - S._unit_rows(asked) @ S._unit_rows(vectors).T, S.RANK_DIGITS)
+    want = [(q, d, i) for q in range(50) for d, i in sorted((d, i) for i, d in enumerate(distance[q]) if np.isfinite(d))[:3]]
+    assert len(rows) == 150 and sorted(rows) == want

@@ -11,10 +11,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A text table, spread over the cores when it is a single file: that file has one row group."""
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    """A text table, dealt out by its key: a file may be one row group, which only one task can read."""
+    return table(spark, sf_dir, name).repartition(key)
 
 
 def store_of(col: str | Column) -> Column:
