@@ -94,21 +94,34 @@ class PropertyGraph:
         )
 
 
-def walks(start: DataFrame, edges: DataFrame, ends: DataFrame, low: int, high: int, *, checkpoint: bool = False) -> DataFrame:
+def walks(
+    start: DataFrame,
+    edges: DataFrame,
+    ends: DataFrame,
+    low: int,
+    high: int,
+    *,
+    onward: DataFrame | None = None,
+    checkpoint: bool = False,
+) -> DataFrame:
     """Every walk of ``low`` to ``high`` edges from a start node to an end node.
 
+    ``onward`` are the edges that hops after the first may take, where they start from another kind of node than the
+    first: a small list of lanes between stores, say, in place of all shipments.
+
     ``start`` and ``ends`` have a column ``id``; ``edges`` has ``edge_id``, ``src`` and ``dst``. One row
     per walk, nodes and edges may repeat. Each hop is one equi join with the edge list. Long walks over
     dense graphs should cut the plan at each hop.
     """
     link = F.struct(F.col("src"), F.col("edge_id"), F.col("dst"))
     hop = edges.select("src", "edge_id", "dst", link.alias("link"))
+    later = hop if onward is None else onward.select("src", "edge_id", "dst", link.alias("link"))
     frontier = start.select("id").join(hop, F.col("id") == F.col("src")).select(
         F.col("id").alias("start_id"), F.col("dst").alias("end_id"), F.array("link").alias("path")
     )
     found = [frontier] if low <= 1 else []
     for length in range(2, high + 1):
-        frontier = frontier.join(hop, F.col("end_id") == F.col("src")).select(
+        frontier = frontier.join(later, F.col("end_id") == F.col("src")).select(
             "start_id", F.col("dst").alias("end_id"), F.concat("path", F.array("link")).alias("path")
         )
         if checkpoint:
@@ -161,6 +174,11 @@ def vip_recall(g: PropertyGraph) -> DataFrame:
         F.col("cust_customer_id").alias("customer_id"),
         F.col("cust_name").alias("customer_name"),
         F.col("cust_loyalty_tier").alias("loyalty_tier"),
+        F.col("cust_email").alias("email"),
+        F.col("cust_phone_number").alias("phone_number"),
+        F.col("cust_global_region").alias("customer_region"),
+        F.col("lot_harmful_material_defect").alias("defect_description"),
+        F.col("sale_purchase_timestamp").alias("purchase_timestamp"),
         F.col("lot_batch_id").alias("batch_id"),
         F.col("lot_item_id").alias("item_id"),
         F.col("lot_item_name").alias("item_name"),
@@ -188,6 +206,7 @@ def co_exposure(g: PropertyGraph, index_customer: Column) -> DataFrame:
         F.col("cust_customer_id").alias("index_customer_id"),
         F.col("cust_name").alias("index_customer_name"),
         F.col("lot_batch_id").alias("index_batch_id"),
+        F.col("lot_item_name").alias("index_product_name"),
         F.col("sup_supplier_id").alias("supplier_id"),
         F.col("sup_facility_name").alias("common_supplier_facility"),
         F.col("sup_risk_score").alias("supplier_risk_score"),
@@ -201,21 +220,26 @@ def co_exposure(g: PropertyGraph, index_customer: Column) -> DataFrame:
     sales2 = sold.table.select(
         F.col(sold.source[0]).alias("sold_lot"), F.col(sold.target[0]).alias("secondary_customer_id")
     ).filter(F.col("secondary_customer_id") != index_customer)
-    cust2 = g.node("Customer", "c2")
+    cust2, lot2 = g.node("Customer", "c2"), g.node("BatchLot", "b2").select("b2_batch_id", "b2_item_name")
     return (
-        lots2.join(sales2, F.col("sold_lot") == F.col("secondary_batch_id"))
+        lots2.join(lot2, F.col("b2_batch_id") == F.col("secondary_batch_id"))
+        .join(sales2, F.col("sold_lot") == F.col("secondary_batch_id"))
         .join(cust2, F.col("c2_customer_id") == F.col("secondary_customer_id"))
         .select(
             "index_customer_id",
             "index_customer_name",
             "index_batch_id",
+            "index_product_name",
             "supplier_id",
             "common_supplier_facility",
             "supplier_risk_score",
             "secondary_batch_id",
+            F.col("b2_item_name").alias("secondary_product_name"),
             "secondary_customer_id",
             F.col("c2_name").alias("secondary_customer_name"),
             F.col("c2_loyalty_tier").alias("secondary_loyalty_tier"),
+            F.col("c2_email").alias("secondary_email"),
+            F.col("c2_phone_number").alias("secondary_phone_number"),
         )
     )
 
@@ -230,6 +254,11 @@ def recall_contacts(g: PropertyGraph, batch_id: Column) -> DataFrame:
         F.col("cust_customer_id").alias("customer_id"),
         F.col("cust_name").alias("customer_name"),
         F.col("cust_loyalty_tier").alias("loyalty_tier"),
+        F.col("cust_email").alias("email"),
+        F.col("cust_phone_number").alias("phone_number"),
+        F.col("cust_global_region").alias("customer_region"),
+        F.col("lot_harmful_material_defect").alias("defect_description"),
+        F.col("sale_unit_price_usd").alias("unit_price_usd"),
         F.col("sale_store_id").alias("store_id"),
         F.col("sale_transaction_id").alias("transaction_id"),
         F.col("sale_purchase_timestamp").alias("purchase_timestamp"),

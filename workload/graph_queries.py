@@ -79,7 +79,7 @@ def recall_graph(spark, sf_dir) -> G.PropertyGraph:
     )
     shipped = (
         sold.join(cust.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(lot_key.alias("src"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("dst"))
+        .select(lot_key.alias("src"), F.col("c_nationkey").alias("dst"))
         .distinct()
         .select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
     )
@@ -157,31 +157,45 @@ def graph_row_counts(spark, sf_dir):
 @query(
     "graph_violations",
     f"""WITH {GRAPH_SQL},
-shipped AS (SELECT DISTINCT batch_id, 'N' || c_nationkey AS dst FROM sale JOIN cust USING (customer_id)),
-rules AS (
-  SELECT unnest(['Supplier', 'BatchLot', 'Customer', 'Store', 'PRODUCED_BATCH', 'PURCHASED_LOT_BY_CUSTOMER', 'SHIPPED_TO']) AS table_name
+shipped AS (SELECT DISTINCT batch_id AS src, c_nationkey AS dst FROM sale JOIN cust USING (customer_id)),
+keyed AS (
+  SELECT 'Supplier' AS table_name, CAST(supplier_id AS VARCHAR) AS k FROM sup
+  UNION ALL SELECT 'BatchLot', batch_id FROM lot UNION ALL SELECT 'Customer', CAST(customer_id AS VARCHAR) FROM cust
+  UNION ALL SELECT 'Store', CAST(n_nationkey AS VARCHAR) FROM nation UNION ALL SELECT 'PRODUCED_BATCH', 'P-' || batch_id FROM lot
+  UNION ALL SELECT 'PURCHASED_LOT_BY_CUSTOMER', edge_id FROM sale UNION ALL SELECT 'SOLD_AT', edge_id FROM sale
+  UNION ALL SELECT 'SHIPPED_TO', src || '>' || dst FROM shipped
+),
+ends AS (
+  SELECT 'PRODUCED_BATCH' AS table_name, 'source_not_found' AS rule, supplier_id IN (SELECT supplier_id FROM sup) AS known FROM lot
+  UNION ALL SELECT 'PRODUCED_BATCH', 'target_not_found', batch_id IN (SELECT batch_id FROM lot) FROM lot
+  UNION ALL SELECT 'PURCHASED_LOT_BY_CUSTOMER', 'source_not_found', batch_id IN (SELECT batch_id FROM lot) FROM sale
+  UNION ALL SELECT 'PURCHASED_LOT_BY_CUSTOMER', 'target_not_found', customer_id IN (SELECT customer_id FROM cust) FROM sale
+  UNION ALL SELECT 'SOLD_AT', 'source_not_found', batch_id IN (SELECT batch_id FROM lot) FROM sale
+  UNION ALL SELECT 'SOLD_AT', 'target_not_found', store_id IN (SELECT n_nationkey FROM nation) FROM sale
+  UNION ALL SELECT 'SHIPPED_TO', 'source_not_found', src IN (SELECT batch_id FROM lot) FROM shipped
+  UNION ALL SELECT 'SHIPPED_TO', 'target_not_found', dst IN (SELECT n_nationkey FROM nation) FROM shipped
 )
-SELECT table_name, 'key_not_unique' AS rule, CASE WHEN table_name = 'PURCHASED_LOT_BY_CUSTOMER'
-  THEN (SELECT count(*) FROM (SELECT edge_id FROM sale GROUP BY 1 HAVING count(*) > 1)) ELSE 0 END AS violations FROM rules
-UNION ALL SELECT table_name, 'key_missing', 0 FROM rules
-UNION ALL SELECT table_name, 'source_not_found', 0 FROM rules WHERE table_name IN ('PRODUCED_BATCH', 'PURCHASED_LOT_BY_CUSTOMER')
-UNION ALL SELECT table_name, 'target_not_found', 0 FROM rules WHERE table_name IN ('PRODUCED_BATCH', 'PURCHASED_LOT_BY_CUSTOMER')""",
+SELECT table_name, 'key_not_unique' AS rule, count(*) FILTER (k IS NOT NULL AND n > 1) AS violations
+FROM (SELECT table_name, k, count(*) AS n FROM keyed GROUP BY ALL) GROUP BY 1
+UNION ALL SELECT table_name, 'key_missing', count(*) FILTER (k IS NULL) FROM keyed GROUP BY 1
+UNION ALL SELECT table_name, rule, count(*) FILTER (NOT known) FROM ends GROUP BY ALL""",
 )
 def graph_violations(spark, sf_dir):
+    """Keys and ends of every table, and of sales by store, some of whose stores are not in the store table."""
     g = recall_graph(spark, sf_dir)
-    edges = {k: v for k, v in g.edges.items() if k != "SHIPPED_TO"}
-    keys_only = G.PropertyGraph({"SHIPPED_TO": G.Nodes(g.edges["SHIPPED_TO"].table, "edge_id")}, {})
-    return G.PropertyGraph(g.nodes, edges).violations().unionByName(keys_only.violations())
+    sales = g.edges["PURCHASED_LOT_BY_CUSTOMER"].table
+    sold_at = G.Edges(sales, "edge_id", ("batch_id", "BatchLot"), ("store_id", "Store"))
+    return G.PropertyGraph(g.nodes, {**g.edges, "SOLD_AT": sold_at}).violations()
 
 
 @query(
     "graph_paths_1_3",
     f"""WITH RECURSIVE {GRAPH_SQL},
-shipped AS (SELECT DISTINCT batch_id AS src, 'N' || c_nationkey AS dst FROM sale JOIN cust USING (customer_id)),
+shipped AS (SELECT DISTINCT batch_id AS src, c_nationkey AS dst FROM sale JOIN cust USING (customer_id)),
 edges AS (
-  SELECT src || '>' || dst AS edge_id, src, dst FROM shipped
-  UNION ALL SELECT 'N' || n_nationkey || '>N' || (n_nationkey * 3 + 1) % 25, 'N' || n_nationkey, 'N' || (n_nationkey * 3 + 1) % 25
-  FROM nation
+  SELECT src || '>' || dst AS edge_id, src, 'N' || dst AS dst FROM shipped
+  UNION ALL SELECT 'N' || n_nationkey || '>N' || (n_nationkey * f + 1) % 25, 'N' || n_nationkey, 'N' || (n_nationkey * f + 1) % 25
+  FROM nation, (SELECT unnest([3, 7]) AS f) WHERE f = 3 OR n_nationkey % 2 = 0
 ),
 walk AS (
   SELECT batch_id AS start_id, dst AS end_id, 1 AS hops,
@@ -197,21 +211,23 @@ def graph_paths_1_3(spark, sf_dir):
     """Lots to stores over one to three shipments; lanes between stores give real multi-hop walks."""
     g = recall_graph(spark, sf_dir)
     n = F.col("n_nationkey")
-    store = V.table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("N"), n.cast("string")).alias("src"),
-        F.concat(F.lit("N"), ((n * 3 + 1) % 25).cast("string")).alias("dst"),
-    )
-    lanes = store.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
-    edges = g.edges["SHIPPED_TO"].table.unionByName(lanes)
+    named = lambda number: F.concat(F.lit("N"), number.cast("string"))
+    nation = V.table(spark, sf_dir, "nation")
+    # One lane from every store, and a second one from half of them.
+    lanes = nation.select("n_nationkey", F.explode(F.array(F.lit(3), F.lit(7))).alias("f")).where((F.col("f") == 3) | (n % 2 == 0))
+    lanes = lanes.select(named(n).alias("src"), named((n * F.col("f") + 1) % 25).alias("dst"))
+    lanes = lanes.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
+    shipped = g.edges["SHIPPED_TO"].table.withColumn("dst", named(F.col("dst")))
     lots = g.nodes["BatchLot"].table.select(F.col("batch_id").alias("id"))
-    return G.walks(lots, edges, store.select(F.col("src").alias("id")), 1, 3).drop("path")
+    return G.walks(lots, shipped, nation.select(named(n).alias("id")), 1, 3, onward=lanes).drop("path")
 
 
 @query(
     "recall_vip",
     f"""WITH {GRAPH_SQL} SELECT customer_id, name AS customer_name, loyalty_tier, batch_id, item_id, item_name,
 recall_status, serial_number, transaction_id, supplier_id, facility_name AS supplier_facility,
-risk_score AS supplier_risk_score
+risk_score AS supplier_risk_score, email, phone_number, global_region AS customer_region,
+harmful_material_defect AS defect_description, purchase_timestamp
 FROM pattern WHERE risk_score >= 0.75 AND loyalty_tier IN ('PLATINUM', 'GOLD')
   AND (qa_inspection_status = 'FLAGGED_HARMFUL_MATERIAL' OR recall_status LIKE '%RECALL%'
        OR exposure_flag = 'CONTAMINATED_HARMFUL')""",
@@ -239,7 +255,8 @@ def index_customer(g):
 SELECT p.customer_id AS index_customer_id, p.name AS index_customer_name, p.batch_id AS index_batch_id, p.supplier_id,
        p.facility_name AS common_supplier_facility, p.risk_score AS supplier_risk_score,
        b2.batch_id AS secondary_batch_id, c2.customer_id AS secondary_customer_id, c2.name AS secondary_customer_name,
-       c2.loyalty_tier AS secondary_loyalty_tier
+       c2.loyalty_tier AS secondary_loyalty_tier, p.item_name AS index_product_name,
+       b2.item_name AS secondary_product_name, c2.email AS secondary_email, c2.phone_number AS secondary_phone_number
 FROM pattern p JOIN lot b2 ON b2.supplier_id = p.supplier_id JOIN sale s2 ON s2.batch_id = b2.batch_id
 JOIN cust c2 ON c2.customer_id = s2.customer_id
 WHERE p.risk_score >= 0.75 AND p.customer_id = (SELECT c FROM index_customer) AND c2.customer_id <> p.customer_id""",
@@ -304,7 +321,8 @@ def hot_lot(g):
 @query(
     "recall_contacts",
     f"""WITH {GRAPH_SQL}, {LOT_SQL} SELECT batch_id, item_name, customer_id, name AS customer_name, loyalty_tier, store_id,
-transaction_id, purchase_timestamp, serial_number FROM lot JOIN sale USING (batch_id) JOIN cust USING (customer_id)
+transaction_id, purchase_timestamp, serial_number, email, phone_number, global_region AS customer_region,
+harmful_material_defect AS defect_description, unit_price_usd FROM lot JOIN sale USING (batch_id) JOIN cust USING (customer_id)
 WHERE batch_id = (SELECT b FROM hot_lot) AND qa_inspection_status = 'FLAGGED_HARMFUL_MATERIAL'""",
 )
 def recall_contacts(spark, sf_dir):
