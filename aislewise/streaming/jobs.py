@@ -7,6 +7,7 @@ runs again after a failure replaces its rows instead of adding them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,21 +74,25 @@ def pane_stream(silver: DataFrame, late_by: str = events.LATE_BY) -> DataFrame:
 
 
 def _recent_panes(spark: SparkSession, lake: Lake, fresh: DataFrame, batch_id: int) -> DataFrame | None:
-    """Stored panes of the hour before the batch. Hours are partitions, so older files are not opened."""
+    """Stored panes of the hour before the batch. Only the folders of the hours needed are listed, by their names."""
     first, last = fresh.agg(F.min("pane_end"), F.max("pane_end")).first()
     if first is None:
         return None
     columns = T.StructType([*fresh.schema.fields, *PANE_PARTITIONS.fields])
+    hours, at = [], (first - timedelta(hours=1)).replace(minute=0, second=0, microsecond=0)
+    while at <= last:
+        hours.append(f"{at:%Y-%m-%d-%H}")
+        at += timedelta(hours=1)
+    folder = lake.path("panes")
     try:
-        stored = spark.read.schema(columns).parquet(lake.path("panes"))
+        stored = spark.read.schema(columns).option("basePath", folder).parquet(f"{folder}/pane_hour={{{','.join(hours)}}}")
     except Exception as e:  # noqa: BLE001 - the first batch has no table yet
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
     start = F.lit(first) - F.expr("INTERVAL 1 HOUR")
     return stored.filter(
-        (F.col("pane_hour") >= F.date_format(start, "yyyy-MM-dd-HH"))
-        & (F.col("pane_end") > start)
+        (F.col("pane_end") > start)
         & (F.col("pane_end") <= F.lit(last))
         & (F.col("batch_id") < batch_id)
     ).select(*fresh.columns)
@@ -131,13 +136,17 @@ def cashier_watch(
     return _run(writer, trigger)
 
 
-def order_watch(silver: DataFrame, lake: Lake, threshold: float = 0.5, trigger: dict | None = None) -> StreamingQuery:
-    """Order-level anomaly alerts: no state, one alert id per transaction."""
+def order_watch(
+    silver: DataFrame, lake: Lake, threshold: float = 0.5, trigger: dict | None = None, late_by: str = events.LATE_BY
+) -> StreamingQuery:
+    """Order-level anomaly alerts, one per transaction: repeats within the watermark are dropped before scoring, and
+    a repeated batch replaces its rows."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         write_batch(scoring.order_alerts(batch, threshold), lake.path("alerts_orders"), batch_id)
 
-    writer = silver.writeStream.foreachBatch(emit).option("checkpointLocation", lake.checkpoint("order_watch"))
+    once = events.once(silver, late_by)
+    writer = once.writeStream.foreachBatch(emit).option("checkpointLocation", lake.checkpoint("order_watch"))
     return _run(writer, trigger)
 
 

@@ -54,9 +54,9 @@ def score_cashiers(metrics: DataFrame, scorer: Scorer | None = default_cashier_s
 
 
 def alert_id(kind: str, *parts: Column) -> Column:
-    """The same source rows always give the same id, so replays do not add alerts."""
+    """The same source rows always give the same id, so replays do not add alerts. The whole digest is kept."""
     text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
-    return F.concat(F.lit(ALERT_PREFIX[kind]), F.substring(F.md5(text), 1, 16))
+    return F.concat(F.lit(ALERT_PREFIX[kind]), F.md5(text))
 
 
 def order_alerts(txn: DataFrame, threshold: float = 0.5, scorer: Scorer = default_order_score) -> DataFrame:
