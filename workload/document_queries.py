@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from aislewise.functions import numbers
 from aislewise.functions.text import WHITESPACE, https_link
 from aislewise.operators import documents as D
 from aislewise.operators import search as S
@@ -331,3 +332,18 @@ def object_table(spark, sf_dir):
     """The test tables' own files, listed as objects; their sizes are for the file system to say."""
     files = D.file_corpus(spark, sf_dir, "parquet")
     return files.select("document_filename", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+@query(
+    "vector_cosine",
+    """SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cosine,
+len(a.embedding) = 64 AS has_width FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+)
+def vector_cosine(spark, sf_dir):
+    """Column arithmetic on vectors: the cosine of each vector and the next one, and whether its width is the model's."""
+    a = V.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    b = a.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    cosine = numbers.cosine_similarity(F.col("embedding"), F.col("next"))
+    return a.join(b, "vec_id").select(
+        "vec_id", F.round(cosine, 6).alias("cosine"), numbers.has_dimension(F.col("embedding"), 64).alias("has_width")
+    )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from aislewise.functions.time import business_day
 from aislewise.operators import dedup, ledger, metrics, sales, warranty
+from aislewise.sources.tables import bound_sql as bind
 from workload import views as V
 from workload.ledger_queries import LEDGER_CTE, positions
 from workload.registry import query
@@ -372,3 +373,14 @@ def glossary_metrics(spark, sf_dir):
             "warranty_generic_sections_extracted": V.policies(spark, sf_dir),
         }
     )
+
+
+@query(
+    "bound_sql",
+    "SELECT event_type, count(*) AS events, max(value) AS largest FROM events WHERE value >= 25.5 AND event_type <> 'x''; --' GROUP BY 1",
+)
+def bound_sql(spark, sf_dir):
+    """A query text with bound values, one of which would break it if it were pasted in."""
+    V.table(spark, sf_dir, "events").createOrReplaceTempView("bound_events")
+    text = "SELECT event_type, count(*) AS events, max(value) AS largest FROM bound_events WHERE value >= :low AND event_type <> :odd GROUP BY 1"
+    return bind(spark, text, low=25.5, odd="x'; --")
