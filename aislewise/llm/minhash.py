@@ -7,9 +7,10 @@ left is confirmed exactly on the full sets. Components of the confirmed links co
 
 No bucket is expanded into all its pairs. Each round compares a bucket's members with one pivot, links what is
 confirmed, and goes on only with buckets whose members are still in different components: first the lowest number
-in the bucket, then a pseudo-random member (another one in each bucket), and last, every member outside the bucket's
-largest component with the members of all other components. After that every candidate pair is either in one component
-or was compared, so the components are those of all candidate pairs.
+in the bucket, then a pseudo-random member (another one in each bucket). What is still open after that is compared
+inside groups of bounded size, which return links between components and no pairs: every member outside the largest
+component is intersected with all others. Then every candidate pair is either in one component or was compared, so the
+components are those of all candidate pairs.
 
 Every step is keyed by class or bucket with map-side aggregation; the joins have sides that adaptive execution can
 split. Sets travel only for classes that share a bucket with another one. They are made in a second scan that is
@@ -27,6 +28,7 @@ there is none); ``kept`` is whether the row's id is that id, nulls being equal.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import by_batch, raw_bytes, written
+from aislewise.llm.common import ROW, by_batch, raw_bytes, written
 from aislewise.llm.components import components
 
 WORDS, BANDS, ROWS = 5, 32, 4
@@ -43,6 +45,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 # A pair at the threshold agrees in 0.75 of 128 minima with a standard deviation of 0.038; this is 5 of them below.
 SIGNATURE_FLOOR = 0.56
 BITMAP_BITS = 1 << 23
+CHUNK, CHUNK_BYTES = 500, 32_000_000  # members of a bucket, and bytes of their sets, that a group holds twice at most
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 REMEMBERED = 500_000  # word hashes a worker keeps; only speed depends on it
 
@@ -93,8 +96,8 @@ def class_key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def profiles(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """(doc_id, class, n, signature) of every row; class and signature are null without words."""
+def profiles(docs: DataFrame, bands: int, rows: int, size: int, *passed: str) -> DataFrame:
+    """(doc_id, class, n, signature) of every row, and columns ``passed``; class and signature are null without words."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[bytes, int] = {}
@@ -112,12 +115,18 @@ def profiles(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
             counts.append(n)
             signatures.append(s)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(signatures, pa.binary())],
-            ["doc_id", "class", "n", "signature"],
+            [
+                batch.column(0),
+                *batch.columns[2:],
+                pa.array(keys, pa.binary()),
+                pa.array(counts, pa.int64()),
+                pa.array(signatures, pa.binary()),
+            ],
+            ["doc_id", *passed, "class", "n", "signature"],
         )
 
-    schema = docs.select("doc_id").schema.add("class", "binary").add("n", "long").add("signature", "binary")
-    return by_batch(docs.select("doc_id", "text"), work, schema)
+    schema = docs.select("doc_id", *passed).schema.add("class", "binary").add("n", "long").add("signature", "binary")
+    return by_batch(docs.select("doc_id", "text", *passed), work, schema)
 
 
 def bitmap(bits: DataFrame) -> np.ndarray:
@@ -213,6 +222,67 @@ def placed(busy: DataFrame, links: DataFrame) -> DataFrame:
     return written(rows.join(open_, "bucket"))
 
 
+def connect(group: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+    """Links (a, b) that join the components c of a group's members (no, c, items): every member outside the largest
+    component is intersected with all others at once, through the list of members of each of its shingles."""
+    items = [np.frombuffer(x, np.uint64) for _, _, x in group]
+    sizes = np.array([len(x) for x in items])
+    _, shingle = np.unique(np.concatenate(items), return_inverse=True)
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    holder = np.repeat(np.arange(len(items)), sizes)[np.argsort(shingle, kind="stable")]
+    listed = np.concatenate([[0], np.cumsum(np.bincount(shingle))])
+    no, c = [x for x, _, _ in group], np.unique([x for _, x, _ in group], return_inverse=True)[1]
+    place = c.copy()  # merged components
+    out = []
+    for q in np.flatnonzero(c != np.bincount(c).argmax()).tolist():
+        mine = shingle[begins[q] : begins[q + 1]]
+        lengths = listed[mine + 1] - listed[mine]
+        at = np.repeat(listed[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(holder[at], minlength=len(items))
+        near = DENOMINATOR * common >= NUMERATOR * (sizes[q] + sizes - common)
+        for x in np.flatnonzero(near & (place != place[q])).tolist():
+            if place[x] != place[q]:
+                out.append((no[q], no[x]))
+                place[place == place[x]] = place[q]
+    return out
+
+
+def closing_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components c of open buckets (bucket, no, c), from the full sets of their members.
+
+    A bucket is cut into chunks of bounded count and bytes, and each pair of chunks is a group. A group returns at most
+    one link for two components that it joins, so the output is linear, however many pairs a bucket has. Groups are
+    runs of sorted rows, of which a task holds one at a time; most are small, and one call per group would cost more.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple[int, int, bytes]] = []
+        at = None
+        for batch in itertools.chain(batches, [None]):
+            links: list[tuple[int, int]] = []
+            columns = [c.to_pylist() for c in batch.columns] if batch is not None else [[None]] * 6
+            for *key, no, c, items in zip(*columns):
+                if key != at:
+                    links += connect(group) if len({x for _, x, _ in group}) > 1 else []
+                    group, at = [], key
+                group.append((no, c, items))
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    weighed = rows.join(sets.select("no", "n"), "no").groupBy("bucket")
+    weighed = weighed.agg(
+        F.ceil(F.greatest(F.count("*") / F.lit(CHUNK), F.sum("n") * 8 / F.lit(CHUNK_BYTES))).cast("int").alias("chunks")
+    )
+    mine = F.pmod(F.xxhash64("no", "bucket"), F.col("chunks")).cast("int").alias("mine")
+    spread = rows.join(weighed, "bucket").select("*", mine)
+    spread = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    spread = spread.select("bucket", "no", "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    members = spread.join(sets.select("no", "items"), "no")
+    key = ["bucket", "i", "j"]
+    rows = members.select(*key, "no", "c", "items").repartition(*key).sortWithinPartitions(*key)
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def linked(busy: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that connect whatever any candidate pair connects; ``busy`` has the (bucket, no) rows of shared buckets."""
     pivots = busy.groupBy("bucket").agg(F.min("no").alias("b"))
@@ -229,19 +299,31 @@ def linked(busy: DataFrame, sets: DataFrame) -> DataFrame:
         rows = placed(busy, links)
 
     if not rows.isEmpty():
-        sizes = rows.groupBy("bucket", "c").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("largest"))
-        marked = rows.join(largest, "bucket").select("bucket", "no", "c", (F.col("c") != F.col("largest")).alias("outside"))
-        ours = marked.where("outside").select("bucket", F.col("no").alias("a"), F.col("c").alias("c_a"))
-        theirs = marked.select("bucket", F.col("no").alias("b"), "c", "outside")
-        pairs = ours.join(theirs, "bucket").where("c <> c_a AND (a < b OR NOT outside)").select("a", "b")
-        links = links.unionByName(verify(pairs, sets))
+        links = links.unionByName(written(closing_links(rows, sets)))
     return links
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
-    profile = written(profiles(docs, bands, rows, words))
+    return groups(docs, bands, rows, words).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def representatives(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
+    """One row of ``docs`` for each group: of the document whose id is the component's, its first row if ids repeat.
+
+    Rows without words stand alone, but repeated rows of one id are one document there too. Rows whose component has no
+    id are reduced by their text. Only ids and class keys are shuffled to choose; the texts are joined once.
+    """
+    numbers = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    found = groups(numbers, bands, rows, words, ROW)
+    chosen = found.where("kept").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("class")).alias("k"))
+    chosen = chosen.agg(F.min(ROW).alias(ROW)).select(ROW)
+    return numbers.join(chosen, ROW, "left_semi").select(*docs.columns)
+
+
+def groups(docs: DataFrame, bands: int, rows: int, words: int, *passed: str) -> DataFrame:
+    """doc_id, class, n_shingles, component_id, kept and the columns ``passed`` of every row."""
+    profile = written(profiles(docs, bands, rows, words, *passed))
     classes = profile.where("class IS NOT NULL").groupBy("class")
     classes = classes.agg(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("signature").alias("signature")
@@ -267,9 +349,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
         "class", F.coalesce("least_id", "first_id").alias("of_class")
     )
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("of_class"))
-    out = profile.select("doc_id", "class", "n").join(of_class, "class", "left")
+    out = profile.select("doc_id", "class", "n", *passed).join(of_class, "class", "left")
     return out.select(
         "doc_id",
+        "class",
+        *passed,
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),

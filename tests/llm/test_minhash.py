@@ -115,3 +115,28 @@ def test_signature_estimates_similarity():
     f = minhash.hash_functions(512)
     a, b = minhash.signature(np.unique(x[:3000]), f), minhash.signature(np.unique(x[1000:]), f)
     assert abs((a == b).mean() - 0.5) < 0.08
+
+
+def test_closing_links_join_what_pivots_left(spark):
+    """Members of one bucket in several components: links come back for those that are alike, and for no others."""
+    import numpy as np
+
+    sets = {0: range(0, 100), 1: range(5, 105), 2: range(500, 600), 3: range(503, 600), 4: range(900, 1000), 5: range(2, 101)}
+    rows = spark.createDataFrame([(7, k, k) for k in sets] + [(8, 0, 0), (8, 4, 4)], "bucket long, no long, c long")
+    items = [(k, len(v), np.array(v, np.uint64).tobytes()) for k, v in sets.items()]
+    table = spark.createDataFrame(items, "no long, n long, items binary")
+    for chunk in (500, 2):
+        minhash_chunk, minhash.CHUNK = minhash.CHUNK, chunk
+        try:
+            links = minhash.closing_links(rows, table)
+            found = {r.node: r.component for r in components(links).collect()}
+        finally:
+            minhash.CHUNK = minhash_chunk
+        assert found == {0: 0, 1: 0, 5: 0, 2: 2, 3: 2}
+
+
+def test_representatives(spark):
+    docs = [(1, "a b c", "x"), (1, "a b c", "x"), (2, "A b c", "y"), (3, None, "z"), (3, None, "z"), (4, "", None), (None, "n", "n"), (None, "n", "n"), (None, "a b c", "q")]
+    out = minhash.representatives(spark.createDataFrame(docs, "doc_id long, text string, class string"))
+    assert out.columns == ["doc_id", "text", "class"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a b c", "x"), (3, None, "z"), (4, "", None), (None, "n", "n")], key=str)
