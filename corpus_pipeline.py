@@ -12,9 +12,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import aislewise
-from aislewise.llm import bpe
+from aislewise.llm import bpe, fmindex, minhash, nbsvm, secrets
 from aislewise.session import shared_dir
 
 # Workers of a session that was started elsewhere can't import the package, so its functions travel by value.
@@ -23,13 +24,49 @@ cloudpickle.register_pickle_by_value(aislewise)
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier, learned from the labels, rejects."""
+    return nbsvm.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate group: the one with the smallest id, one row of it."""
+    return minhash.representatives(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts benchmark passages out of the texts; documents that are nothing else go."""
+    found = fmindex.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return recounted(docs, fmindex.cut(found).select(*docs.columns))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets, those that only their owner has among them."""
+    return recounted(docs, secrets.redact(docs))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the token ids of each text and their number."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.encode(docs, path)
+    """Adds the token ids of each text, 4 bytes each, and their number."""
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
+def recounted(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The number of characters of texts that may have changed, where the documents carry it."""
+    if "n_chars" not in before.columns:
+        return after
+    kind = before.schema["n_chars"].dataType
+    counted = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+    return after.withColumn("n_chars", counted)
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe", tokenize)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near-duplicates", deduplicate),
+    ("decontamination", decontaminate),
+    ("secrets", redact),
+    ("bpe", tokenize),
+]
 
 # Models that are fitted in the run, and token ids, have no SQL form: tests compare the stages with brute force.
 ORACLE_SQL: str | None = None
