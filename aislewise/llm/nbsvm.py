@@ -8,7 +8,8 @@ with the smallest hash of their id. Its margins become probabilities by a logist
 that did not see the row.
 
 Counts cover all training rows; the sample bounds only the fit of the linear model, on the driver. Shuffles carry a row
-per (feature, task) for the counts, and features, not texts, for the join with labels. Scoring reads each text once.
+per (feature, task) for the counts, and features of rows that may be labelled, not texts, for the join with labels.
+Features of other rows are never stored: a second scan scores every text as it reads it.
 
 Defined results: labels that are null, or differ between rows of one id, are not used. A row is held out if crc32 of
 its id as text leaves 2 mod 4; a null id is neither held out nor labelled. Null and empty texts have no features and
@@ -18,7 +19,7 @@ Every row gives one row, repeated rows included.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import by_batch, raw_bytes, written
+from aislewise.llm.common import raw_bytes, written
+from aislewise.llm.minhash import bit_of, bitmap
 
 BITS = 18
 SIZE = 1 << BITS
@@ -75,31 +77,57 @@ def features(text: bytes, known: tuple[dict, dict]) -> np.ndarray:
     return np.unique(np.concatenate([*ngrams(shapes, 3), words]) >> np.uint64(64 - BITS)).astype("<u4")
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Sorted numbers as their differences, byte plane by byte plane: the high planes are mostly zero and compress."""
+    steps = np.diff(numbers.astype("<u4"), prepend=np.uint32(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
 def unpack(packed: bytes | None) -> np.ndarray:
-    return np.frombuffer(packed or b"", dtype="<u4")
+    planes = np.frombuffer(packed or b"", dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-def featured(docs: DataFrame) -> DataFrame:
-    """(doc_id, features) of every row; features are packed numbers."""
+def possibly_labelled(docs: DataFrame, ids: DataFrame, measure: Callable[[], Callable[[bytes], bytes]], into: str) -> DataFrame:
+    """(doc_id, ``into``) of the rows of ``docs`` whose id is in ``ids``, and of a few more.
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: tuple[dict, dict] = ({}, {})
-        packed = [features(t, known).tobytes() for t in raw_bytes(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "features"])
+    A bitmap of fixed size tells which texts to read; the join with the labels, which follows, is exact. ``measure``
+    makes, once a task, the function from a text to what is kept of it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids.select(bit_of(F.col("doc_id")).alias("bit"))))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kept = shared.value, measure()
+        for batch in batches:
+            bit = batch.column(2).to_numpy()
+            batch = batch.take(pa.array(np.flatnonzero((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)))
+            packed = pa.array(list(map(kept, raw_bytes(batch.column(1)))), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["doc_id", into])
 
-    schema = docs.select("doc_id").schema.add("features", "binary")
-    return by_batch(docs.select("doc_id", "text"), work, schema)
+    schema = docs.select("doc_id").schema.add(into, "binary")
+    return docs.select("doc_id", "text", bit_of(F.col("doc_id")).alias("bit")).mapInArrow(work, schema)
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
-def training_rows(table: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, features, y) of the rows that may be learned from."""
+def agreed_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the labels that may be learned from."""
     agreed = labels.groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("y2")).where("y = y2 AND y IN (0, 1)")
-    agreed = agreed.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("y").cast("int").alias("y"))
-    return table.join(agreed, "doc_id")
+    agreed = agreed.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return agreed.select("doc_id", F.col("y").cast("int").alias("y"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, features, y) of the rows that may be learned from."""
+
+    def measure() -> Callable[[bytes], bytes]:
+        known: tuple[dict, dict] = ({}, {})
+        return lambda text: pack(features(text, known))
+
+    agreed = agreed_labels(labels, label)
+    return possibly_labelled(docs, agreed, measure, "features").join(agreed, "doc_id")
 
 
 def class_counts(rows: DataFrame) -> np.ndarray:
@@ -127,9 +155,8 @@ def log_count_ratios(counts: np.ndarray) -> np.ndarray:
     return np.where(counts[:, :SIZE].any(axis=0), np.log(one / zero), 0.0)
 
 
-def scaled(packed: bytes | None, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def scaled(at: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers and values of a row, of length 1 so that long texts don't outweigh short ones."""
-    at = unpack(packed)
     value = ratios[at]
     norm = np.sqrt((value**2).sum())
     return at, value / norm if norm else value
@@ -181,15 +208,15 @@ class Model:
     slope: float
     offset: float
 
-    def score(self, packed: bytes | None) -> float:
-        at, value = scaled(packed, self.ratios)
+    def score(self, numbers: np.ndarray) -> float:
+        at, value = scaled(numbers, self.ratios)
         margin = self.weights[at] @ value + self.weights[SIZE]
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40))))
 
 
-def fit(table: DataFrame, labels: DataFrame, label: str) -> Model:
-    """Fits on the labelled rows of ``table`` (doc_id, features)."""
-    rows = written(training_rows(table, labels, label))
+def fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
+    """Fits on the labelled rows of ``docs`` that are not held out."""
+    rows = written(training_rows(docs, labels, label))
     counts = class_counts(rows)
     zero, one = counts[:, SIZE]
     if not zero or not one:
@@ -198,7 +225,7 @@ def fit(table: DataFrame, labels: DataFrame, label: str) -> Model:
     ratios = log_count_ratios(counts)
     order = (F.xxhash64("doc_id"), "doc_id", "features")
     sample = [r for y in (0, 1) for r in rows.where(F.col("y") == y).orderBy(*order).limit(SAMPLE).collect()]
-    x = [scaled(r.features, ratios) for r in sample]
+    x = [scaled(unpack(r.features), ratios) for r in sample]
     y = np.array([1.0 if r.y else -1.0 for r in sample])
     # Each sampled row stands for as many rows of its class as all its class has to the sample.
     weight = np.where(y > 0, one / (y > 0).sum(), zero / (y < 0).sum())
@@ -212,23 +239,28 @@ def fit(table: DataFrame, labels: DataFrame, label: str) -> Model:
     return Model(ratios, fit_hinge(x, y, cost), *fit_curve(margins, y, weight))
 
 
-def scored(table: DataFrame, model: Model) -> DataFrame:
-    """``table`` (doc_id, features) with ``score`` in place of the features."""
-    shared = table.sparkSession.sparkContext.broadcast((model.ratios, model.weights, model.slope, model.offset))
+def scored(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
+    """(doc_id, score) of every row; with ``keep`` instead the rows of class 1, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.weights, model.slope, model.offset))
+    at = docs.columns.index("text") if keep else 1
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held = Model(*shared.value)
-        scores = pa.array([held.score(p) for p in batch.column(1).to_pylist()], pa.float64())
-        return pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "score"])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = Model(*shared.value), ({}, {})
+        for batch in batches:
+            scores = np.array([held.score(features(t, known)) for t in raw_bytes(batch.column(at))], dtype=float)
+            if keep:
+                yield batch.filter(pa.array(scores >= THRESHOLD))
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
-    schema = table.select("doc_id").schema.add("score", "double")
-    return by_batch(table.select("doc_id", "features"), work, schema)
+    if keep:
+        return docs.mapInArrow(work, docs.schema)
+    return docs.select("doc_id", "text").mapInArrow(work, docs.select("doc_id").schema.add("score", "double"))
 
 
 def report(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    table = written(featured(docs))
-    return scored(table, fit(table, labels, label)).select(
+    return scored(docs, fit(docs, labels, label)).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
@@ -238,13 +270,4 @@ def report(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFr
 
 def keep(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """The rows of ``docs`` that the model fitted on them predicts to be of class 1, all columns as they are."""
-    model = fit(written(featured(docs)), labels, label)
-    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.weights, model.slope, model.offset))
-    at = docs.columns.index("text")
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held, known = Model(*shared.value), ({}, {})
-        texts = raw_bytes(batch.column(at))
-        return batch.filter(pa.array([held.score(features(t, known).tobytes()) >= THRESHOLD for t in texts], pa.bool_()))
-
-    return by_batch(docs, work, docs.schema)
+    return scored(docs, fit(docs, labels, label), keep=True)

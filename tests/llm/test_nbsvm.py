@@ -71,7 +71,7 @@ def test_cases(spark):
 
 def test_training_rows(spark):
     _, labels = made(10)
-    table = spark.createDataFrame([(i, b"") for i in range(10)], "doc_id long, features binary")
+    table = spark.createDataFrame([(i, "a") for i in range(10)], "doc_id long, text string")
     extra = [(3, 1 - dict((d, q) for d, q, _ in labels)[3], 0.0), (None, 1, 0.0)]
     rows = nbsvm.training_rows(table, spark.createDataFrame(labels + extra, LABELS), "quality").collect()
     assert sorted(r.doc_id for r in rows) == [i for i in range(10) if i != 3 and not held_out(i)]
@@ -90,7 +90,7 @@ def test_empty_table(spark):
 
 
 def test_counts_and_ratios(spark):
-    packed = lambda *f: np.array(f, "<u4").tobytes()
+    packed = lambda *f: nbsvm.pack(np.array(f))
     rows = spark.createDataFrame([(packed(1, 2), 1), (packed(2), 1), (packed(3), 0)], "features binary, y int")
     counts = nbsvm.class_counts(rows.repartition(3))
     assert counts[:, [1, 2, 3, nbsvm.SIZE]].tolist() == [[0, 0, 1, 1], [1, 2, 0, 2]]
@@ -98,6 +98,12 @@ def test_counts_and_ratios(spark):
     assert np.allclose(ratios[[0, 2, 3]], [0, np.log((3 / 4) / (1 / 3)), np.log((1 / 4) / (2 / 3))])
 
 
+def test_packing():
+    for numbers in ([], [0], [5, 6, 300, 70_000, 2**26 - 1]):
+        assert nbsvm.unpack(nbsvm.pack(np.array(numbers, dtype="<u4"))).tolist() == numbers
+    assert nbsvm.unpack(None).tolist() == []
+
+
 def test_hinge_fit_is_optimal():
     """At the optimum, multipliers follow the margins: outside the margin 0, inside their cost."""
     rng = np.random.default_rng(3)
