@@ -7,7 +7,7 @@ so a later link learns how far it may trust them. The last link is the overall l
 A category's label is a column of the label table, or, where only the overall label exists, that label restricted to
 texts that hold one of the category's seed words.
 
-Words and their beginnings are 32-bit hashes. Spark counts over all labelled training rows in how many texts of each class a word stands, and
+Words and their beginnings are hashes of ``BITS`` bits. Spark counts over all labelled training rows in how many texts of each class a word stands, and
 keeps the words whose log odds ratio is ``Z`` standard errors from zero, at most ``WORDS`` per category (the model's size).
 The linear models are fitted on the driver on at most ``SAMPLE`` rows of each class of the last category, those with
 the smallest hash of their id, weighted to stand for all rows. Scoring reads every text once and adds up its known
@@ -20,7 +20,7 @@ without training rows of both classes has a constant probability. Each row gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.common import by_batch, raw_bytes, written
 from aislewise.llm.fmindex import split_words
-from aislewise.llm.minhash import bit_of, bitmap
-from aislewise.llm.nbsvm import held_out
+from aislewise.llm.nbsvm import held_out, pack, possibly_labelled, unpack
 
 Z = 4.0
 WORDS = 4_096
@@ -41,7 +40,8 @@ FOLDS = 3
 RIDGE = 1e-3
 STEPS = 150
 CLIP = 6.0  # log-odds handed to later links
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+BITS = 26  # of a word's number
 STEMS = (4, 5)  # bytes of a word's beginning that count as words of their own, as endings vary
 
 
@@ -63,7 +63,7 @@ CHAIN = (
 
 
 def word_number(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word)
+    return xxhash.xxh32_intdigest(word) >> (32 - BITS)
 
 
 def numbers(text: bytes, known: dict[bytes, int]) -> np.ndarray:
@@ -87,24 +87,16 @@ def labelled(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...]) ->
     for c in columns:
         agreed = agreed.where(f"l_{c} = h_{c} AND l_{c} IN (0, 1)")
     agreed = agreed.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", *[f"l_{c}" for c in columns])
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(agreed.select(bit_of(F.col("doc_id")).alias("bit"))))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = shared.value, {}
-        for batch in batches:
-            bit = batch.column(2).to_numpy()
-            wanted = pa.array(np.flatnonzero((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1))
-            batch = batch.take(wanted)
-            packed = [numbers(t, known).tobytes() for t in raw_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "words"])
-
-    schema = docs.select("doc_id").schema.add("words", "binary")
-    words = docs.select("doc_id", "text", bit_of(F.col("doc_id")).alias("bit")).mapInArrow(work, schema)
-    rows = words.join(agreed, "doc_id")
+    def measure() -> Callable[[bytes], bytes]:
+        known: dict[bytes, int] = {}
+        return lambda text: pack(numbers(text, known))
+
+    rows = possibly_labelled(docs, agreed, measure, "words").join(agreed, "doc_id")
     seeds = [np.array([word_number(s.encode()) for s in c.seeds], dtype="<u4") for c in chain]
 
     def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [np.frombuffer(w, "<u4") for w in batch.column(1).to_pylist()]
+        texts = [unpack(w) for w in batch.column(1).to_pylist()]
         ys = []
         for c, wanted in zip(chain, seeds):
             y = np.array(batch.column(f"l_{c.label}").to_pylist(), dtype=np.int32)
@@ -113,6 +105,7 @@ def labelled(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...]) ->
             ys.append(pa.array(y))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *ys], ["doc_id", "words", *y_names(chain)])
 
+    schema = rows.select("doc_id", "words").schema
     for name in y_names(chain):
         schema = schema.add(name, "integer")
     return by_batch(rows, narrow, schema)
@@ -129,7 +122,7 @@ def telling_words(rows: DataFrame, chain: tuple[Category, ...]) -> tuple[list[np
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [np.frombuffer(w, "<u4") for w in batch.column(0).to_pylist()]
+            texts = [unpack(w) for w in batch.column(0).to_pylist()]
             word, at = np.unique(np.concatenate([np.empty(0, "<u4"), *texts]), return_inverse=True)
             sizes = [len(t) for t in texts]
             sums = [
@@ -204,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...]) -> list
     last = y_names(chain)[-1]
     order = (F.xxhash64("doc_id"), "doc_id", "words")
     sample = [r for k in (0, 1) for r in rows.where(F.col(last) == k).orderBy(*order).limit(SAMPLE).collect()]
-    texts = [np.frombuffer(r.words, "<u4") for r in sample]
+    texts = [unpack(r.words) for r in sample]
     y = np.array([[r[c] for c in y_names(chain)] for r in sample], dtype=float).reshape(len(sample), len(chain))
     n = {k: max(1, (y[:, -1] == k).sum()) for k in (0, 1)}
     weight = np.where(y[:, -1] == 1, positive[-1] / n[1], (total - positive[-1]) / n[0])

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 
 from aislewise.llm import toxicity
+from aislewise.llm.nbsvm import pack
 from aislewise.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.1"
@@ -87,7 +88,7 @@ def test_no_labels_one_class_and_no_rows(spark):
 
 def test_telling_words(spark):
     rows = spark.createDataFrame(
-        [(np.array([1] + [2] * (i % 2), "<u4").tobytes(), i % 2) for i in range(200)], "words binary, y0 int"
+        [(pack(np.array([1] + [2] * (i % 2))), i % 2) for i in range(200)], "words binary, y0 int"
     )
     words, positive, total = toxicity.telling_words(rows.repartition(3), (toxicity.Category("a", "a"),))
     assert words[0].tolist() == [2] and positive.tolist() == [100] and total == 200
