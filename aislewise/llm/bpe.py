@@ -36,7 +36,7 @@ from aislewise.llm.common import by_batch, raw_bytes
 BLANKS = b" \t\n\r\x0b\x0c"
 # The published split pattern of byte-level BPE; it has to match the vocabulary's, so it is a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 600_000  # fragments a worker keeps; only speed depends on it
+REMEMBERED = 400_000  # fragments a worker keeps; only speed depends on it
 LONG = 64  # bytes from which merging uses a heap
 
 
@@ -223,7 +223,7 @@ def encoder(vocabulary: dict) -> Callable[[list[bytes]], list[bytes]]:
     return encode
 
 
-def slices(texts: list[bytes], size: int = 2_000_000) -> Iterator[list[bytes]]:
+def slices(texts: list[bytes], size: int = 1_000_000) -> Iterator[list[bytes]]:
     """Runs of texts of about ``size`` bytes, so that the fragments in memory at once are bounded."""
     run, held = [], 0
     for x in texts:

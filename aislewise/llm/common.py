@@ -13,6 +13,7 @@ from aislewise.session import shared_dir
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROW = "__row"
+SLICE = 1_000  # rows
 
 
 def ascii_lower(column: Column) -> Column:
@@ -29,12 +30,12 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Applies ``work`` to each Arrow batch of each partition; memory is bounded by a batch."""
+    """Applies ``work`` to slices of each Arrow batch of each partition, so that few rows are Python objects at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for start in range(0, batch.num_rows, SLICE):
+                yield work(batch.slice(start, SLICE))
 
     return df.mapInArrow(run, schema)
 
