@@ -45,9 +45,9 @@ NUMERATOR, DENOMINATOR = 75, 100
 # A pair at the threshold agrees in 0.75 of 128 minima with a standard deviation of 0.038; this is 5 of them below.
 SIGNATURE_FLOOR = 0.56
 BITMAP_BITS = 1 << 23
-CHUNK, CHUNK_BYTES = 500, 32_000_000  # members of a bucket, and bytes of their sets, that a group holds twice at most
+CHUNK, CHUNK_BYTES = 500, 16_000_000  # members of a bucket, and bytes of their sets, that a group holds twice at most
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-REMEMBERED = 500_000  # word hashes a worker keeps; only speed depends on it
+REMEMBERED = 200_000  # word hashes a worker keeps; only speed depends on it
 
 
 def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,9 +99,10 @@ def class_key(words: list[bytes]) -> bytes:
 def profiles(docs: DataFrame, bands: int, rows: int, size: int, *passed: str) -> DataFrame:
     """(doc_id, class, n, signature) of every row, and columns ``passed``; class and signature are null without words."""
 
+    known: dict[bytes, int] = {}  # of a task: it gets its own copy of this function
+    functions = hash_functions(bands * rows)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: dict[bytes, int] = {}
-        functions = hash_functions(bands * rows)
         seen: dict[bytes, tuple[int, bytes]] = {}
         keys, counts, signatures = [], [], []
         for text in raw_bytes(batch.column(1)):
@@ -222,25 +223,30 @@ def placed(busy: DataFrame, links: DataFrame) -> DataFrame:
     return written(rows.join(open_, "bucket"))
 
 
-def connect(group: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
-    """Links (a, b) that join the components c of a group's members (no, c, items): every member outside the largest
-    component is intersected with all others at once, through the list of members of each of its shingles."""
-    items = [np.frombuffer(x, np.uint64) for _, _, x in group]
+def connect(group: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int]]:
+    """Links (a, b) that join the components c of a group's members (no, c, signature, items).
+
+    Every member outside the largest component is compared with all members of other components: signatures first,
+    and full sets of those that may reach the threshold, whole lists of them at once by counting common shingles.
+    """
+    no, c = [x[0] for x in group], np.unique([x[1] for x in group], return_inverse=True)[1]
+    signatures = np.array([np.frombuffer(x[2], "<u4") for x in group])
+    items = [np.frombuffer(x[3], np.uint64) for x in group]
     sizes = np.array([len(x) for x in items])
-    _, shingle = np.unique(np.concatenate(items), return_inverse=True)
-    begins = np.concatenate([[0], np.cumsum(sizes)])
-    holder = np.repeat(np.arange(len(items)), sizes)[np.argsort(shingle, kind="stable")]
-    listed = np.concatenate([[0], np.cumsum(np.bincount(shingle))])
-    no, c = [x for x, _, _ in group], np.unique([x for _, x, _ in group], return_inverse=True)[1]
     place = c.copy()  # merged components
     out = []
     for q in np.flatnonzero(c != np.bincount(c).argmax()).tolist():
-        mine = shingle[begins[q] : begins[q + 1]]
-        lengths = listed[mine + 1] - listed[mine]
-        at = np.repeat(listed[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        common = np.bincount(holder[at], minlength=len(items))
-        near = DENOMINATOR * common >= NUMERATOR * (sizes[q] + sizes - common)
-        for x in np.flatnonzero(near & (place != place[q])).tolist():
+        fits = (np.minimum(sizes, sizes[q]) * DENOMINATOR >= np.maximum(sizes, sizes[q]) * NUMERATOR) & (place != place[q])
+        others = np.flatnonzero(fits)
+        others = others[(signatures[others] == signatures[q]).mean(axis=1) >= SIGNATURE_FLOOR]
+        if not len(others):
+            continue
+        every = np.concatenate([items[x] for x in others])
+        at = np.minimum(np.searchsorted(items[q], every), sizes[q] - 1)
+        holder = np.repeat(np.arange(len(others)), sizes[others])
+        common = np.bincount(holder[items[q][at] == every], minlength=len(others))
+        near = DENOMINATOR * common >= NUMERATOR * (sizes[q] + sizes[others] - common)
+        for x in others[near].tolist():
             if place[x] != place[q]:
                 out.append((no[q], no[x]))
                 place[place == place[x]] = place[q]
@@ -256,16 +262,16 @@ def closing_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[int, int, bytes]] = []
+        group: list[tuple[int, int, bytes, bytes]] = []
         at = None
         for batch in itertools.chain(batches, [None]):
             links: list[tuple[int, int]] = []
-            columns = [c.to_pylist() for c in batch.columns] if batch is not None else [[None]] * 6
-            for *key, no, c, items in zip(*columns):
+            columns = [c.to_pylist() for c in batch.columns] if batch is not None else [[None]] * 7
+            for *key, no, c, signature, items in zip(*columns):
                 if key != at:
-                    links += connect(group) if len({x for _, x, _ in group}) > 1 else []
+                    links += connect(group) if len({x[1] for x in group}) > 1 else []
                     group, at = [], key
-                group.append((no, c, items))
+                group.append((no, c, signature, items))
             a, b = zip(*links) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -277,9 +283,9 @@ def closing_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     spread = rows.join(weighed, "bucket").select("*", mine)
     spread = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     spread = spread.select("bucket", "no", "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    members = spread.join(sets.select("no", "items"), "no")
+    members = spread.join(sets.select("no", "signature", "items"), "no")
     key = ["bucket", "i", "j"]
-    rows = members.select(*key, "no", "c", "items").repartition(*key).sortWithinPartitions(*key)
+    rows = members.select(*key, "no", "c", "signature", "items").repartition(*key).sortWithinPartitions(*key)
     return rows.mapInArrow(run, "a long, b long")
 
 

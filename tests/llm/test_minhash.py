@@ -123,8 +123,11 @@ def test_closing_links_join_what_pivots_left(spark):
 
     sets = {0: range(0, 100), 1: range(5, 105), 2: range(500, 600), 3: range(503, 600), 4: range(900, 1000), 5: range(2, 101)}
     rows = spark.createDataFrame([(7, k, k) for k in sets] + [(8, 0, 0), (8, 4, 4)], "bucket long, no long, c long")
-    items = [(k, len(v), np.array(v, np.uint64).tobytes()) for k, v in sets.items()]
-    table = spark.createDataFrame(items, "no long, n long, items binary")
+    draw = np.random.default_rng(9).integers(0, 2**63, 1000).astype(np.uint64)
+    sets = {k: np.sort(draw[list(v)]) for k, v in sets.items()}
+    functions = minhash.hash_functions(128)
+    items = [(k, len(v), minhash.signature(v, functions).tobytes(), v.tobytes()) for k, v in sets.items()]
+    table = spark.createDataFrame(items, "no long, n long, signature binary, items binary")
     for chunk in (500, 2):
         minhash_chunk, minhash.CHUNK = minhash.CHUNK, chunk
         try:
