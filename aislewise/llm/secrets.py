@@ -2,8 +2,9 @@
 
 Each text is scanned for three base kinds (assignments, access keys, long hex) and for further candidates: runs of 20 or
 more token characters that hold both letters and digits. Of every candidate only a 128-bit hash of its value leaves the
-scan. Hashes are counted over all rows by distinct repositories and owners. A value that ``EXAMPLE_OWNERS`` owners share
-is a widely copied example; one that a single owner has, and that looks live (enough entropy, no placeholder word), is
+scan. Hashes are counted over all rows by distinct repositories and owners. A value that ``EXAMPLE_OWNERS`` owners or
+``EXAMPLE_REPOSITORIES`` repositories hold is a widely copied example, so one owner's thousand copies are no secret. Any
+other value, two owners' among them, is owner-specific; if it also looks live (enough entropy, no placeholder word), it is
 a live credential. The further candidates found live are added as spans of kind ``owned``; base spans always stay.
 
 Counting goes in three steps, each summed up map-side: distinct (hash, owner, repository), repositories per (hash,
@@ -31,6 +32,7 @@ from aislewise.llm.common import by_batch, raw_bytes, written
 
 KINDS = ("assign", "access", "hex", "owned")
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 10  # of all owners together
 LIVE_ENTROPY = 3.0  # bits a character
 PLACEHOLDERS = ("example", "sample", "dummy", "placeholder", "changeme", "xxxx", "0000", "1234", "abcd")
 
@@ -145,7 +147,8 @@ def joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """doc_id, text_key, ``base`` and ``spans`` (sorted arrays of start, kind, end), n_live and n_example of each row.
+    """doc_id, text_key, ``base`` and ``spans`` (sorted arrays of start, kind, end), ``uses`` (owners and repositories of
+    the value of each span, in the order of ``spans``), n_live and n_example of each row.
 
     ``docs`` has doc_id, text and the columns that name the owner and the repository of a row.
     """
@@ -153,13 +156,10 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
     rows = texts.where("size(found) > 0").select("*", F.explode("found").alias("c")).select(
         "doc_id", "text_key", "owner", "repository", "c.*"
     )
-    example = F.col("owners") >= EXAMPLE_OWNERS
-    known = ownership(rows).select(
-        "value", F.when(example, "example").when(F.col("owners") == 1, "owned").otherwise("shared").alias("use")
-    )
-    live = F.col("live") & (F.col("use") == "owned")
-    judged = rows.join(known, "value").where((F.col("kind") < 3) | live)
-    span = F.struct("start", "kind", "end", live.alias("live"), (F.col("use") == "example").alias("example"))
+    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    live = F.col("live") & ~example
+    judged = rows.join(ownership(rows), "value").where((F.col("kind") < 3) | live)
+    span = F.struct("start", "kind", "end", live.alias("live"), example.alias("example"), "owners", "repositories")
     of_text = judged.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(span)).alias("s"))
     same = F.expr("t.doc_id <=> o.doc_id AND t.text_key = o.text_key")
     plain = lambda s: F.struct(s["start"], s["kind"], s["end"])
@@ -173,6 +173,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
             "text_key",
             F.transform(F.filter("s", lambda x: x["kind"] < 3), plain).alias("base"),
             F.transform("s", plain).alias("spans"),
+            F.transform("s", lambda x: F.struct(x["owners"], x["repositories"])).alias("uses"),
             F.size(F.filter("s", lambda x: x["live"])).cast("long").alias("n_live"),
             F.size(F.filter("s", lambda x: x["example"])).cast("long").alias("n_example"),
         )
@@ -180,7 +181,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
 
 
 def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """Counts per kind, the digest of the base spans and all spans, one row per document."""
+    """Counts per kind, the digest of the base spans, all spans and owners:repositories of each, one row per document."""
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return scan(docs, owner, repository).select(
         "doc_id",
@@ -189,6 +190,7 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
         count(2).alias("n_hex"),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("uses", lambda u: F.concat_ws(":", u["owners"], u["repositories"])), ",").alias("uses"),
         "n_live",
         "n_example",
     )

@@ -79,6 +79,23 @@ def test_ownership(spark):
     assert tuple(known.first()) == ("v", 2, 3)
 
 
+def test_widely_copied(spark):
+    two, hot = "Q9z8Y7x6W5v4U3t2S1r0Pp", "Kk3jH5gF7dS9aP1oI2uY4t"
+    docs = [(i, f"copy {hot}", "hot") for i in range(3_000)]  # one source, thousands of copies
+    docs += [(5_000, f"mine {OWN}", "hot"), (5_001, f"ours {two}", "a"), (5_002, f"ours {two}", "b")]
+    edge = {9: "Nn3jH5gF7dS9aP1oI2uY4t", 10: "Mm3jH5gF7dS9aP1oI2uY4t"}  # one below the limit, and the limit
+    docs += [(6_000 + 100 * n + i, f"edge {v}", "e") for n, v in edge.items() for i in range(n)]
+    docs += [(7_500, f"token={hot}", "hot")]
+    rows = {r.doc_id: r for r in secrets.report(frame(spark, docs)).collect()}
+    assert {(rows[i].spans, rows[i].n_live) for i in range(3_000)} == {("", 0)}
+    assert (rows[7_500].n_live, rows[7_500].n_example, rows[7_500].uses) == (0, 1, "1:3001")
+    assert (rows[5_000].spans, rows[5_000].uses, rows[5_000].n_live) == ("owned:5:27", "1:1", 1)
+    assert {(rows[i].spans, rows[i].uses, rows[i].n_live) for i in (5_001, 5_002)} == {("owned:5:27", "2:2", 1)}
+    assert rows[6_900].uses == "1:9" and rows[6_900].n_live == 1 and rows[7_000].spans == ""
+    kept = {r.doc_id: r.text for r in secrets.redact(frame(spark, docs)).collect()}
+    assert kept[0] == f"copy {hot}" and kept[5_000] == "mine [secret]" and kept[5_001] == kept[5_002] == "ours [secret]"
+
+
 def test_redact(spark):
     docs = [(1, f"é token={'ab12' * 8} and {OWN}.", "a"), (2, "clean", "b"), (3, None, None), (1, "clean", "a")]
     out = secrets.redact(frame(spark, docs))
