@@ -1,9 +1,9 @@
 """The supply graph: suppliers, lots (part and supplier), customers, and nations as stores."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aislewise.operators import graph as G
+from aislewise.operators.places import places
 from workload import views as V
 from workload.registry import query
 
@@ -343,6 +343,19 @@ def recall_dispatch(spark, sf_dir):
     return G.dispatch(view_360(spark, sf_dir), hot_lot(g))
 
 
+VIP_PLACES_SQL = f"""WITH {GRAPH_SQL} SELECT transaction_id, serial_number, row_number() OVER (ORDER BY loyalty_tier DESC,
+risk_score DESC, name, transaction_id, serial_number) AS place
+FROM pattern WHERE risk_score >= 0.75 AND loyalty_tier IN ('PLATINUM', 'GOLD')
+  AND (qa_inspection_status = 'FLAGGED_HARMFUL_MATERIAL' OR recall_status LIKE '%RECALL%'
+       OR exposure_flag = 'CONTAMINATED_HARMFUL')"""
+
+
+@query("vip_places", VIP_PLACES_SQL)
+def vip_places(spark, sf_dir):
+    """Every row of the recall list, numbered as it stands in its order."""
+    return places(G.vip_order(G.vip_recall(recall_graph(spark, sf_dir))), "transaction_id", "serial_number")
+
+
 @query(
     "vip_order",
     f"""WITH {GRAPH_SQL} SELECT transaction_id, serial_number, row_number() OVER (ORDER BY loyalty_tier DESC, risk_score DESC,
@@ -352,8 +365,5 @@ FROM pattern WHERE risk_score >= 0.75 AND loyalty_tier IN ('PLATINUM', 'GOLD')
        OR exposure_flag = 'CONTAMINATED_HARMFUL') QUALIFY place <= 100""",
 )
 def vip_order(spark, sf_dir):
-    """The first hundred rows of the recall list, numbered as they stand in its order."""
-    first = G.vip_order(G.vip_recall(recall_graph(spark, sf_dir))).limit(100).select("transaction_id", "serial_number")
-    rising = first.withColumn("at", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.orderBy("at"))
-    return rising.select("transaction_id", "serial_number", place.cast("long").alias("place"))
+    """The first hundred places of ``vip_places``."""
+    return vip_places(spark, sf_dir).where("place <= 100")
