@@ -41,6 +41,7 @@ from aislewise.llm.common import ROW, by_batch, raw_bytes, written
 from aislewise.llm.components import components
 
 WORDS, BANDS, ROWS = 5, 32, 4
+DIGEST = "__digest"
 NUMERATOR, DENOMINATOR = 75, 100
 # A pair at the threshold agrees in 0.75 of 128 minima with a standard deviation of 0.038; this is 5 of them below.
 SIGNATURE_FLOOR = 0.56
@@ -315,20 +316,24 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
 
 
 def representatives(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """One row of ``docs`` for each group: of the document whose id is the component's, its first row if ids repeat.
+    """One row of ``docs`` for each group: its first row of the smallest id. Groups are told apart by the number of their
+    component, so texts that are not linked stay, whatever ids they share.
 
-    Rows without words stand alone, but repeated rows of one id are one document there too. Rows whose component has no
-    id are reduced by their text. Only ids and class keys are shuffled to choose; the texts are joined once.
+    Rows without words stand alone; those equal in id and text are one document. Only ids, class keys and text digests are
+    shuffled to choose; the texts are joined once.
     """
     numbers = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    found = groups(numbers, bands, rows, words, ROW)
-    chosen = found.where("kept").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("class")).alias("k"))
-    chosen = chosen.agg(F.min(ROW).alias(ROW)).select(ROW)
+    digest = F.unhex(F.md5("text"))
+    found = groups(numbers.select("doc_id", "text", ROW, digest.alias(DIGEST)), bands, rows, words, ROW, DIGEST)
+    # Kept rows of one component have one id.
+    alone = F.when(F.col("class").isNull(), F.struct("doc_id", DIGEST))
+    chosen = found.where("kept").groupBy("component", alone.alias("alone")).agg(F.min(ROW).alias(ROW)).select(ROW)
     return numbers.join(chosen, ROW, "left_semi").select(*docs.columns)
 
 
 def groups(docs: DataFrame, bands: int, rows: int, words: int, *passed: str) -> DataFrame:
-    """doc_id, class, n_shingles, component_id, kept and the columns ``passed`` of every row."""
+    """doc_id, class, component, n_shingles, component_id, kept and the columns ``passed`` of every row. The number
+    ``component`` is null without words."""
     profile = written(profiles(docs, bands, rows, words, *passed))
     classes = profile.where("class IS NOT NULL").groupBy("class")
     classes = classes.agg(
@@ -350,15 +355,16 @@ def groups(docs: DataFrame, bands: int, rows: int, words: int, *passed: str) ->
     # The smallest id of each component, from its classes.
     named = classes.select("no", "class", "first_id").join(found.withColumnRenamed("node", "no"), "no")
     least = named.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    grouped = named.join(least, "component").select("class", "least_id")
-    of_class = classes.select("class", "first_id").join(grouped, "class", "left").select(
-        "class", F.coalesce("least_id", "first_id").alias("of_class")
+    grouped = named.join(least, "component").select("class", "component", "least_id")
+    of_class = classes.select("class", "no", "first_id").join(grouped, "class", "left").select(
+        "class", F.coalesce("component", "no").alias("component"), F.coalesce("least_id", "first_id").alias("of_class")
     )
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("of_class"))
     out = profile.select("doc_id", "class", "n", *passed).join(of_class, "class", "left")
     return out.select(
         "doc_id",
         "class",
+        "component",
         *passed,
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),

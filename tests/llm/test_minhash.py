@@ -138,6 +138,17 @@ def test_closing_links_join_what_pivots_left(spark):
         assert found == {0: 0, 1: 0, 5: 0, 2: 2, 3: 2}
 
 
+def test_representatives_of_repeated_and_null_ids(spark):
+    a, b, c = ([f"{x}{i}" for i in range(200)] for x in "abc")
+    near = lambda words: " ".join([*words[:-1], "other"])
+    a, b2, b, c2, c = " ".join(a), near(b), " ".join(b), near(c), " ".join(c)
+    docs = [(1, a), (1, b), (2, b2), (None, c), (None, c2), (None, None), (None, ""), (None, " "), (None, ""), (3, None), (3, None)]
+    got = [tuple(r) for r in minhash.representatives(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert {(1, a), (1, b)} <= set(got) and (2, b2) not in got
+    assert sum(t in (c, c2) for _, t in got) == 1
+    assert sorted((r for r in got if not r[1] or r[1] == " "), key=str) == [(3, None), (None, " "), (None, ""), (None, None)] and len(got) == 7
+
+
 def test_representatives(spark):
     docs = [(1, "a b c", "x"), (1, "a b c", "x"), (2, "A b c", "y"), (3, None, "z"), (3, None, "z"), (4, "", None), (None, "n", "n"), (None, "n", "n"), (None, "a b c", "q")]
     out = minhash.representatives(spark.createDataFrame(docs, "doc_id long, text string, class string"))
