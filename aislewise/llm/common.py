@@ -29,6 +29,20 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def private(name: str, taken: list[str]) -> str:
+    """``name`` with so many underscores before it that no column is called so."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns of these names renamed, and the columns that give all of ``df`` back afterwards."""
+    own = {c: private(f"__{c}", df.columns) for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(own), [F.col(own.get(c, c)).alias(c) for c in df.columns]
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Applies ``work`` to slices of each Arrow batch of each partition, so that few rows are Python objects at once."""
 

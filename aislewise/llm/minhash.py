@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import ROW, by_batch, raw_bytes, written
+from aislewise.llm.common import ROW, by_batch, raw_bytes, set_aside, written
 from aislewise.llm.components import components
 
 WORDS, BANDS, ROWS = 5, 32, 4
@@ -322,13 +322,14 @@ def representatives(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words
     Rows without words stand alone; those equal in id and text are one document. Only ids, class keys and text digests are
     shuffled to choose; the texts are joined once.
     """
-    numbers = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    plain, back = set_aside(docs, ROW)
+    numbers = written(plain.withColumn(ROW, F.monotonically_increasing_id()))
     digest = F.unhex(F.md5("text"))
     found = groups(numbers.select("doc_id", "text", ROW, digest.alias(DIGEST)), bands, rows, words, ROW, DIGEST)
     # Kept rows of one component have one id.
     alone = F.when(F.col("class").isNull(), F.struct("doc_id", DIGEST))
     chosen = found.where("kept").groupBy("component", alone.alias("alone")).agg(F.min(ROW).alias(ROW)).select(ROW)
-    return numbers.join(chosen, ROW, "left_semi").select(*docs.columns)
+    return numbers.join(chosen, ROW, "left_semi").select(*back)
 
 
 def groups(docs: DataFrame, bands: int, rows: int, words: int, *passed: str) -> DataFrame:

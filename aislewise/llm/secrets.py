@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import by_batch, raw_bytes, written
+from aislewise.llm.common import by_batch, raw_bytes, set_aside, written
 
 KINDS = ("assign", "access", "hex", "owned")
 EXAMPLE_OWNERS = 3
@@ -199,10 +199,11 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
 def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id", mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span, and spans that overlap it, replaced by ``mask``."""
     spans = scan(docs, owner, repository).where("size(spans) > 0").select("doc_id", "text_key", "spans").distinct()
-    keyed = docs.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
+    plain, back = set_aside(docs, "text_key", "spans")
+    keyed = plain.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
     same = F.expr("d.doc_id <=> s.doc_id AND d.text_key = s.text_key")
     found = keyed.alias("d").join(spans.alias("s"), same, "left").select("d.*", "s.spans")
-    names, at = docs.columns, docs.columns.index("text")
+    names, at = plain.columns, plain.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
@@ -217,4 +218,4 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id", m
         columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return by_batch(found.select(*names, "spans"), work, docs.schema)
+    return by_batch(found.select(*names, "spans"), work, plain.schema).select(*back)

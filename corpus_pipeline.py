@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import aislewise
 from aislewise.llm import bpe, fmindex, minhash, nbsvm, secrets
+from aislewise.llm.common import set_aside
 from aislewise.session import shared_dir
 
 # Workers of a session that was started elsewhere can't import the package, so its functions travel by value.
@@ -36,8 +37,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out of the texts; documents that are nothing else go."""
-    found = fmindex.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return recounted(docs, fmindex.cut(found).select(*docs.columns))
+    plain, back = set_aside(docs, fmindex.SPANS, fmindex.ITEMS, fmindex.COUNT)
+    found = fmindex.find(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return recounted(docs, fmindex.cut(found).select(*back))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

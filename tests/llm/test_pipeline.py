@@ -87,3 +87,17 @@ def test_stages_take_empty_tables_and_odd_rows(spark, k):
     stage = corpus_pipeline.STAGES[k][1]
     assert stage(spark, docs.limit(0), SF).count() == 0
     assert stage(spark, docs, SF).count() == {0: 4, 1: 3, 2: 4, 3: 4, 4: 4}[k]
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_stages_keep_columns_of_any_name(spark, k):
+    """Columns that are called like those the operators work with keep their values and types."""
+    own = ["N_Words", "hit_spans", "hit_items", "__row", "__digest", "text_key", "spans", "__hit_spans"]
+    docs = spark.createDataFrame(
+        [(i, f"word{i} token=abcdefgh{i}", "en", "s", 3, *(f"{c} {i}" for c in own)) for i in range(3)],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in own),
+    )
+    out = corpus_pipeline.STAGES[k][1](spark, docs, SF)
+    assert out.schema.names == docs.schema.names
+    rows = out.collect()
+    assert all(r[c] == f"{c} {r.doc_id}" for r in rows for c in own) and (k == 0 or len(rows) == 3)
