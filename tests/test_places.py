@@ -25,3 +25,10 @@ def test_every_row_of_the_recall_list_has_a_place(spark):
     sf = "/root/testdata/sf0.01"
     n = QUERIES["recall_vip"](spark, sf).count()
     assert n > 100 and sorted(r.place for r in QUERIES["vip_places"](spark, sf).collect()) == list(range(1, n + 1))
+
+
+def test_whole_ledger_is_ranked_newest_day_first(spark):
+    got = QUERIES["ledger_places"](spark, "/root/testdata/sf0.001")
+    days = [r.business_date for r in got.orderBy("place").collect()]
+    assert len(set(days)) > 1 and days == sorted(days, reverse=True)
+    assert "Window" not in QUERIES["ordered_ledger"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()

@@ -2,10 +2,10 @@
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aislewise.operators import ledger as L
+from aislewise.operators.places import places
 from aislewise.plans import nightly
 from aislewise.session import shared_dir
 from aislewise.sources.tables import Sources
@@ -219,6 +219,16 @@ def ledger_written(spark, sf_dir):
     return spark.read.parquet(target).select(*L.LEDGER_COLUMNS)
 
 
+@query(
+    "ledger_places",
+    f"""WITH {LEDGER_CTE} SELECT business_date, store_id, item_id, row_number() OVER (ORDER BY business_date DESC,
+est_cover_hours_remaining ASC NULLS LAST, store_id, item_id) AS place FROM ledger""",
+)
+def ledger_places(spark, sf_dir):
+    """The place of every position in the whole reading order: newest day first."""
+    return places(L.display_order(ledger(spark, sf_dir)), "business_date", "store_id", "item_id")
+
+
 @query(
     "ordered_ledger",
     f"""WITH {LEDGER_CTE} SELECT store_id, item_id, row_number() OVER (PARTITION BY business_date
@@ -226,6 +236,7 @@ ORDER BY est_cover_hours_remaining ASC NULLS LAST, store_id, item_id) AS place,
 )
 def ordered_ledger(spark, sf_dir):
     """The place of every position in its day's reading order: shortest cover first, unknown cover last."""
-    order = [F.col("est_cover_hours_remaining").asc_nulls_last(), "store_id", "item_id"]
-    place = F.row_number().over(Window.partitionBy("business_date").orderBy(*order)).alias("place")
-    return ledger(spark, sf_dir).select("business_date", "store_id", "item_id", place)
+    whole = ledger_places(spark, sf_dir)
+    first = whole.groupBy("business_date").agg(F.min("place").alias("first"))
+    day = whole.join(first, "business_date")
+    return day.select("business_date", "store_id", "item_id", (F.col("place") - F.col("first") + 1).alias("place"))
