@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from aislewise.session import shared_dir
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROW = "__row"
-SLICE = 1_000  # rows
+SLICE = 1_000_000  # bytes
 
 
 def ascii_lower(column: Column) -> Column:
@@ -43,13 +45,28 @@ def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
     return df.withColumnsRenamed(own), [F.col(own.get(c, c)).alias(c) for c in df.columns]
 
 
+def slices(batch: pa.RecordBatch, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Runs of the batch's rows of about ``size`` bytes, a longer row alone, so that few rows are Python objects at once."""
+    weight = np.full(batch.num_rows, 50, dtype=np.int64)
+    for column in batch.columns:
+        kind = column.type
+        if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_binary(kind):
+            weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        elif batch.num_rows:
+            weight += column.nbytes // batch.num_rows
+    run = (np.cumsum(weight) - weight) // size
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield batch.slice(begin, end - begin)
+
+
 def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Applies ``work`` to slices of each Arrow batch of each partition, so that few rows are Python objects at once."""
+    """Applies ``work`` to slices of each Arrow batch of each partition, bounded by their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                yield work(batch.slice(start, SLICE))
+            for part in slices(batch):
+                yield work(part)
 
     return df.mapInArrow(run, schema)
 

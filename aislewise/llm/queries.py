@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, secrets, toxicity, urls, warc
+from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, packing, secrets, toxicity, urls, warc
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -145,3 +145,9 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned from the labelled ones."""
     return nbsvm.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, packed into sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
