@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
-from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, packing, secrets, toxicity, urls, warc
+from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, packing, runs, secrets, toxicity, trie, urls, warc
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -151,3 +151,60 @@ def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences of 2048."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the conversations, with what its subtree holds."""
+    return trie.report(table(spark, sf_dir, "conversations"))
+
+
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+SQL["op12_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), members AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 4 AS taken
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT m.conv_id, role, text, place FROM members m JOIN turns t ON t.conv_id = m.base AND place <= taken
+    UNION ALL SELECT m.conv_id, role, text, place FROM members m JOIN turns t ON t.conv_id = m.conv_id AND place > taken
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth FROM rebuilt
+), walked AS (
+    SELECT conv_id, depth, text, sha256(string_agg(sha256(role || chr(10) || text), ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node
+    FROM placed
+    UNION ALL SELECT conv_id, 0, '', '' FROM members
+), nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * len(regexp_extract_all(min(text), '[^\x20\x09-\x0D]+')) AS saved
+    FROM walked GROUP BY node, depth
+), linked AS (
+    SELECT n.*, p.node AS parent, p.conv_id AS parent_conv_id
+    FROM nodes n LEFT JOIN walked w ON w.conv_id = n.conv_id AND w.depth = n.depth - 1
+    LEFT JOIN nodes p ON p.node = w.node AND p.depth = w.depth
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY parent
+), below AS (
+    SELECT w.node, sum(n.saved) AS saved_tokens, count(*) FILTER (c.node IS NULL) AS n_leaves
+    FROM nodes n LEFT JOIN children c ON c.node = n.node JOIN walked w ON w.conv_id = n.conv_id AND w.depth <= n.depth
+    GROUP BY w.node
+), ends AS (
+    SELECT w.node, string_agg(CAST(w.conv_id AS VARCHAR), ',' ORDER BY w.conv_id) AS ids
+    FROM walked w JOIN (SELECT conv_id, max(depth) AS depth FROM walked GROUP BY conv_id) USING (conv_id, depth) GROUP BY w.node
+)
+SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM linked l JOIN below USING (node) LEFT JOIN children USING (node) LEFT JOIN ends USING (node)
+"""
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which the contract rewrites."""
+    return runs.report(table(spark, sf_dir, "documents"))
