@@ -36,7 +36,7 @@ from aislewise.llm.common import by_batch, raw_bytes
 BLANKS = b" \t\n\r\x0b\x0c"
 # The published split pattern of byte-level BPE; it has to match the vocabulary's, so it is a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 400_000  # fragments a worker keeps; only speed depends on it
+REMEMBERED = 250_000  # fragments a worker keeps; only speed depends on it
 LONG = 64  # bytes from which merging uses a heap
 
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import ROW, by_batch, raw_bytes, set_aside, written
+from aislewise.llm.common import ROW, by_batch, raw_bytes, set_aside, slices, written
 from aislewise.llm.components import components
 
 WORDS, BANDS, ROWS = 5, 32, 4
@@ -48,7 +48,7 @@ SIGNATURE_FLOOR = 0.56
 BITMAP_BITS = 1 << 23
 CHUNK, CHUNK_BYTES = 500, 16_000_000  # members of a bucket, and bytes of their sets, that a group holds twice at most
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-REMEMBERED = 200_000  # word hashes a worker keeps; only speed depends on it
+REMEMBERED = 100_000  # word hashes a worker keeps; only speed depends on it
 
 
 def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,10 +158,9 @@ def full_sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
         held, known = shared.value, {}
         for batch in batches:
             bit = batch.column(1).to_numpy()
-            wanted = np.flatnonzero((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-            # Sets are larger than their texts, so few rows go into a batch.
-            for at in range(0, len(wanted), 500):
-                words = [split_words(t) for t in raw_bytes(batch.column(0).take(pa.array(wanted[at : at + 500])))]
+            wanted = pa.array(((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool))
+            for part in slices(batch.filter(wanted)):
+                words = [split_words(t) for t in raw_bytes(part.column(0))]
                 words = [w for w in words if w]
                 sets = [shingles(w, known, size).tobytes() for w in words]
                 yield pa.RecordBatch.from_arrays(

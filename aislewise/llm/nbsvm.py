@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import raw_bytes, written
+from aislewise.llm.common import raw_bytes, slices, written
 from aislewise.llm.minhash import bit_of, bitmap
 
 BITS = 18
@@ -45,7 +45,7 @@ SHAPES = bytes(
     for b in range(256)
 )
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 def hashes(words: list[bytes], known: dict[bytes, int], seed: int) -> np.ndarray:
@@ -100,9 +100,10 @@ def possibly_labelled(docs: DataFrame, ids: DataFrame, measure: Callable[[], Cal
         held, kept = shared.value, measure()
         for batch in batches:
             bit = batch.column(2).to_numpy()
-            batch = batch.take(pa.array(np.flatnonzero((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)))
-            packed = pa.array(list(map(kept, raw_bytes(batch.column(1)))), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["doc_id", into])
+            wanted = pa.array(((held[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool))
+            for part in slices(batch.filter(wanted)):
+                packed = pa.array(list(map(kept, raw_bytes(part.column(1)))), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), packed], ["doc_id", into])
 
     schema = docs.select("doc_id").schema.add(into, "binary")
     return docs.select("doc_id", "text", bit_of(F.col("doc_id")).alias("bit")).mapInArrow(work, schema)
@@ -135,8 +136,8 @@ def class_counts(rows: DataFrame) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, SIZE + 1), dtype=np.int64)
-        for batch in batches:
-            for packed, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for part in (part for batch in batches for part in slices(batch)):
+            for packed, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 counts[y, unpack(packed)] += 1
                 counts[y, SIZE] += 1
         at = np.flatnonzero(counts.any(axis=0))
@@ -246,12 +247,12 @@ def scored(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = Model(*shared.value), ({}, {})
-        for batch in batches:
-            scores = np.array([held.score(features(t, known)) for t in raw_bytes(batch.column(at))], dtype=float)
+        for part in (part for batch in batches for part in slices(batch)):
+            scores = np.array([held.score(features(t, known)) for t in raw_bytes(part.column(at))], dtype=float)
             if keep:
-                yield batch.filter(pa.array(scores >= THRESHOLD))
+                yield part.filter(pa.array(scores >= THRESHOLD))
             else:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], ["doc_id", "score"])
 
     if keep:
         return docs.mapInArrow(work, docs.schema)

@@ -146,11 +146,12 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", corpus: DataFrame | None = None) -> DataFrame:
     """doc_id, text_key, ``base`` and ``spans`` (sorted arrays of start, kind, end), ``uses`` (owners and repositories of
     the value of each span, in the order of ``spans``), n_live and n_example of each row.
 
-    ``docs`` has doc_id, text and the columns that name the owner and the repository of a row.
+    ``docs`` has doc_id, text and the columns that name the owner and the repository of a row. ``corpus`` has them too: the
+    rows in which hashes are counted, where they are not those of ``docs`` (its copies removed, say).
     """
     texts = written(scan_texts(docs, owner, repository))
     rows = texts.where("size(found) > 0").select("*", F.explode("found").alias("c")).select(
@@ -158,7 +159,10 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
     )
     example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
     live = F.col("live") & ~example
-    judged = rows.join(ownership(rows), "value").where((F.col("kind") < 3) | live)
+    counted = rows
+    if corpus is not None:
+        counted = scan_texts(corpus, owner, repository).select("owner", "repository", F.explode("found.value").alias("value"))
+    judged = rows.join(ownership(counted), "value").where((F.col("kind") < 3) | live)
     span = F.struct("start", "kind", "end", live.alias("live"), example.alias("example"), "owners", "repositories")
     of_text = judged.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(span)).alias("s"))
     same = F.expr("t.doc_id <=> o.doc_id AND t.text_key = o.text_key")
@@ -196,9 +200,12 @@ def report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
     )
 
 
-def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id", mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span, and spans that overlap it, replaced by ``mask``."""
-    spans = scan(docs, owner, repository).where("size(spans) > 0").select("doc_id", "text_key", "spans").distinct()
+def redact(
+    docs: DataFrame, owner: str = "source", repository: str = "doc_id", mask: str = "[secret]", corpus: DataFrame | None = None
+) -> DataFrame:
+    """``docs`` with every span, and spans that overlap it, replaced by ``mask``. Hashes are counted in ``corpus``, if given,
+    which holds all rows of ``docs``, whatever was cut from their texts."""
+    spans = scan(docs, owner, repository, corpus=corpus).where("size(spans) > 0").select("doc_id", "text_key", "spans").distinct()
     plain, back = set_aside(docs, "text_key", "spans")
     keyed = plain.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
     same = F.expr("d.doc_id <=> s.doc_id AND d.text_key = s.text_key")

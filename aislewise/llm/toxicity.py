@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import by_batch, raw_bytes, written
+from aislewise.llm.common import by_batch, raw_bytes, slices, written
 from aislewise.llm.fmindex import split_words
 from aislewise.llm.nbsvm import held_out, pack, possibly_labelled, unpack
 
@@ -40,7 +40,7 @@ FOLDS = 3
 RIDGE = 1e-3
 STEPS = 150
 CLIP = 6.0  # log-odds handed to later links
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 BITS = 26  # of a word's number
 STEMS = (4, 5)  # bytes of a word's beginning that count as words of their own, as endings vary
 
@@ -233,10 +233,10 @@ def report(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...] = CHA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links, known = [Link(*x) for x in shared.value], {}
-        for batch in batches:
-            ps = [probabilities(numbers(t, known), links) for t in raw_bytes(batch.column(1))]
+        for part in (part for batch in batches for part in slices(batch)):
+            ps = [probabilities(numbers(t, known), links) for t in raw_bytes(part.column(1))]
             columns = np.array(ps, dtype=float).reshape(len(ps), len(names)).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns)], ["doc_id", *names])
 
     schema = docs.select("doc_id").schema
     for name in names:

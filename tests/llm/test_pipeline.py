@@ -89,15 +89,26 @@ def test_stages_take_empty_tables_and_odd_rows(spark, k):
     assert stage(spark, docs, SF).count() == {0: 4, 1: 3, 2: 4, 3: 4, 4: 4}[k]
 
 
-@pytest.mark.parametrize("k", range(4))
+@pytest.mark.parametrize("k", range(5))
 def test_stages_keep_columns_of_any_name(spark, k):
     """Columns that are called like those the operators work with keep their values and types."""
-    own = ["N_Words", "hit_spans", "hit_items", "__row", "__digest", "text_key", "spans", "__hit_spans"]
+    own = ["N_Words", "hit_spans", "hit_items", "__row", "__digest", "text_key", "spans", "__hit_spans", "ids", "N_tokens"]
     docs = spark.createDataFrame(
         [(i, f"word{i} token=abcdefgh{i}", "en", "s", 3, *(f"{c} {i}" for c in own)) for i in range(3)],
         "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in own),
     )
     out = corpus_pipeline.STAGES[k][1](spark, docs, SF)
-    assert out.schema.names == docs.schema.names
+    assert out.schema.names == docs.schema.names + (["_ids", "_n_tokens"] if k == 4 else [])
     rows = out.collect()
     assert all(r[c] == f"{c} {r.doc_id}" for r in rows for c in own) and (k == 0 or len(rows) == 3)
+
+
+def test_examples_are_told_by_the_documents_that_came_in(spark, tmp_path):
+    """A value in fifty near-equal documents of ten owners is an example, though one of them is left."""
+    example, own = "q9Zr4Kx8Wm2Vt6Yb1Nc5", "h7Jd3Ls9Pf1Gk5Tr8Xw2"
+    data = [(k, f"set {example} here {k}", "en", f"owner{k % 10}", 3) for k in range(50)] + [(99, f"set {own} here", "en", "me", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    left = spark.createDataFrame([data[0], data[-1]], schema)
+    after = {r.doc_id: r.text for r in corpus_pipeline.redact(spark, left, str(tmp_path)).collect()}
+    assert after == {0: data[0][1], 99: "set [secret] here"}
