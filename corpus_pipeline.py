@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import aislewise
 from aislewise.llm import bpe, fmindex, minhash, nbsvm, secrets
-from aislewise.llm.common import set_aside
+from aislewise.llm.common import private, set_aside
 from aislewise.session import shared_dir
 
 # Workers of a session that was started elsewhere can't import the package, so its functions travel by value.
@@ -43,14 +43,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets, those that only their owner has among them."""
-    return recounted(docs, secrets.redact(docs))
+    """Masks secrets, those that only their owner has among them. Owners and repositories are counted in the documents that
+    came in, copies included: an example that fifty owners copied is still one when a single copy is left."""
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return recounted(docs, secrets.redact(docs, corpus=corpus))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the token ids of each text, 4 bytes each, and their number."""
-    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return encoded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    """Adds the token ids of each text, 4 bytes each, and their number: ``ids`` and ``n_tokens``, with underscores before
+    them where the documents have columns of these names, which keep their values."""
+    ids, count = private("ids", docs.columns), private("n_tokens", docs.columns)
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), into=ids)
+    return encoded.withColumn(count, (F.octet_length(ids) / 4).cast("long"))
 
 
 def recounted(before: DataFrame, after: DataFrame) -> DataFrame:
