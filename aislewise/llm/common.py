@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislewise.session import shared_dir
@@ -16,6 +16,7 @@ from aislewise.session import shared_dir
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROW = "__row"
 SLICE = 1_000_000  # bytes
+BATCH = 8_000_000  # bytes
 
 
 def ascii_lower(column: Column) -> Column:
@@ -45,6 +46,12 @@ def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
     return df.withColumnsRenamed(own), [F.col(own.get(c, c)).alias(c) for c in df.columns]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on, this session hands Python workers batches of at most ``BATCH`` bytes. Each is held three times or more, by
+    the executor, on its way and by the worker, for every task that runs; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def slices(batch: pa.RecordBatch, size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Runs of the batch's rows of about ``size`` bytes, a longer row alone, so that few rows are Python objects at once."""
     weight = np.full(batch.num_rows, 50, dtype=np.int64)
@@ -67,6 +74,7 @@ def by_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sc
         for batch in batches:
             for part in slices(batch):
                 yield work(part)
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import aislewise
 from aislewise.llm import bpe, chat, embeddings, fmindex, minhash, nbsvm, packing, runs, secrets, toxicity, trie, urls, warc
+from aislewise.llm.common import small_batches
 
 # Workers of a session that was started elsewhere can't import this package, so its functions travel by value.
 cloudpickle.register_pickle_by_value(aislewise)
@@ -66,6 +67,7 @@ FROM escaped GROUP BY conv_id
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity categories of every document, learned from the labelled ones."""
+    small_batches(spark)
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -120,6 +122,7 @@ SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
+    small_batches(spark)
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -132,6 +135,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, encoded and decoded again."""
+    small_batches(spark)
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -144,6 +148,7 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned from the labelled ones."""
+    small_batches(spark)
     return nbsvm.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -1,17 +1,19 @@
 """Operator 2: toxicity by a classifier chain.
 
-Categories are predicted one after another. A link of the chain is a linear logistic model over the words of a text and
-the log-odds that the earlier links gave it; in training those come from models that did not see the row (out of fold),
-so a later link learns how far it may trust them. The last link is the overall label.
+Categories are predicted one after another. A link of the chain is a linear model over the words of a text and the
+probabilities that the earlier links gave it; in training those come from models that did not see the row (out of fold), so a
+later link learns how far it may trust them. The last link is the overall label.
 
-A category's label is a column of the label table, or, where only the overall label exists, that label restricted to
-texts that hold one of the category's seed words.
+Categories are label columns if there are any. Where only the overall label exists, they are learned from its rows: the toxic
+sample rows are grouped by the telling words that occur in them together (k-means on the directions of their vectors), and each
+group is a category.
 
-Words and their beginnings are hashes of ``BITS`` bits. Spark counts over all labelled training rows in how many texts of each class a word stands, and
-keeps the words whose log odds ratio is ``Z`` standard errors from zero, at most ``WORDS`` per category (the model's size).
-The linear models are fitted on the driver on at most ``SAMPLE`` rows of each class of the last category, those with
-the smallest hash of their id, weighted to stand for all rows. Scoring reads every text once and adds up its known
-words. Of all texts, only those whose id may be labelled (a bitmap of fixed size says) give their words to the training.
+Features are words and word beginnings, hashed to ``BITS`` bits. Spark counts over all labelled training rows in how many
+texts of each class a feature stands; its weight in a row's vector is the number of standard errors that its log odds ratio is
+from zero, and vectors have length 1. No feature is left out. The linear models (hinge loss, dual coordinate descent) and the
+logistic curves that make probabilities of their margins are fitted on the driver on a sample of each class: the rows with the smallest
+hash of their id, at most ``SAMPLE`` of them and ``SAMPLE_BYTES`` of features, weighted to stand for all rows. Scoring reads every text
+once. Of all texts, only those whose id may be labelled (a bitmap of fixed size says) give their words to the training.
 
 Defined results: a label that is null, not 0 or 1, or differs between rows of one id, is not used. Rows whose crc32 of
 the id as text leaves 2 mod 4 are held out of the training. Null and empty texts get the models' constants. A category
@@ -20,7 +22,7 @@ without training rows of both classes has a constant probability. Each row gives
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,218 +31,269 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import by_batch, raw_bytes, slices, written
+from aislewise.llm.common import raw_bytes, slices, written
 from aislewise.llm.fmindex import split_words
-from aislewise.llm.nbsvm import held_out, pack, possibly_labelled, unpack
+from aislewise.llm.nbsvm import fit_curve, held_out, pack, possibly_labelled, unpack
 
-Z = 4.0
-WORDS = 4_096
+BITS = 20  # of a feature's number
+SIZE = 1 << BITS
+STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that count as features of their own, as endings vary
 SAMPLE = 6_000
+SAMPLE_BYTES = 128 << 20  # of a class
 FOLDS = 3
-RIDGE = 1e-3
-STEPS = 150
-CLIP = 6.0  # log-odds handed to later links
+KINDS = 2
+TELLING = 3.0  # standard errors of a feature that groups rows
+COST = 1.0
+EPOCHS = 10
 REMEMBERED = 50_000
-BITS = 26  # of a word's number
-STEMS = (4, 5)  # bytes of a word's beginning that count as words of their own, as endings vary
+THRESHOLD = 0.5
 
+Row = tuple[np.ndarray, np.ndarray]  # feature numbers and values
 
-@dataclass(frozen=True)
-class Category:
-    """A link of the chain: its name, the column with its 0/1 label, and the seed words that narrow the label."""
-
-    name: str
-    label: str
-    seeds: tuple[str, ...] = ()
-
-
-# Only the overall label is given, so two kinds of insult are told apart by these words.
-CHAIN = (
-    Category("insult", "toxic", ("idiot", "moron", "loser", "clown", "scum")),
-    Category("contempt", "toxic", ("pathetic", "worthless", "stupid", "disgusting", "trash")),
-    Category("toxic", "toxic"),
-)
 
+def word_numbers(word: bytes) -> bytes:
+    """The numbers of a word and of its beginnings."""
+    parts = [word, *(b"^" + word[:n] for n in STEMS if len(word) >= n)]
+    return np.array([xxhash.xxh32_intdigest(p) >> (32 - BITS) for p in parts], dtype="<u4").tobytes()
 
-def word_number(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word) >> (32 - BITS)
 
-
-def numbers(text: bytes, known: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct numbers of a text's words and word beginnings."""
+def numbers(text: bytes, known: dict[bytes, bytes]) -> np.ndarray:
+    """Sorted distinct feature numbers of a text."""
     if len(known) > REMEMBERED:
         known.clear()
     words = set(split_words(text))
-    words |= {b"^" + w[:n] for w in words for n in STEMS}
     for w in words:
         if w not in known:
-            known[w] = word_number(w)
-    return np.unique(np.fromiter(map(known.__getitem__, words), dtype="<u4", count=len(words)))
+            known[w] = word_numbers(w)
+    return np.unique(np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...]) -> DataFrame:
-    """(doc_id, words, y0, y1, ...) of the rows that may be learned from."""
-    columns = sorted({c.label for c in chain})
+def labelled(docs: DataFrame, labels: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(doc_id, features, y0, y1, ...) of the rows that may be learned from."""
     agreed = labels.groupBy("doc_id").agg(
-        *[F.min(c).cast("int").alias(f"l_{c}") for c in columns], *[F.max(c).cast("int").alias(f"h_{c}") for c in columns]
+        *(F.min(c).cast("int").alias(f"y{k}") for k, c in enumerate(columns)),
+        *(F.max(c).cast("int").alias(f"h{k}") for k, c in enumerate(columns)),
     )
-    for c in columns:
-        agreed = agreed.where(f"l_{c} = h_{c} AND l_{c} IN (0, 1)")
-    agreed = agreed.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", *[f"l_{c}" for c in columns])
+    for k in range(len(columns)):
+        agreed = agreed.where(f"y{k} = h{k} AND y{k} IN (0, 1)")
+    agreed = agreed.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    agreed = agreed.select("doc_id", *(f"y{k}" for k in range(len(columns))))
 
     def measure() -> Callable[[bytes], bytes]:
-        known: dict[bytes, int] = {}
+        known: dict[bytes, bytes] = {}
         return lambda text: pack(numbers(text, known))
 
-    rows = possibly_labelled(docs, agreed, measure, "words").join(agreed, "doc_id")
-    seeds = [np.array([word_number(s.encode()) for s in c.seeds], dtype="<u4") for c in chain]
-
-    def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [unpack(w) for w in batch.column(1).to_pylist()]
-        ys = []
-        for c, wanted in zip(chain, seeds):
-            y = np.array(batch.column(f"l_{c.label}").to_pylist(), dtype=np.int32)
-            if len(wanted):
-                y = y * np.array([np.isin(wanted, t).any() for t in texts], dtype=np.int32)
-            ys.append(pa.array(y))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *ys], ["doc_id", "words", *y_names(chain)])
-
-    schema = rows.select("doc_id", "words").schema
-    for name in y_names(chain):
-        schema = schema.add(name, "integer")
-    return by_batch(rows, narrow, schema)
-
-
-def y_names(chain: tuple[Category, ...]) -> list[str]:
-    return [f"y{i}" for i in range(len(chain))]
-
-
-def telling_words(rows: DataFrame, chain: tuple[Category, ...]) -> tuple[list[np.ndarray], np.ndarray, int]:
-    """Per category the words that tell its classes apart; how many rows each category has; how many rows there are."""
-    names = y_names(chain)
-    total = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in names]).first()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [unpack(w) for w in batch.column(0).to_pylist()]
-            word, at = np.unique(np.concatenate([np.empty(0, "<u4"), *texts]), return_inverse=True)
-            sizes = [len(t) for t in texts]
-            sums = [
-                np.bincount(at, weights=np.repeat(batch.column(i).to_numpy(), sizes), minlength=len(word)).astype(np.int64)
-                for i in range(1, 1 + len(names))
-            ]
-            everything = np.bincount(at, minlength=len(word)).astype(np.int64)
-            columns = [pa.array(word.astype(np.int64)), pa.array(everything), *map(pa.array, sums)]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n", *names])
-
-    kinds = ", ".join(f"{c} long" for c in ["word", "n", *names])
-    counts = rows.select("words", *names).mapInArrow(count, kinds).groupBy("word")
-    counts = counts.agg(*[F.sum(c).alias(c) for c in ["n", *names]])
-    z = {}
-    for y in names:
-        cells = (F.col(y), F.lit(total[y]) - F.col(y), F.col("n") - F.col(y), F.lit(total.n - total[y]) - F.col("n") + F.col(y))
-        a, b, c, d = (x + F.lit(0.5) for x in cells)
-        z[y] = F.abs(F.log(a * d / (b * c))) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    scored = written(counts.select("word", *[x.alias(y) for y, x in z.items()]).where(" OR ".join(f"{y} >= {Z}" for y in names)))
-    best = [scored.where(F.col(y) >= Z).orderBy(F.desc(y), "word").limit(WORDS).select("word").collect() for y in names]
-    found = [np.sort(np.array([r.word for r in words], dtype="<u4")) for words in best]
-    return found, np.array([total[y] for y in names]), total.n
+    return possibly_labelled(docs, agreed, measure, "features").join(agreed, "doc_id")
+
+
+def class_counts(rows: DataFrame, y: str) -> np.ndarray:
+    """How many rows of class 0 and 1 hold each feature; the last column counts the rows. At most SIZE + 1 rows come back."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, SIZE + 1), dtype=np.int32)
+        for part in (part for batch in batches for part in slices(batch)):
+            for packed, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                counts[label, unpack(packed)] += 1
+                counts[label, SIZE] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(c[at]) for c in counts)], ["feature", "zero", "one"])
+
+    parts = rows.select("features", y).mapInArrow(work, "feature int, zero int, one int")
+    total = parts.groupBy("feature").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).toPandas()
+    out = np.zeros((2, SIZE + 1))
+    out[:, total["feature"].to_numpy(dtype=int)] = total[["zero", "one"]].to_numpy(dtype=float).T
+    return out
+
+
+def standard_errors(counts: np.ndarray) -> np.ndarray:
+    """Of each feature, its log odds ratio in standard errors; 0 where no row holds it."""
+    zero, one = counts[:, :SIZE]
+    a, b, c, d = one + 0.5, counts[1, SIZE] - one + 0.5, zero + 0.5, counts[0, SIZE] - zero + 0.5
+    z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    return np.where(zero + one > 0, z, 0.0)
+
+
+def scaled(at: np.ndarray, scale: np.ndarray) -> Row:
+    value = scale[at].astype(float)
+    norm = np.sqrt((value**2).sum())
+    return at, value / norm if norm else value
+
+
+def sampled(rows: DataFrame, y: str, label: int) -> list:
+    """The sample of one class: rows in the order of their hash, until either bound is met."""
+    own = rows.where(F.col(y) == label).orderBy(F.xxhash64("doc_id"), "doc_id", "features")
+    sizes = [r.n for r in own.select(F.octet_length("features").alias("n")).limit(SAMPLE).collect()]
+    fits = int((np.cumsum([0, *sizes[:-1]]) < SAMPLE_BYTES).sum()) if sizes else 0
+    return own.limit(fits).collect()
+
+
+def grouped(rows: list[Row], scale: np.ndarray, kinds: int) -> np.ndarray:
+    """A group from 0 for each row, by the features of at least ``TELLING`` standard errors that occur in rows together.
+
+    k-means on the rows' directions. The first centre is the row that tells most, each further one the row farthest from the
+    centres so far. Rows that tell nothing are of group 0.
+    """
+    told = []
+    for at, value in rows:
+        strong = scale[at] >= TELLING
+        told.append((at[strong], scale[at[strong]].astype(float)))
+    norms = np.array([np.sqrt((v**2).sum()) for _, v in told])
+    told = [(at, v / n if n else v) for (at, v), n in zip(told, norms)]
+    usable = np.flatnonzero(norms > 0)
+    group = np.zeros(len(rows), dtype=np.int64)
+    if not len(usable):
+        return group
+    centres = np.zeros((kinds, SIZE))
+    first = usable[norms[usable].argmax()]
+    centres[0, told[first][0]] = told[first][1]
+    for k in range(1, kinds):
+        nearest = np.array([max(centres[j, told[i][0]] @ told[i][1] for j in range(k)) for i in usable])
+        far = usable[nearest.argmin()]
+        centres[k, told[far][0]] = told[far][1]
+    for _ in range(20):
+        near = np.array([centres[:, told[i][0]] @ told[i][1] for i in usable])
+        new = near.argmax(axis=1)
+        if (group[usable] == new).all() and _:
+            break
+        group[usable] = new
+        centres[:] = 0
+        for i, k in zip(usable.tolist(), new.tolist()):
+            centres[k, told[i][0]] += told[i][1]
+        norm = np.sqrt((centres**2).sum(axis=1, keepdims=True))
+        np.divide(centres, norm, out=centres, where=norm > 0)
+    return group
 
 
 @dataclass(frozen=True)
 class Link:
-    """Weights of the known words (sorted), of the earlier links' log-odds, and the constant."""
+    """Weights of features, of the earlier links' probabilities, the constant, and the curve from margins to probabilities."""
 
-    words: np.ndarray
     weights: np.ndarray
     earlier: np.ndarray
     constant: float
-
-    def odds(self, text: np.ndarray, before: list[float]) -> float:
-        at = np.searchsorted(self.words, text)
-        hit = at < len(self.words)
-        hit[hit] = self.words[at[hit]] == text[hit]
-        return float(self.weights[at[hit]].sum() + self.earlier @ np.array(before, dtype=float) + self.constant)
-
-
-def fit_link(
-    words: np.ndarray, texts: list[np.ndarray], before: np.ndarray, y: np.ndarray, weight: np.ndarray
-) -> Link:
-    """Ridge logistic regression on indicators of ``words`` and dense columns ``before``, by adaptive gradient steps."""
+    slope: float
+    offset: float
+
+    def margin(self, row: Row, before: np.ndarray) -> float:
+        at, value = row
+        return float(self.weights[at] @ value + self.earlier @ centred(before) + self.constant)
+
+    def probability(self, row: Row, before: np.ndarray) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(row, before) + self.offset, -40, 40))))
+
+
+def centred(before: np.ndarray) -> np.ndarray:
+    """Earlier probabilities as features between -1 and 1."""
+    return 2 * np.asarray(before, dtype=float) - 1
+
+
+def fit_hinge(rows: list[Row], before: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Weights of the features, then of the earlier links, then the constant, by dual coordinate descent: each step solves for
+    one row's multiplier, kept between 0 and its cost, and moves the weights along the row."""
+    m = before.shape[1]
+    w, alpha = np.zeros(SIZE + m + 1), np.zeros(len(rows))
+    dense = np.column_stack([centred(before), np.ones(len(rows))])
+    square = np.array([(v**2).sum() for _, v in rows]) + (dense**2).sum(axis=1) if rows else np.zeros(0)
+    draw = np.random.default_rng(7)
+    for _ in range(EPOCHS):
+        for i in draw.permutation(len(rows)):
+            at, value = rows[i]
+            gradient = y[i] * (w[at] @ value + w[SIZE:] @ dense[i]) - 1
+            new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
+            if new != alpha[i]:
+                step = (new - alpha[i]) * y[i]
+                w[at] += step * value
+                w[SIZE:] += step * dense[i]
+                alpha[i] = new
+    return w
+
+
+def fit_link(rows: list[Row], before: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[Link, np.ndarray]:
+    """The link fitted on all rows, and the probabilities that links fitted on the other folds give each row. ``y`` is 0 or 1."""
+    m = before.shape[1]
     if not len(y) or y.min() == y.max():
-        share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        return Link(words, np.zeros(len(words)), np.zeros(before.shape[1]), float(np.log(share / (1 - share))))
-    rows, columns = [], []
-    for i, t in enumerate(texts):
-        at = np.flatnonzero(np.isin(words, t, assume_unique=True))
-        rows.append(np.full(len(at), i))
-        columns.append(at)
-    row, column = np.concatenate(rows), np.concatenate(columns)
-    weight = weight / weight.sum()
-    k, m = len(words), before.shape[1]
-    beta, squares = np.zeros(k + m + 1), np.full(k + m + 1, 1e-12)
-    share = (weight * y).sum()
-    beta[-1] = np.log(share / (1 - share))
-    for _ in range(STEPS):
-        odds = np.bincount(row, weights=beta[column], minlength=len(y)) + before @ beta[k : k + m] + beta[-1]
-        error = weight * (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - y)
-        gradient = np.concatenate([np.bincount(column, weights=error[row], minlength=k), error @ before, [error.sum()]])
-        gradient[:-1] += RIDGE / len(y) * beta[:-1]
-        squares += gradient**2
-        beta -= 0.5 * gradient / np.sqrt(squares)
-    return Link(words, beta[:k], beta[k : k + m], float(beta[-1]))
-
-
-def fit(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...]) -> list[Link]:
-    rows = written(labelled(docs, labels, chain))
-    found, positive, total = telling_words(rows, chain)
-    last = y_names(chain)[-1]
-    order = (F.xxhash64("doc_id"), "doc_id", "words")
-    sample = [r for k in (0, 1) for r in rows.where(F.col(last) == k).orderBy(*order).limit(SAMPLE).collect()]
-    texts = [unpack(r.words) for r in sample]
-    y = np.array([[r[c] for c in y_names(chain)] for r in sample], dtype=float).reshape(len(sample), len(chain))
-    n = {k: max(1, (y[:, -1] == k).sum()) for k in (0, 1)}
-    weight = np.where(y[:, -1] == 1, positive[-1] / n[1], (total - positive[-1]) / n[0])
-    fold = np.arange(len(sample)) % FOLDS
-    links, before = [], np.zeros((len(sample), 0))
-    for j, words in enumerate(found):
-        links.append(fit_link(words, texts, before, y[:, j], weight))
-        odds = np.zeros(len(sample))
-        for k in range(FOLDS if j < len(found) - 1 else 0):
-            seen, unseen = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            link = fit_link(words, [texts[i] for i in seen], before[seen], y[seen, j], weight[seen])
-            odds[unseen] = [link.odds(texts[i], before[i]) for i in unseen]
-        before = np.column_stack([before, np.clip(odds, -CLIP, CLIP)])
-    return links
-
-
-def probabilities(text: np.ndarray, links: list[Link]) -> list[float]:
-    before: list[float] = []
-    out = []
-    for link in links:
-        odds = link.odds(text, before)
-        before.append(min(max(odds, -CLIP), CLIP))
-        out.append(1 / (1 + float(np.exp(-min(max(odds, -40.0), 40.0)))))
-    return out
+        share = (float(y.mean()) if len(y) else 0.0) * (1 - 2e-6) + 1e-6
+        link = Link(np.zeros(SIZE, dtype=np.float32), np.zeros(m), 0.0, 0.0, float(np.log(share / (1 - share))))
+        return link, np.full(len(y), share)
+    sign = np.where(y > 0, 1.0, -1.0)
+    cost = COST * 0.5 * len(y) / np.where(y > 0, (y > 0).sum(), (y == 0).sum())
+    fold = np.arange(len(y)) % FOLDS
+    margins = np.zeros(len(y))
+    for k in range(FOLDS):
+        seen, unseen = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        w = fit_hinge([rows[i] for i in seen], before[seen], sign[seen], cost[seen])
+        link = Link(w[:SIZE], w[SIZE : SIZE + m], float(w[-1]), 1.0, 0.0)
+        margins[unseen] = [link.margin(rows[i], before[i]) for i in unseen]
+    slope, offset = fit_curve(margins, sign, weight)
+    w = fit_hinge(rows, before, sign, cost)
+    link = Link(w[:SIZE].astype(np.float32), w[SIZE : SIZE + m], float(w[-1]), slope, offset)
+    return link, 1 / (1 + np.exp(-np.clip(slope * margins + offset, -40, 40)))
 
 
-def report(docs: DataFrame, labels: DataFrame, chain: tuple[Category, ...] = CHAIN, threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, a probability ``p_<name>`` per category, and ``toxic``: whether the last reaches ``threshold``."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        [(x.words, x.weights, x.earlier, x.constant) for x in fit(docs, labels, chain)]
-    )
-    names = [f"p_{c.name}" for c in chain]
+@dataclass(frozen=True)
+class Chain:
+    """The scale of features and the links in order. Its size is fixed by ``BITS`` and the number of links."""
+
+    names: tuple[str, ...]
+    scale: np.ndarray
+    links: tuple[Link, ...]
+
+    def probabilities(self, numbers: np.ndarray) -> list[float]:
+        row, out = scaled(numbers, self.scale), []
+        for link in self.links:
+            out.append(link.probability(row, np.array(out)))
+        return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, categories: Sequence[str] = (), kinds: int = KINDS) -> Chain:
+    """The chain, fitted on the labelled rows of ``docs`` that are not held out; ``categories`` are label columns, and without
+    them ``kinds`` groups of toxic rows are."""
+    columns = [*categories, label]
+    names = [*(categories or (f"kind_{k + 1}" for k in range(kinds))), label]
+    last = f"y{len(columns) - 1}"
+    rows = written(labelled(docs, labels, columns))
+    counts = class_counts(rows, last)
+    scale = standard_errors(counts).astype(np.float32)
+    sample = [r for k in (0, 1) for r in sampled(rows, last, k)]
+    x = [scaled(unpack(r.features), scale) for r in sample]
+    y = np.array([[r[f"y{k}"] for k in range(len(columns))] for r in sample], dtype=float).reshape(len(sample), len(columns))
+    toxic = y[:, -1]
+    if not categories:
+        group = np.full(len(sample), -1)
+        at = np.flatnonzero(toxic > 0)
+        group[at] = grouped([x[i] for i in at], scale, kinds)
+        y = np.column_stack([*((group == k).astype(float) for k in range(kinds)), toxic])
+    # Each sampled row stands for as many rows of its class as all its class has to the sample.
+    weight = np.where(toxic > 0, counts[1, SIZE] / max(1, (toxic > 0).sum()), counts[0, SIZE] / max(1, (toxic == 0).sum()))
+    links, before = [], np.zeros((len(sample), 0))
+    for j in range(y.shape[1]):
+        link, unseen = fit_link(x, before, y[:, j], weight)
+        links.append(link)
+        before = np.column_stack([before, unseen])
+    return Chain(tuple(names), scale, tuple(links))
+
+
+def report(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", categories: Sequence[str] = (), threshold: float = THRESHOLD
+) -> DataFrame:
+    """doc_id, held_out, a probability ``p_<name>`` per category and for the label, and ``toxic``: whether the label's reaches
+    ``threshold``."""
+    chain = fit(docs, labels, label, categories)
+    parts = (chain.names, chain.scale, [(x.weights, x.earlier, x.constant, x.slope, x.offset) for x in chain.links])
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
+    names = [f"p_{name}" for name in chain.names]
+    schema = docs.select("doc_id").schema
+    for name in names:
+        schema = schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links, known = [Link(*x) for x in shared.value], {}
+        own, scale, links = shared.value
+        held, known = Chain(own, scale, tuple(Link(*x) for x in links)), {}
         for part in (part for batch in batches for part in slices(batch)):
-            ps = [probabilities(numbers(t, known), links) for t in raw_bytes(part.column(1))]
+            ps = [held.probabilities(numbers(t, known)) for t in raw_bytes(part.column(1))]
             columns = np.array(ps, dtype=float).reshape(len(ps), len(names)).T
-            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns)], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns)], schema.names)
 
-    schema = docs.select("doc_id").schema
-    for name in names:
-        schema = schema.add(name, "double")
     scores = docs.select("doc_id", "text").mapInArrow(run, schema)
     return scores.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), *names, (F.col(names[-1]) >= threshold).alias("toxic")
