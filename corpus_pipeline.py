@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import aislewise
 from aislewise.llm import bpe, fmindex, minhash, nbsvm, secrets
-from aislewise.llm.common import private, set_aside
+from aislewise.llm.common import private, set_aside, small_batches
 from aislewise.session import shared_dir
 
 # Workers of a session that was started elsewhere can't import the package, so its functions travel by value.
@@ -27,16 +27,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier, learned from the labels, rejects."""
+    small_batches(spark)
     return nbsvm.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group: the one with the smallest id, one row of it."""
+    small_batches(spark)
     return minhash.representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out of the texts; documents that are nothing else go."""
+    small_batches(spark)
     plain, back = set_aside(docs, fmindex.SPANS, fmindex.ITEMS, fmindex.COUNT)
     found = fmindex.find(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return recounted(docs, fmindex.cut(found).select(*back))
@@ -45,6 +48,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets, those that only their owner has among them. Owners and repositories are counted in the documents that
     came in, copies included: an example that fifty owners copied is still one when a single copy is left."""
+    small_batches(spark)
     corpus = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return recounted(docs, secrets.redact(docs, corpus=corpus))
 
@@ -52,6 +56,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the token ids of each text, 4 bytes each, and their number: ``ids`` and ``n_tokens``, with underscores before
     them where the documents have columns of these names, which keep their values."""
+    small_batches(spark)
     ids, count = private("ids", docs.columns), private("n_tokens", docs.columns)
     encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), into=ids)
     return encoded.withColumn(count, (F.octet_length(ids) / 4).cast("long"))
