@@ -94,6 +94,20 @@ class PropertyGraph:
         )
 
 
+def reaching(ends: DataFrame, edges: DataFrame, onward: DataFrame, low: int, high: int) -> list[DataFrame]:
+    """For each number of hops walked so far, from 1 to ``high``, the nodes from which some walk can still end rightly: after as
+    many more hops as bring it between ``low`` and ``high``. Distinct nodes, found backwards from ``ends``, one semi-join a hop."""
+    steps = [ends.select("id").distinct()]
+    for _ in range(high - 1):
+        back = onward.join(steps[-1].withColumnRenamed("id", "dst"), "dst", "left_semi")
+        steps.append(cut_lineage(back.select(F.col("src").alias("id")).distinct()))
+    live = []
+    for walked in range(1, high + 1):
+        left = steps[max(low - walked, 0) : high - walked + 1]
+        live.append(left[0] if len(left) == 1 else reduce(DataFrame.unionByName, left).distinct())
+    return live
+
+
 def walks(
     start: DataFrame,
     edges: DataFrame,
@@ -110,30 +124,54 @@ def walks(
     first: a small list of lanes between stores, say, in place of all shipments.
 
     ``start`` and ``ends`` have a column ``id``; ``edges`` has ``edge_id``, ``src`` and ``dst``. One row
-    per walk, nodes and edges may repeat. Each hop is one equi join with the edge list. Long walks over
-    dense graphs should cut the plan at each hop.
+    per walk, nodes and edges may repeat. Each hop is one equi join with the edges that can still lead to an end in the hops
+    left, so a walk that is carried on is part of a result. Long walks over dense graphs should cut the plan at each hop.
     """
     link = F.struct(F.col("src"), F.col("edge_id"), F.col("dst"))
-    hop = edges.select("src", "edge_id", "dst", link.alias("link"))
-    later = hop if onward is None else onward.select("src", "edge_id", "dst", link.alias("link"))
-    frontier = start.select("id").join(hop, F.col("id") == F.col("src")).select(
+    later = edges if onward is None else onward
+    live = reaching(ends, edges, later, low, high)
+
+    def hop(taken: DataFrame, walked: int) -> DataFrame:
+        useful = live[walked - 1].withColumnRenamed("id", "dst")
+        return taken.join(useful, "dst", "left_semi").select("src", "dst", link.alias("link"))
+
+    frontier = start.select("id").join(hop(edges, 1), F.col("id") == F.col("src")).select(
         F.col("id").alias("start_id"), F.col("dst").alias("end_id"), F.array("link").alias("path")
     )
-    found = [frontier] if low <= 1 else []
-    for length in range(2, high + 1):
-        frontier = frontier.join(later, F.col("end_id") == F.col("src")).select(
-            "start_id", F.col("dst").alias("end_id"), F.concat("path", F.array("link")).alias("path")
-        )
-        if checkpoint:
+    last = ends.select(F.col("id").alias("end_id")).distinct()
+    found = []
+    for length in range(1, high + 1):
+        if length > 1:
+            frontier = frontier.join(hop(later, length), F.col("end_id") == F.col("src")).select(
+                "start_id", F.col("dst").alias("end_id"), F.concat("path", F.array("link")).alias("path")
+            )
+        if checkpoint and length > 1:
             frontier = cut_lineage(frontier)
         if length >= low:
-            found.append(frontier)
+            # At the last length, all that is left are ends.
+            found.append(frontier if length == high else frontier.join(last, "end_id", "left_semi").select("start_id", "end_id", "path"))
     every = reduce(DataFrame.unionByName, found)
-    return (
-        every.join(ends.select(F.col("id").alias("end_key")), F.col("end_id") == F.col("end_key"), "left_semi")
-        .withColumn("hops", F.size("path"))
-        .withColumn("path_json", F.to_json("path"))
-    )
+    return every.withColumn("hops", F.size("path")).withColumn("path_json", F.to_json("path"))
+
+
+def walk_counts(start: DataFrame, edges: DataFrame, ends: DataFrame, low: int, high: int, *, onward: DataFrame | None = None) -> DataFrame:
+    """(start_id, end_id, hops, walks): how many walks there are, without any of them. A hop adds up the walks that meet in a
+    node, so the rows are pairs of nodes, however many walks join them."""
+    later = edges if onward is None else onward
+    live = reaching(ends, edges, later, low, high)
+    last = ends.select(F.col("id").alias("end_id")).distinct()
+    ways = start.select(F.col("id").alias("start_id"), F.col("id").alias("at"), F.lit(1).cast("long").alias("walks"))
+    found = []
+    for length in range(1, high + 1):
+        taken = (edges if length == 1 else later).join(live[length - 1].withColumnRenamed("id", "dst"), "dst", "left_semi")
+        # Parallel edges are counted before the join.
+        links = taken.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+        met = ways.join(links, F.col("at") == F.col("src")).groupBy("start_id", "dst")
+        ways = cut_lineage(met.agg(F.sum(F.col("walks") * F.col("n")).alias("walks")).withColumnRenamed("dst", "at"))
+        if length >= low:
+            done = ways.withColumnRenamed("at", "end_id").withColumn("hops", F.lit(length))
+            found.append(done.join(last, "end_id", "left_semi").select("start_id", "end_id", "hops", "walks"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def flagged_lot(prefix: str = "lot") -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aislewise.functions.text import CODE_PATTERN, first_match
+from aislewise.functions.text import CODE_PATTERN
+from aislewise.operators import postings
 from aislewise.operators.dedup import top_per_key
 from aislewise.operators.documents import words
 from aislewise.session import cut_lineage
@@ -222,63 +223,13 @@ def stitch(
     return grouped.withColumn("stitched_content", F.array_join(texts, separator)).drop("_pieces")
 
 
-def text_matches(queries: DataFrame, chunk_table: DataFrame, document: str) -> DataFrame:
+def text_matches(queries: DataFrame, chunk_table: DataFrame, document: str, index: postings.Postings | None = None) -> DataFrame:
     """For each question, the first chunk (by document and index) that holds its search token.
 
-    A question that names a code looks for that code; any other looks for its words in order. Each code
-    is reduced to its first chunk before the join, so a code found everywhere stays one row.
+    A question that names a code looks for that code; any other looks for its words in order. The chunks' positional
+    ``index`` answers both; without one it is built first.
     """
-    place = F.min(F.struct(F.col(document).alias("doc"), F.col("chunk_index").alias("at"))).alias("place")
-    asked = queries.withColumn("_code", F.lower(first_match(F.col("query"), f"({CODE_PATTERN})")))
-
-    coded = asked.filter(F.col("_code").isNotNull())
-    codes = F.array_distinct(
-        F.transform(F.regexp_extract_all("chunk_content", F.lit(CODE_PATTERN), F.lit(0)), lambda t: F.lower(t))
-    )
-    index = (
-        chunk_table.select(document, "chunk_index", F.explode(codes).alias("_token"))
-        .join(coded.select(F.col("_code").alias("_token")).distinct(), "_token", "left_semi")
-        .groupBy("_token")
-        .agg(place)
-    )
-    by_code = coded.join(index, F.col("_code") == F.col("_token")).select("query_id", "place")
-
-    phrase = asked.filter(F.col("_code").isNull()).withColumn("_words", words(F.col("query")))
-    phrase = phrase.filter(F.size("_words") > 0).select("query_id", "_words", _spaced(F.col("_words")).alias("_phrase"))
-    # Chunks that hold the question's rarest word, by key only; their text joins after that. A word that no chunk
-    # holds is rarest of all, and its question has no match.
-    held = chunk_table.select(
-        document, "chunk_index", F.explode(F.array_distinct(words(F.col("chunk_content")))).alias("_anchor")
-    )
-    asked_words = phrase.select("query_id", F.explode(F.array_distinct("_words")).alias("_anchor"))
-    frequency = (
-        held.join(asked_words.select("_anchor").distinct(), "_anchor", "left_semi")
-        .groupBy("_anchor")
-        .agg(F.count(F.lit(1)).alias("chunks"))
-    )
-    rarest = (
-        asked_words.join(frequency, "_anchor", "left")
-        .groupBy("query_id")
-        .agg(F.min(F.struct(F.coalesce("chunks", F.lit(0)), "_anchor"))["_anchor"].alias("_anchor"))
-    )
-    phrase = phrase.drop("_words").join(rarest, "query_id")
-    anchors = held
-    lines = chunk_table.select(document, "chunk_index", _spaced(words(F.col("chunk_content"))).alias("_line"))
-    by_phrase = (
-        anchors.join(phrase, "_anchor")
-        .drop("_anchor")
-        .join(lines, [document, "chunk_index"])
-        .filter(F.contains("_line", "_phrase"))
-        .groupBy("query_id")
-        .agg(place)
-    )
-    return by_code.unionByName(by_phrase).select(
-        "query_id", F.col("place.doc").alias(document), F.col("place.at").alias("chunk_index")
-    )
-
-
-def _spaced(bag: Column) -> Column:
-    return F.concat(F.lit(" "), F.array_join(bag, " "), F.lit(" "))
+    return postings.match_text(queries, index or postings.build(chunk_table, document))
 
 
 def retrieve(
@@ -287,18 +238,20 @@ def retrieve(
     document: str,
     embedder: Callable[[Column], Column] = hashed_embedding,
     threshold: float = SIMILARITY_THRESHOLD,
+    index: postings.Postings | None = None,
 ) -> DataFrame:
     """Runbook text for every question: nearest chunk if it is close enough, else a text match, else none.
 
     ``queries`` has ``query_id`` and ``query``; ``chunk_table`` has the document key, ``chunk_index``,
-    ``chunk_content`` and ``embedding``. One plan answers all questions.
+    ``chunk_content`` and ``embedding``; ``index`` are its postings, built here if not given. All questions are answered
+    together.
     """
     best = semantic_search(queries, chunk_table, [document, "chunk_index"], 1, embedder)
     grounded = best.filter(F.col("similarity_score") >= threshold).select(
         "query_id", document, "chunk_index", "similarity_score", F.lit(VECTOR_MATCH).alias("status")
     )
     open_questions = queries.select("query_id", "query").join(grounded.select("query_id"), "query_id", "left_anti")
-    matched = text_matches(open_questions, chunk_table, document).select(
+    matched = text_matches(open_questions, chunk_table, document, index).select(
         "*", F.lit(TEXT_MATCH_SCORE).alias("similarity_score"), F.lit(TEXT_MATCH).alias("status")
     )
     answers = stitch(grounded.unionByName(matched), chunk_table, document, ["query_id"])

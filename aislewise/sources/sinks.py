@@ -77,6 +77,11 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def create_view(spark: SparkSession, name: str, text: str) -> None:
+    """A view in the catalog, for all sessions; its text reads catalog tables."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+
+
 def append_new(df: DataFrame, path: str, key: str) -> None:
     """Append the rows whose key the table does not hold yet."""
     spark = df.sparkSession

@@ -18,7 +18,7 @@ if __name__ == "__main__":
         sf, args = args[1], args[2:]
     load_all()
     spark = build_session(
-        master="local[8]",
+        master=os.environ.get("CHECK_MASTER", "local[8]"),
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="16g",
         spark__ui__enabled="false",

@@ -15,6 +15,7 @@ AREAS = (
     "quality_queries",
     "governance_queries",
     "key_queries",
+    "check_queries",
 )
 
 

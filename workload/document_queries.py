@@ -1,11 +1,15 @@
 """Chunks, extraction, classification and retrieval over the whole documents, pages and embeddings."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aislewise.functions import numbers
 from aislewise.functions.text import WHITESPACE, https_link
 from aislewise.operators import documents as D
+from aislewise.operators import postings
 from aislewise.operators import search as S
+from aislewise.session import cut_lineage
 from workload import views as V
 from workload.registry import query
 
@@ -190,6 +194,28 @@ def retrieve_runbooks(spark, sf_dir):
     return S.retrieve(questions(spark, sf_dir), embedded_chunks(spark, sf_dir), "doc_id")
 
 
+PHRASE_WORDS = 4
+
+
+@query(
+    "phrase_places",
+    f"""WITH {CHUNKS_SQL},
+lines AS (SELECT doc_id, chunk_index, ' ' || array_to_string({WORDS_SQL.format('chunk_content')}, ' ') || ' ' AS line FROM chunks),
+asked AS (
+  SELECT item_id AS query_id, {WORDS_SQL.format('text')} AS words FROM benchmark
+),
+phrases AS (
+  SELECT query_id, ' ' || array_to_string(words[1:{PHRASE_WORDS}], ' ') || ' ' AS phrase FROM asked WHERE len(words) > 0
+)
+SELECT query_id, doc_id, chunk_index FROM phrases JOIN lines ON contains(line, phrase)""",
+)
+def phrase_places(spark, sf_dir):
+    """Every chunk that holds the first words of a benchmark item in a row, from the positional index."""
+    index = postings.build(chunk_table(spark, sf_dir), "doc_id")
+    asked = questions(spark, sf_dir).select("query_id", F.slice(D.words(F.col("query")), 1, PHRASE_WORDS).alias("words"))
+    return postings.match_phrases(asked, index)
+
+
 PAGE_FIELDS = (
     D.Field("title", "string", r"(?s)<title>(.*?)</title>"),
     D.Field("heading", "string", r"(?s)<h1>(.*?)</h1>"),
@@ -347,3 +373,32 @@ def vector_cosine(spark, sf_dir):
     return a.join(b, "vec_id").select(
         "vec_id", F.round(cosine, 6).alias("cosine"), numbers.has_dimension(F.col("embedding"), 64).alias("has_width")
     )
+
+
+PROBES = 24
+
+
+@query(
+    "vector_index_recall",
+    """SELECT item_id AS query_id, 3 AS wanted, TRUE AS ranked_exactly, TRUE AS recall_reached FROM benchmark
+WHERE len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) > 0""",
+)
+def vector_index_recall(spark, sf_dir):
+    """Every question against the chunks' inverted file. Of each question: how many rows the exact search finds; whether the
+    distances of the rows that both find agree; and whether the questions together find at least 95 % of them."""
+    from aislewise.operators import vector_index
+    from aislewise.session import shared_dir
+
+    chunks, asked = embedded_chunks(spark, sf_dir), S.embed(questions(spark, sf_dir), F.col("query"))
+    keys = ["doc_id", "chunk_index"]
+    index = vector_index.build(chunks, f"{shared_dir(spark)}/ivf-{uuid.uuid4().hex}", keys)
+    found = vector_index.search(index, asked, 3, PROBES).withColumnRenamed("distance", "found_distance")
+    exact = S.vector_search(chunks.filter(F.array_max("embedding") > 0), asked, keys, 3)
+    met = exact.join(found.select("query_id", *keys, "found_distance"), ["query_id", *keys], "left").groupBy("query_id").agg(
+        F.count(F.lit(1)).cast("int").alias("wanted"),
+        F.count("found_distance").alias("hits"),
+        F.every(F.coalesce(F.col("found_distance") == F.col("distance"), F.lit(True))).alias("ranked_exactly"),
+    )
+    met = cut_lineage(met)
+    share = met.agg(F.try_divide(F.sum("hits"), F.sum("wanted"))).scalar()
+    return met.select("query_id", "wanted", "ranked_exactly", (share >= 0.95).alias("recall_reached"))

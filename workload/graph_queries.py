@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from aislewise.operators import graph as G
 from aislewise.operators.places import places
+from aislewise.operators.sql_functions import publish_graph, publish_text_functions
 from workload import views as V
+from workload.document_queries import CHUNKS_SQL
 from workload.registry import query
 
 
@@ -189,9 +191,7 @@ def graph_violations(spark, sf_dir):
     return G.PropertyGraph(g.nodes, {**g.edges, "SOLD_AT": sold_at}).violations()
 
 
-@query(
-    "graph_paths_1_3",
-    f"""WITH RECURSIVE {GRAPH_SQL},
+WALK_SQL = f"""{GRAPH_SQL},
 shipped AS (SELECT DISTINCT batch_id AS src, c_nationkey AS dst FROM sale JOIN cust USING (customer_id)),
 edges AS (
   SELECT src || '>' || dst AS edge_id, src, 'N' || dst AS dst FROM shipped
@@ -205,11 +205,11 @@ walk AS (
   UNION ALL
   SELECT start_id, e.dst, hops + 1, steps || ',{{"src":"' || e.src || '","edge_id":"' || e.edge_id || '","dst":"' || e.dst || '"}}'
   FROM walk JOIN edges e ON e.src = end_id WHERE hops < 3
-)
-SELECT start_id, end_id, hops, '[' || steps || ']' AS path_json FROM walk""",
-)
-def graph_paths_1_3(spark, sf_dir):
-    """Lots to stores over one to three shipments; lanes between stores give real multi-hop walks."""
+)"""
+
+
+def shipments(spark, sf_dir):
+    """Lots, their shipments to stores, the lanes between stores, and the stores; lanes give real multi-hop walks."""
     g = recall_graph(spark, sf_dir)
     n = F.col("n_nationkey")
     named = lambda number: F.concat(F.lit("N"), number.cast("string"))
@@ -220,7 +220,25 @@ def graph_paths_1_3(spark, sf_dir):
     lanes = lanes.select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
     shipped = g.edges["SHIPPED_TO"].table.withColumn("dst", named(F.col("dst")))
     lots = g.nodes["BatchLot"].table.select(F.col("batch_id").alias("id"))
-    return G.walks(lots, shipped, nation.select(named(n).alias("id")), 1, 3, onward=lanes).drop("path")
+    return lots, shipped, lanes, nation.select(named(n).alias("id"), "n_nationkey")
+
+
+@query("graph_paths_1_3", f"WITH RECURSIVE {WALK_SQL} SELECT start_id, end_id, hops, '[' || steps || ']' AS path_json FROM walk")
+def graph_paths_1_3(spark, sf_dir):
+    """Lots to stores over one to three shipments."""
+    lots, shipped, lanes, stores = shipments(spark, sf_dir)
+    return G.walks(lots, shipped, stores, 1, 3, onward=lanes).drop("path")
+
+
+@query(
+    "graph_walk_counts",
+    f"""WITH RECURSIVE {WALK_SQL} SELECT start_id, end_id, hops, count(*) AS walks FROM walk
+WHERE hops >= 2 AND end_id IN (SELECT 'N' || n_nationkey FROM nation WHERE n_nationkey % 5 = 1) GROUP BY ALL""",
+)
+def graph_walk_counts(spark, sf_dir):
+    """How many walks of two or three shipments lead from each lot to each of some stores; none is written out."""
+    lots, shipped, lanes, stores = shipments(spark, sf_dir)
+    return G.walk_counts(lots, shipped, stores.where("n_nationkey % 5 = 1"), 2, 3, onward=lanes)
 
 
 @query(
@@ -245,9 +263,10 @@ index_customer AS (
 
 
 def index_customer(g):
-    """The customer with the most purchases from high-risk suppliers."""
+    """The customer with the most purchases from high-risk suppliers: found once, so that it is a value to the pattern's scans."""
     hits = G.sales_of_lots(g, F.col("risk_score") >= G.HIGH_RISK).groupBy("cust_customer_id").count()
-    return hits.orderBy(F.desc("count"), "cust_customer_id").limit(1).select("cust_customer_id").scalar()
+    found = hits.orderBy(F.desc("count"), "cust_customer_id").first()
+    return F.lit(found.cust_customer_id if found else None)
 
 
 @query(
@@ -358,12 +377,54 @@ def vip_places(spark, sf_dir):
 
 @query(
     "vip_order",
-    f"""WITH {GRAPH_SQL} SELECT transaction_id, serial_number, row_number() OVER (ORDER BY loyalty_tier DESC, risk_score DESC,
-name, transaction_id, serial_number) AS place
+    f"""WITH {GRAPH_SQL} SELECT loyalty_tier, transaction_id, serial_number, row_number() OVER (PARTITION BY loyalty_tier
+ORDER BY risk_score DESC, name, transaction_id, serial_number) AS place_in_tier
 FROM pattern WHERE risk_score >= 0.75 AND loyalty_tier IN ('PLATINUM', 'GOLD')
   AND (qa_inspection_status = 'FLAGGED_HARMFUL_MATERIAL' OR recall_status LIKE '%RECALL%'
-       OR exposure_flag = 'CONTAMINATED_HARMFUL') QUALIFY place <= 100""",
+       OR exposure_flag = 'CONTAMINATED_HARMFUL')""",
 )
 def vip_order(spark, sf_dir):
-    """The first hundred places of ``vip_places``."""
-    return vip_places(spark, sf_dir).where("place <= 100")
+    """Every row of the recall list, numbered inside its loyalty tier: its place in the list, less where the tier begins."""
+    listed = G.vip_order(G.vip_recall(recall_graph(spark, sf_dir)))
+    rows = places(listed, "loyalty_tier", "transaction_id", "serial_number")
+    begins = rows.groupBy("loyalty_tier").agg((F.min("place") - 1).alias("before"))
+    return rows.join(begins, "loyalty_tier").select(
+        "loyalty_tier", "transaction_id", "serial_number", (F.col("place") - F.col("before")).alias("place_in_tier")
+    )
+
+
+MANUALS_SQL = """SELECT s.batch_id, c.chunk_index, count(*) AS sales, count(DISTINCT s.customer_id) AS customers,
+  max(length(c.chunk_content)) AS chunk_chars
+FROM {sales} s JOIN {chunks} c ON c.id = s.item_id GROUP BY s.batch_id, c.chunk_index"""
+
+
+@query(
+    "sql_lot_manuals",
+    f"""WITH {GRAPH_SQL}, {CHUNKS_SQL}, risky AS (SELECT * FROM pattern WHERE risk_score >= 0.9),
+numbered AS (SELECT doc_id AS id, chunk_index, chunk_content FROM chunks)
+{MANUALS_SQL.format(sales="risky", chunks="numbered")}""",
+)
+def sql_lot_manuals(spark, sf_dir):
+    """One SQL text that calls the recall pattern and the chunker, and joins lots to the chunks of their item's document."""
+    publish_graph(spark, recall_graph(spark, sf_dir))
+    publish_text_functions(spark)
+    V.table(spark, sf_dir, "documents").createOrReplaceTempView("manuals")
+    chunks = "text_chunks(TABLE(SELECT doc_id AS id, text FROM manuals))"
+    return spark.sql(MANUALS_SQL.format(sales="lot_sales(0.9D)", chunks=chunks))
+
+
+@query(
+    "sql_best_customers",
+    f"""WITH {GRAPH_SQL}, counted AS (
+  SELECT CAST(supplier_id AS VARCHAR) AS part, customer_id AS key, CAST(count(*) AS DOUBLE) AS score
+  FROM pattern WHERE risk_score >= 0.5 GROUP BY ALL)
+SELECT part, key, score, row_number() OVER (PARTITION BY part ORDER BY score DESC, key) AS place FROM counted QUALIFY place <= 3""",
+)
+def sql_best_customers(spark, sf_dir):
+    """The three best customers of each risky supplier, from a table function called with PARTITION BY over another one's rows."""
+    publish_graph(spark, recall_graph(spark, sf_dir))
+    publish_text_functions(spark)
+    return spark.sql("""
+        SELECT * FROM best_rows(TABLE(
+            SELECT CAST(supplier_id AS STRING) AS part, customer_id AS key, CAST(count(*) AS DOUBLE) AS score
+            FROM lot_sales(0.5D) GROUP BY supplier_id, customer_id) PARTITION BY (part), 3)""")

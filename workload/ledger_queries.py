@@ -9,6 +9,7 @@ from aislewise.operators.places import places
 from aislewise.plans import nightly
 from aislewise.session import shared_dir
 from aislewise.sources.tables import Sources
+from aislewise.session import cut_lineage
 from workload import views as V
 from workload.registry import query
 
@@ -159,6 +160,23 @@ def revenue_cover_quadrants(spark, sf_dir):
     return L.revenue_cover_quadrants(ledger(spark, sf_dir), F.lit(100.0), F.lit(24.0))
 
 
+@query(
+    "quadrants_by_percentile",
+    f"""WITH {LEDGER_CTE}, splits AS (
+  SELECT quantile_disc(intraday_gross_revenue_usd, 0.75) AS high_at, quantile_disc(intraday_gross_revenue_usd, 0.25) AS low_at,
+         quantile_disc(est_cover_hours_remaining, 0.75) AS long_at, quantile_disc(est_cover_hours_remaining, 0.25) AS short_at
+  FROM ledger)
+SELECT CASE WHEN intraday_gross_revenue_usd >= high_at AND est_cover_hours_remaining >= long_at THEN 'HIGH_REVENUE_LONG_COVER'
+            WHEN intraday_gross_revenue_usd <= low_at AND est_cover_hours_remaining <= short_at THEN 'LOW_REVENUE_SHORT_COVER'
+            ELSE 'BETWEEN' END AS quadrant, high_at, low_at, long_at, short_at,
+       count(*) AS positions, count(DISTINCT store_id) AS stores
+FROM ledger, splits GROUP BY ALL""",
+)
+def quadrants_by_percentile(spark, sf_dir):
+    """Positions of the highest quarter of revenue and of cover, and of the lowest of both, at exact percentiles."""
+    return L.percentile_quadrants(cut_lineage(ledger(spark, sf_dir)), 0.25, 0.75)
+
+
 @query(
     "demand_by_hour",
     f"""WITH {POSITIONS_SQL},

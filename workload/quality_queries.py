@@ -1,9 +1,12 @@
 """Contract rules, scans, schema checks, profiles and serving-table checks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aislewise.operators import contracts as C
 from aislewise.operators import quality as Q
+from aislewise.operators import sketches as S
 from aislewise.streaming import scoring, windows
 from workload import views as V
 from workload.document_queries import PAGES_SQL, page_fields
@@ -48,7 +51,10 @@ def warranties(spark, sf_dir):
 
 
 def objects(spark, sf_dir):
-    return V.table(spark, sf_dir, "pages").filter(F.startswith("url", F.lit("https://"))).select(F.col("url").alias("uri"))
+    """Every page as a stored object. Some have moved since their address was read, and some are stored twice."""
+    moved = F.when(F.col("page_id") % 7 == 3, F.concat("url", F.lit("#moved"))).otherwise(F.col("url"))
+    again = F.when(F.col("page_id") % 11 == 5, F.array(moved, F.concat("url", F.lit("#copy")))).otherwise(F.array(moved))
+    return V.table(spark, sf_dir, "pages").select(F.explode(again).alias("uri"))
 
 
 BASKETS_SQL = """
@@ -68,7 +74,10 @@ warr AS (
          ad_number % 36 AS warranty_duration_months, html AS extracted_full_content, url AS source_pdf_uri
   FROM fields JOIN (SELECT page_id, html FROM pages) USING (page_id)
 ),
-objects AS (SELECT url AS uri FROM pages WHERE url LIKE 'https://%')"""
+objects AS (
+  SELECT CASE WHEN page_id % 7 = 3 THEN url || '#moved' ELSE url END AS uri FROM pages
+  UNION ALL SELECT url || '#copy' FROM pages WHERE page_id % 11 = 5
+)"""
 
 
 def _fraction(predicate):
@@ -128,6 +137,8 @@ def _kv(rule, dimension, value, operator="==", threshold=0):
     return ("cashier_realtime_alerts", rule, dimension, operator, threshold, value, "kv")
 
 
+_IN_ORDER = """(split_part(row_key, '#', -1)
+  IS NOT DISTINCT FROM lpad(CAST(9223372036854775807 - epoch_us(last_event_ts) AS VARCHAR), 19, '0'))"""
 KV_VALUES = [
     _kv("row_key_prefix_exists", "completeness", f"count(*) FILTER (starts_with(row_key, '{KV_PREFIX}'))", ">=", 1),
     _kv("row_key_format_valid", "validity", "count(*) FILTER (NOT regexp_matches(row_key, '^STORE_[0-9]{3}#CASH_[0-9]+#[0-9]+$'))"),
@@ -136,10 +147,8 @@ KV_VALUES = [
     _kv("counters_non_negative", "validity", "count(*) FILTER (cashier_1h_txn_count < 0) + count(*) FILTER (cashier_1h_manual_override_count < 0)"),
     _kv("promo_rate_in_unit_range", "validity", "count(*) FILTER (cashier_1h_promo_rate < 0 OR cashier_1h_promo_rate > 1)"),
     _kv("core_qualifiers_present", "completeness", "count(*) FILTER (risk_score IS NULL) + count(*) FILTER (cashier_1h_txn_count IS NULL) + count(*) FILTER (audit_status IS NULL)"),
-    # In plain terms: walk the prefix in key order and look for a step forward in time.
-    _kv("newest_row_first_on_prefix_scan", "timeliness", f"""CASE WHEN (SELECT count(*) FROM (
-       SELECT last_event_ts, lag(last_event_ts) OVER (ORDER BY row_key) AS newer
-       FROM kv WHERE starts_with(row_key, '{KV_PREFIX}')) WHERE last_event_ts > newer) = 0
+    # Every key under the prefix ends in the reversed time of its own row, so keys in order are rows from new to old.
+    _kv("newest_row_first_on_prefix_scan", "timeliness", f"""CASE WHEN count(*) FILTER (starts_with(row_key, '{KV_PREFIX}') AND NOT {_IN_ORDER}) = 0
        AND count(*) FILTER (starts_with(row_key, '{KV_PREFIX}')) >= 1 THEN 1 ELSE 0 END""", ">=", 1),
     _kv("override_count_not_exceeding_txn_count", "consistency", "count(*) FILTER (cashier_1h_manual_override_count > cashier_1h_txn_count)"),
 ]
@@ -214,12 +223,11 @@ kv AS (
 )"""
 
 
-@query("kv_checks_broken", _results_sql(KV_BROKEN_SQL, [v for v in KV_VALUES if v[1] != "newest_row_first_on_prefix_scan"]))
-def kv_checks_broken(spark, sf_dir):
-    """The same checks over the same rows with faults put in by their time's second; each check finds some."""
+def broken_serving(spark, sf_dir):
+    """The serving rows with faults put in by their time's second."""
     s = F.unix_seconds("last_event_ts")
     plain = F.concat_ws("#", "store_id", "cashier_id", F.lpad(F.unix_micros("last_event_ts").cast("string"), 19, "0"))
-    rows = serving(spark, sf_dir).withColumns(
+    return serving(spark, sf_dir).withColumns(
         {
             "risk_score": F.when(s % 7 == 0, F.col("risk_score") + 2).when(s % 7 != 1, F.col("risk_score")),
             "audit_status": F.when(s % 11 == 0, "odd").otherwise(F.col("audit_status")),
@@ -228,7 +236,12 @@ def kv_checks_broken(spark, sf_dir):
             "row_key": F.when(s % 3 == 0, plain).when(s % 17 == 0, F.concat(F.lit("x"), "row_key")).otherwise(F.col("row_key")),
         }
     )
-    return Q.kv_checks(rows, KV_PREFIX).where("rule_id <> 'newest_row_first_on_prefix_scan'")
+
+
+@query("kv_checks_broken", _results_sql(KV_BROKEN_SQL, KV_VALUES))
+def kv_checks_broken(spark, sf_dir):
+    """The same nine checks over rows with faults."""
+    return Q.kv_checks(broken_serving(spark, sf_dir), KV_PREFIX)
 
 
 @query(
@@ -240,15 +253,25 @@ def contract_summary(spark, sf_dir):
     return Q.summary(table_results(spark, sf_dir))
 
 
+KV_SOME_WRONG_SQL = f"""{KV_SQL}, partly AS (
+  SELECT * REPLACE (CASE WHEN store_id IN ('STORE_003', 'STORE_041') AND epoch_us(last_event_ts) % 3 = 0
+    THEN store_id || '#' || cashier_id || '#' || lpad(CAST(epoch_us(last_event_ts) AS VARCHAR), 19, '0') ELSE row_key END AS row_key)
+  FROM kv
+)"""
+
+
 @query(
     "kv_newest_first",
-    f"""WITH {KV_SQL}, walked AS (
-  SELECT store_id || '#' || cashier_id AS prefix, last_event_ts,
-         lag(last_event_ts) OVER (PARTITION BY store_id, cashier_id ORDER BY row_key) AS newer FROM kv)
-SELECT prefix, count(*) AS rows, count(*) FILTER (last_event_ts > newer) = 0 AS newest_first FROM walked GROUP BY 1""",
+    f"""WITH {KV_SOME_WRONG_SQL}
+SELECT store_id || '#' || cashier_id AS prefix, count(*) AS rows, bool_and({_IN_ORDER}) AS newest_first FROM partly GROUP BY 1""",
 )
 def kv_newest_first(spark, sf_dir):
-    return Q.newest_first(serving(spark, sf_dir))
+    """Which cashiers' rows come newest first, where some keys of two stores were written with the plain time."""
+    micros = F.unix_micros("last_event_ts")
+    plain = F.concat_ws("#", "store_id", "cashier_id", F.lpad(micros.cast("string"), 19, "0"))
+    wrong = F.col("store_id").isin("STORE_003", "STORE_041") & (micros % 3 == 0)
+    rows = serving(spark, sf_dir).withColumn("row_key", F.when(wrong, plain).otherwise(F.col("row_key")))
+    return Q.newest_first(rows)
 
 
 @query(
@@ -257,9 +280,13 @@ def kv_newest_first(spark, sf_dir):
 WHERE starts_with(row_key, '{KV_PREFIX}') ORDER BY row_key LIMIT 5""",
 )
 def kv_prefix_scan(spark, sf_dir):
-    from aislewise.sources.tables import prefix_scan
+    """The serving rows written in ranges of their keys; the prefix opens the files that can hold it."""
+    from aislewise.session import shared_dir
+    from aislewise.sources.key_ranges import prefix_rows, write_key_ranges
 
-    rows = prefix_scan(serving(spark, sf_dir), KV_PREFIX, 5)
+    path = f"{shared_dir(spark)}/serving-{uuid.uuid4().hex}"
+    write_key_ranges(serving(spark, sf_dir), path)
+    rows = prefix_rows(spark, path, KV_PREFIX, 5)
     return rows.select("row_key", "risk_score", "cashier_1h_txn_count", "audit_status")
 
 
@@ -300,10 +327,39 @@ def profile_columns(spark, sf_dir):
     return Q.profile(V.table(spark, sf_dir, "lineitem"))
 
 
-@query("quick_profile")
+def _sketch_sql(table, columns):
+    parts = [
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+round((count(*) - count({c})) / CAST(count(*) AS DOUBLE), 6) AS null_ratio,
+{f'CAST(min({c}) AS DOUBLE) + 0e0' if numeric else 'CAST(NULL AS DOUBLE)'} AS low,
+{f'CAST(max({c}) AS DOUBLE) + 0e0' if numeric else 'CAST(NULL AS DOUBLE)'} AS high, TRUE AS distinct_ok, TRUE AS quantiles_ok FROM {table}"""
+        for c, numeric in columns
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _month_sketches(spark, sf_dir):
+    """Sketches of the order lines by month, written in two runs as new months come in: the second costs its months only."""
+    from aislewise.session import shared_dir
+
+    lines = V.table(spark, sf_dir, "lineitem")
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+    path = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    names = [c for c, _ in LINE_COLUMNS]
+    late = F.coalesce(F.col("l_shipdate").cast("date") >= F.lit("2001-01-01").cast("date"), F.lit(False))
+    for part in (~late, late):
+        S.store_days(S.day_sketches(lines.where(part), month, names), path)
+    return S.stored(spark, path)
+
+
+@query("quick_profile", _sketch_sql("lineitem", LINE_COLUMNS))
 def quick_profile(spark, sf_dir):
-    """Sketches differ between engines, so there is no SQL to compare; ``profile_columns`` is exact."""
-    return Q.quick_profile(V.table(spark, sf_dir, "lineitem"), [c for c, _ in LINE_COLUMNS])
+    """The profile from stored sketches of each month, and whether its estimates lie within the sketches' stated errors."""
+    profiled = S.profile(_month_sketches(spark, sf_dir))
+    checked = S.within_error(V.table(spark, sf_dir, "lineitem"), profiled)
+    return profiled.join(checked, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "null_ratio", "low", "high", "distinct_ok", "quantiles_ok"
+    )
 
 
 TABLES = (

@@ -1,9 +1,11 @@
 """Deduplication, sales KPIs, alerts, warranty and retention queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aislewise.functions.time import business_day
-from aislewise.operators import dedup, ledger, metrics, sales, warranty
+from aislewise.operators import changes, dedup, ledger, metrics, sales, warranty
 from aislewise.sources.tables import bound_sql as bind
 from workload import views as V
 from workload.ledger_queries import LEDGER_CTE, positions
@@ -290,6 +292,80 @@ def retention_three_versions(spark, sf_dir):
     return sales.compact(stock_readings(spark, sf_dir), ["store_id", "item_id"], "updated_at", as_of(), 30, versions=3)
 
 
+@query(
+    "serving_compacted",
+    f"""WITH {STOCK_SQL} SELECT * FROM readings WHERE updated_at >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY
+QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY updated_at DESC, on_hand_qty DESC, reading_id DESC) = 1""",
+)
+def serving_compacted(spark, sf_dir):
+    """All stock readings written in four batches, with a compaction after the second and after the last."""
+    from aislewise.functions.keys import salt_bucket
+    from aislewise.session import shared_dir
+    from aislewise.streaming import compaction
+    from aislewise.streaming.jobs import write_batch
+
+    path = f"{shared_dir(spark)}/stock-{uuid.uuid4().hex}"
+    readings = stock_readings(spark, sf_dir)
+    names = readings.columns
+    days = sales.RETENTION_DAYS["inventory"]
+
+    def rewrite(rows):
+        return sales.compact(rows, ["store_id", "item_id"], "updated_at", as_of(), days)
+
+    for batch in range(4):
+        part = readings.where(F.pmod(F.col("reading_id"), F.lit(4)) == batch)
+        write_batch(part.withColumn("salt", salt_bucket(F.concat_ws("#", "store_id", "item_id"))), path, batch, ("salt",))
+        if batch in (1, 3):
+            compaction.compact_table(spark, path, rewrite)
+    return compaction.current(spark, path).select(*names)
+
+
+ORDER_VERSIONS_SQL = """
+first_version AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0),
+second_version AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus
+  FROM orders WHERE o_orderkey % 7 <> 0
+)"""
+
+
+def order_versions(spark, sf_dir):
+    """Two versions of the orders: some come, some go, some change their price, some lose their status."""
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    key = F.col("o_orderkey")
+    price = F.when(key % 5 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    status = F.when(key % 11 != 0, F.col("o_orderstatus"))
+    after = orders.where(key % 7 != 0).withColumns({"o_totalprice": price, "o_orderstatus": status})
+    return orders.where(key % 10 != 0), after
+
+
+@query(
+    "change_feed",
+    f"""WITH {ORDER_VERSIONS_SQL}
+SELECT o_orderkey, CASE WHEN b.o_custkey IS NULL THEN 'insert' WHEN a.o_custkey IS NULL THEN 'delete' ELSE 'update' END AS change,
+  b.o_totalprice AS price_before, a.o_totalprice AS price_after, b.o_orderstatus AS status_before, a.o_orderstatus AS status_after
+FROM first_version b FULL JOIN second_version a USING (o_orderkey)
+WHERE (b.o_custkey, b.o_totalprice, b.o_orderstatus) IS DISTINCT FROM (a.o_custkey, a.o_totalprice, a.o_orderstatus)""",
+)
+def change_feed(spark, sf_dir):
+    """What changed between two versions of the orders, with the rows before and after."""
+    before, after = order_versions(spark, sf_dir)
+    feed = changes.changes(before, after, ["o_orderkey"], 2)
+    return feed.select(
+        "o_orderkey", "change", F.col("before.o_totalprice").alias("price_before"), F.col("after.o_totalprice").alias("price_after"),
+        F.col("before.o_orderstatus").alias("status_before"), F.col("after.o_orderstatus").alias("status_after"),
+    )
+
+
+@query("change_replay", f"WITH {ORDER_VERSIONS_SQL} SELECT * FROM second_version")
+def change_replay(spark, sf_dir):
+    """The second version rebuilt: an empty table, then the first version's inserts, then the changes between the two."""
+    before, after = order_versions(spark, sf_dir)
+    nothing = before.limit(0)
+    feed = changes.changes(nothing, before, ["o_orderkey"], 1).unionByName(changes.changes(before, after, ["o_orderkey"], 2))
+    return changes.apply(nothing, feed, ["o_orderkey"])
+
+
 TRIAGE_SQL = f"""{LINES_SQL},
 triaged AS (
   SELECT transaction_id, line_seq, customer_id, business_date, store_id, item_id, p_name AS product_name,
