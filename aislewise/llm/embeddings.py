@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.common import written
 from aislewise.llm.components import components
+from aislewise.llm.ranges import salted_join
 
 TABLES, BITS = 24, 20
 COSINE = 0.98
@@ -113,10 +114,15 @@ def near_duplicates(vectors: DataFrame, tables: int = TABLES, bits: int = BITS,
     rows = vectors.select("vec_id", "label", vector.alias("vector"))
     # Adding 0.0 makes a negative zero a zero: equal vectors get equal texts.
     exact = F.transform("vector", lambda x: x + F.lit(0.0))
-    rows = written(rows.select("vec_id", "label", F.when(usable, exact).alias("vector")))
-
-    classes = rows.where("vector IS NOT NULL").groupBy("label", "vector")
-    classes = classes.agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+    rows = rows.select("vec_id", "label", F.when(usable, exact).alias("vector"))
+    # Equal vectors with equal labels are told by 256 bits instead of by all their components.
+    digest = F.unhex(F.sha2(F.to_json(F.struct("label", "vector")), 256))
+    rows = written(rows.withColumn("class", F.when(F.col("vector").isNotNull(), digest)))
+
+    classes = rows.where("class IS NOT NULL").groupBy("class")
+    classes = classes.agg(
+        F.first("label").alias("label"), F.first("vector").alias("vector"), F.min("vec_id").alias("first_id"), F.count("*").alias("copies")
+    )
     classes = written(with_codes(classes.withColumn("no", F.monotonically_increasing_id()), tables, bits))
 
     # The label's hash is only a key; a collision is ruled out by comparing labels in the group key.
@@ -149,10 +155,11 @@ def near_duplicates(vectors: DataFrame, tables: int = TABLES, bits: int = BITS,
     named = named.withColumn("component", F.coalesce("component", "no"))
     least = named.groupBy("component").agg(F.min("first_id").alias("least_id"))
     of_class = named.join(least, "component").select(
-        "label", "vector", "least_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "class", "least_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    component = F.when(F.col("vector").isNull(), F.col("vec_id")).otherwise(F.col("least_id"))
-    return rows.join(of_class, ["label", "vector"], "left").select(
+    component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("least_id"))
+    # A class of very many copies is one key: its rows are dealt out by a number besides.
+    return salted_join(rows.select("vec_id", "class"), of_class, ["class"], "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),

@@ -8,9 +8,9 @@ Rows that match are located by walking back to a sampled suffix position, and th
 
 Phrases: 10 consecutive words of an item; an item of fewer words, but not none, is one phrase.
 
-The phrases are broadcast in blocks of at most ``BLOCK_BYTES`` of benchmark text; each block is one more pass over the
-rows in the same stage, without a shuffle, so a benchmark of any size works and each broadcast is bounded. Nothing
-else leaves the tasks: there is no shuffle at all.
+Distinct items are broadcast in blocks of about half of ``BLOCK_BYTES`` of benchmark text. A task reads its rows once, in one
+stage without a shuffle, and searches each shard for one block after another; what it holds grows with the benchmark, not with
+the documents.
 
 Defined results: A-Z is lower-cased; words are runs of digits, letters and everything above ASCII. Null texts have no
 words. Each row gives one row, repeated rows included. Items with equal ids count once, whatever their texts; an item
@@ -21,7 +21,7 @@ columns that ``find`` adds replace columns of the same name.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import raw_bytes
+from aislewise.llm.common import raw_bytes, slices, written
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -226,78 +226,109 @@ def search_shard(symbols: list[np.ndarray], block: dict) -> dict[int, tuple[list
     return found
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the merged spans of words that stand in a phrase, the items found, and the number of words."""
-    spark = docs.sparkSession
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def phrase_blocks(benchmark: DataFrame) -> list[Broadcast]:
+    """The distinct items' phrases, in broadcast blocks."""
+    spark = benchmark.sparkSession
     named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    named = named.where("text IS NOT NULL")
-    # A checked size: one block if all of it fits, else blocks by hash that are half full on average.
+    named = named.where("text IS NOT NULL").distinct()
+    # A checked size: blocks by hash that are half full on average.
     total = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    count = 1 if total <= BLOCK_BYTES else -(-2 * total // BLOCK_BYTES)
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(count)).cast("int").alias("block")
-    named = named.select("item", "text", block)
-    out = docs.drop(SPANS, ITEMS, COUNT).withColumns(
+    count = 1 + 2 * total // BLOCK_BYTES
+    named = written(named.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)).cast("int")))
+    blocks = []
+    for k in range(count):
+        rows = named.where(F.col("block") == k).collect()
+        blocks.append(spark.sparkContext.broadcast(phrase_block([(r.item, r.text.encode()) for r in rows])))
+    return blocks
+
+
+def with_columns(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that a search fills."""
+    return docs.drop(SPANS, ITEMS, COUNT).withColumns(
         {
             SPANS: F.array().cast("array<struct<start:long,end:long>>"),
             ITEMS: F.array().cast("array<string>"),
             COUNT: F.lit(0).cast("long"),
         }
     )
-    for k in range(count):
-        rows = named.where(F.col("block") == k).collect()
-        tables = phrase_block([(r.item, r.text.encode()) for r in rows])
-        out = search_pass(out, spark.sparkContext.broadcast(tables))
-    return out
 
 
-def search_pass(docs: DataFrame, shared: Broadcast) -> DataFrame:
-    """One pass of a block of phrases; spans and items of earlier passes are kept."""
-    names = docs.columns
+def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` with the merged spans of words that stand in a phrase, the items found, and the number of words."""
+    out = with_columns(docs)
+    return out.mapInArrow(search(out.columns, phrase_blocks(benchmark)), out.schema)
+
+
+def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the phrases, as ``cut`` leaves them after ``find``: both in one Python worker."""
+    out = with_columns(docs)
+    find_in, cut_from = search(out.columns, phrase_blocks(benchmark)), cutter(out.columns)
+    return out.mapInArrow(lambda batches: cut_from(find_in(batches)), out.schema).drop(SPANS, ITEMS, COUNT)
+
+
+def search(names: list[str], blocks: list[Broadcast]) -> Run:
+    """All blocks of phrases in one pass over the documents: a shard's texts are indexed for one block after another."""
     at = names.index("text")
     kinds = [pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()), pa.int64()]
 
+    def symbols_of(batch: pa.RecordBatch, block: dict) -> list[np.ndarray]:
+        get = block["symbols"].get
+        words = map(split_words, raw_bytes(batch.column(at)))
+        return [np.fromiter([get(w, 0) for w in own], dtype=np.int64, count=len(own)) for own in words]
+
     def finish(batches: list[pa.RecordBatch], symbols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        found = search_shard(symbols, block) if block["items"] else {}
+        hits: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
+        counts = list(map(len, symbols))
+        for k, shared in enumerate(blocks):
+            block = shared.value
+            if not block["items"]:
+                continue
+            if k:
+                symbols = [x for batch in batches for x in symbols_of(batch, block)]
+            for doc, (spans, items) in search_shard(symbols, block).items():
+                old = hits.setdefault(doc, ([], set()))
+                old[0].extend(spans)
+                old[1].update(items)
         base = 0
         for batch in batches:
-            spans, items = (batch.column(names.index(c)).to_pylist() for c in (SPANS, ITEMS))
-            for i in range(batch.num_rows):
-                if (hit := found.get(base + i)) is not None:
-                    old = [(x["start"], x["end"]) for x in spans[i]]
-                    spans[i] = [{"start": a, "end": b} for a, b in merge_spans(old + hit[0])]
-                    items[i] = sorted({*items[i], *hit[1]})
-            counts = [len(s) for s in symbols[base : base + batch.num_rows]]
+            own = [hits.get(base + i, ((), ())) for i in range(batch.num_rows)]
+            spans = [[{"start": a, "end": b} for a, b in merge_spans(list(x))] if x else [] for x, _ in own]
+            items = [sorted(x) for _, x in own]
+            columns = (spans, items, counts[base : base + batch.num_rows])
             base += batch.num_rows
-            new = dict(zip((SPANS, ITEMS, COUNT), map(pa.array, (spans, items, counts), kinds)))
+            new = dict(zip((SPANS, ITEMS, COUNT), map(pa.array, columns, kinds)))
             yield pa.RecordBatch.from_arrays([new.get(c, batch.column(i)) for i, c in enumerate(names)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value["symbols"].get
         held, symbols, size = [], [], 0
-        for batch in batches:
-            for text in raw_bytes(batch.column(at)):
-                words = split_words(text)
-                symbols.append(np.fromiter([get(w, 0) for w in words], dtype=np.int64, count=len(words)))
-                size += len(words)
-            held.append(batch)
+        for part in (part for batch in batches for part in slices(batch)):
+            new = symbols_of(part, blocks[0].value)
+            symbols += new
+            size += sum(map(len, new))
+            held.append(part)
             if size >= SHARD_WORDS:
                 yield from finish(held, symbols)
                 held, symbols, size = [], [], 0
         if held:
             yield from finish(held, symbols)
 
-    return docs.mapInArrow(run, docs.schema)
+    return run
 
 
 def cut(found: DataFrame) -> DataFrame:
     """The rows of ``find`` with the text of each span removed: from its first word's first byte to its last word's
     last byte. Rows without words that are left go; rows without hits stay as they are."""
-    names = found.columns
+    return found.mapInArrow(cutter(found.columns), found.schema)
+
+
+def cutter(names: list[str]) -> Run:
     text_at, spans_at, count_at = names.index("text"), names.index(SPANS), names.index(COUNT)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             texts, keep = [], []
             hits = batch.column(spans_at).to_pylist()
             for text, spans, count in zip(raw_bytes(batch.column(text_at)), hits, batch.column(count_at).to_pylist()):
@@ -315,7 +346,7 @@ def cut(found: DataFrame) -> DataFrame:
             columns = [new if i == text_at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
-    return found.mapInArrow(work, found.schema)
+    return work
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from aislewise.llm.common import ROW, by_batch, raw_bytes, set_aside, slices, written
 from aislewise.llm.components import components
+from aislewise.llm.ranges import salted_join
 
 WORDS, BANDS, ROWS = 5, 32, 4
 DIGEST = "__digest"
@@ -360,7 +361,8 @@ def groups(docs: DataFrame, bands: int, rows: int, words: int, *passed: str) ->
         "class", F.coalesce("component", "no").alias("component"), F.coalesce("least_id", "first_id").alias("of_class")
     )
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("of_class"))
-    out = profile.select("doc_id", "class", "n", *passed).join(of_class, "class", "left")
+    # A class of very many copies is one key: its rows are dealt out by a number besides.
+    out = salted_join(profile.select("doc_id", "class", "n", *passed), of_class, ["class"], "left")
     return out.select(
         "doc_id",
         "class",

@@ -115,3 +115,18 @@ def test_index_parts():
     low, high = index.search(np.array([[1, 2, 3]]), np.array([3]))
     want = [i for i in range(398) if text[i : i + 3].tolist() == [1, 2, 3]]
     assert sorted(index.locate(np.arange(low[0], high[0])).tolist()) == want
+
+
+def test_many_blocks_are_one_stage(spark, monkeypatch):
+    """Fifty blocks, items repeated a thousand times among them, and one Python stage."""
+    monkeypatch.setattr(fmindex, "BLOCK_BYTES", 60)
+    items = [(f"i{k}", f"w{k} x{k} y{k}") for k in range(120)] + [("same", "again and again")] * 1000
+    docs = [(k, f"a w{k} x{k} y{k} b again and again c") for k in range(130)]
+    bench = spark.createDataFrame(items, "item_id string, text string").repartition(3)
+    found = fmindex.find(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    got = {r.doc_id: (r[fmindex.ITEMS], [tuple(x) for x in r[fmindex.SPANS]]) for r in found.collect()}
+    for k in range(130):
+        spans = [(1, 4), (5, 8)] if k < 120 else [(5, 8)]
+        assert got[k] == (sorted(["same"] + [f"i{k}"] * (k < 120)), spans), k
