@@ -41,8 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Cuts benchmark passages out of the texts; documents that are nothing else go."""
     small_batches(spark)
     plain, back = set_aside(docs, fmindex.SPANS, fmindex.ITEMS, fmindex.COUNT)
-    found = fmindex.find(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return recounted(docs, fmindex.cut(found).select(*back))
+    cleaned = fmindex.remove(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return recounted(docs, cleaned.select(*back))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
