@@ -1,9 +1,10 @@
 """Operator 1: one canonical chat format from records of many layouts, chosen by schema fingerprint.
 
-Records are JSON texts in whatever layout their source uses. Their fields are read with one schema, the union of all
-declared layouts; the paths that hold a value (such as ``messages[].role``) are sorted, joined and hashed. The hash
-selects a declared layout, whose mapping turns the record into canonical turns (role, text). Fields that no layout
-names are ignored; a record whose fingerprint is not declared gets no turns and a null ``layout``.
+Records are JSON texts in whatever layout their source uses. A record's fingerprint is the hash of all its nested paths, as
+they stand in it: records that differ in any path differ in fingerprint. A layout is selected by the hash of the paths that it
+declares and the record holds (such as ``messages[].role``; a member that is null is held); its mapping turns the record into
+canonical turns (role, text). Of several layouts that fit, the first declared one is taken, and members that it does not name
+are ignored. A record that no layout fits gets no turns and a null ``layout``, and its fingerprint says what it looks like.
 
 Format of a turn: ``### Role: text</turn>`` and a newline. Texts and roles are escaped so that no control string stands
 in them: ``\\`` becomes ``\\0``, ``</turn>`` becomes ``\\1``, ``###`` becomes ``\\2`` and, in roles, ``:`` becomes ``\\3``.
@@ -114,30 +115,41 @@ def record_schema(layouts: tuple[Layout, ...]) -> str:
     return f"struct<{','.join(kinds)}>"
 
 
-def fingerprint(layouts: tuple[Layout, ...]) -> Column:
-    """Hash of the nested paths that hold a value in column ``record``."""
-    present: dict[str, Column] = {}
-    for x in layouts:
-        for _, c in x.fields:
-            present[c] = F.col(f"record.{c}").isNotNull()
-        if x.messages:
-            items = F.col(f"record.{x.messages}")
-            present[x.messages] = items.isNotNull()
-            for i in (x.role, x.text):
-                held = F.exists(items[i], lambda value: value.isNotNull())
-                present[f"{x.messages}[].{i}"] = F.coalesce(held, F.lit(False))
+# Types of single values in the schema of a record; only paths count.
+KINDS = r": (STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|VARIANT|DATE|TIMESTAMP|DECIMAL\([0-9]+,[0-9]+\))"
+
+
+def fingerprint(json: Column) -> Column:
+    """Hash of all nested paths of a JSON text; of nothing where it can't be read."""
+    paths = F.regexp_replace(F.schema_of_variant(F.try_parse_json(json)), KINDS, "")
+    return F.sha2(F.coalesce(paths, F.lit("")), 256)
+
+
+def selector(layout: Layout) -> Column:
+    """Hash of the paths that ``layout`` declares and columns ``record`` and ``keys`` hold."""
+    present: dict[str, Column] = {c: F.array_contains("keys", c) for _, c in layout.fields}
+    if layout.messages:
+        items = F.col(f"record.{layout.messages}")
+        present[layout.messages] = items.isNotNull()
+        for i in (layout.role, layout.text):
+            held = F.exists(items[i], lambda value: value.isNotNull())
+            present[f"{layout.messages}[].{i}"] = F.coalesce(held, F.lit(False))
     return F.sha2(F.concat_ws("\n", *[F.when(held, F.lit(path)) for path, held in sorted(present.items())]), 256)
 
 
 def canonical(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``record_id``, ``fingerprint``, ``layout`` and ``turns`` of each record (``record_id``, JSON text ``json``)."""
-    parsed = records.select("record_id", F.from_json("json", record_schema(layouts), {"maxStringLen": str(2**31 - 1)}).alias("record"))
-    parsed = parsed.withColumn("fingerprint", fingerprint(layouts))
+    parsed = records.select(
+        "record_id",
+        F.from_json("json", record_schema(layouts), {"maxStringLen": str(2**31 - 1)}).alias("record"),
+        F.coalesce(F.json_object_keys("json"), F.array().cast("array<string>")).alias("keys"),
+        fingerprint(F.col("json")).alias("fingerprint"),
+    )
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for x in layouts:
-        known = F.col("fingerprint").isin([fingerprint_of(paths) for paths in x.path_sets()])
-        layout = F.when(known, F.lit(x.name)).otherwise(layout)
-        turns = F.when(known, x.turns().cast(TURNS)).otherwise(turns)
+    for x in reversed(layouts):
+        fits = selector(x).isin([fingerprint_of(paths) for paths in x.path_sets()])
+        layout = F.when(fits, F.lit(x.name)).otherwise(layout)
+        turns = F.when(fits, x.turns().cast(TURNS)).otherwise(turns)
     return parsed.select("record_id", "fingerprint", layout.alias("layout"), turns.alias("turns"))
 
 

@@ -35,6 +35,9 @@ def test_query_equals_sql(against_sql):
             [("system", "s"), ("user", "a"), ("assistant", "b")],
         ),
         ({"prompt": "a"}, None, None),
+        ({"prompt": "a", "completion": None}, "prompt", [("user", "a")]),
+        ({"prompt": "p", "completion": "c", "messages": [{"role": "user", "content": "m"}]}, "messages", [("user", "m")]),
+        ({"prompt": "p", "completion": "c", "messages": None}, "prompt", [("user", "p"), ("assistant", "c")]),
         ({"unknown": "a"}, None, None),
     ],
 )
@@ -44,6 +47,18 @@ def test_layouts(spark, record, layout, turns):
     assert (got.turns if got.turns is None else [tuple(t) for t in got.turns]) == turns
 
 
+def test_fingerprints_tell_all_nested_paths(spark):
+    base = {"messages": [{"role": "user", "content": "a"}]}
+    more = [{**base, "tools": [{"f": 1}]}, {**base, "tools": [1]}, {"messages": [{"role": "user", "content": "a", "name": "n"}]}, {**base, "id": 7}]
+    same = [{"messages": [{"content": "other text", "role": "assistant"}]}, {"messages": [{"role": "x", "content": "y"}] * 3}]
+    records = [json.dumps(r) for r in [base, *more, *same]] + ["not json", '{"a": 1, "a": 2}']
+    got = chat.canonical(spark.createDataFrame(list(enumerate(records)), "record_id long, json string")).collect()
+    prints = [r.fingerprint for r in sorted(got, key=lambda r: r.record_id)]
+    assert len(set(prints[:5])) == 5 and prints[5] == prints[6] == prints[0]
+    assert prints[7] == prints[8] == hashlib.sha256(b"").hexdigest()
+    assert [r.layout for r in sorted(got, key=lambda r: r.record_id)][:7] == ["messages"] * 7
+
+
 HARD = ["", "\\", "\\0\\1\\2\\3", "</turn>", "</turn></turn", "######", "####", "#</turn>\n### A: b", "é😀 </tur", "\\### Assistant: </turn> ok"]
 
 
