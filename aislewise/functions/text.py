@@ -29,11 +29,6 @@ def https_link(uri: Column, host: str, scheme: str = "gs://") -> Column:
     return F.regexp_replace(uri, f"^{scheme}", f"{host.rstrip('/')}/")
 
 
-def search_token(query: Column) -> Column:
-    """The first code in a question, or the whole question when it names none."""
-    return F.coalesce(first_match(query, f"({CODE_PATTERN})"), query)
-
-
 def names_fault(text: Column) -> Column:
     return text.rlike(FAULT_PATTERN)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aislewise.functions.text import CODE_PATTERN
+from aislewise.functions.text import CODE_PATTERN, https_link
 from aislewise.operators import postings
 from aislewise.operators.dedup import top_per_key
 from aislewise.operators.documents import words
@@ -260,3 +260,13 @@ def retrieve(
         .join(answers, "query_id", "left")
         .withColumn("status", F.coalesce("status", F.lit(NO_MATCH)))
     )
+
+
+def envelope(answers: DataFrame, catalog: DataFrame, document: str, host: str) -> DataFrame:
+    """Answers with what a reader is shown besides the text: the document's title, its equipment and a clickable link.
+
+    ``catalog`` has the document key, ``title``, ``equipment`` and ``uri``; a row a document. An answer without a match has
+    none of them.
+    """
+    shown = catalog.select(document, "title", "equipment", https_link(F.col("uri"), host).alias("link"))
+    return answers.join(shown, document, "left")

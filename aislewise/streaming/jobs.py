@@ -136,6 +136,17 @@ def cashier_watch(
     return _run(writer, trigger)
 
 
+def hourly_watch(silver: DataFrame, lake: Lake, late_by: str = events.LATE_BY, trigger: dict | None = None) -> StreamingQuery:
+    """Cashier metrics of each whole hour under its serving key, once the watermark has passed the hour's end."""
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.withColumn("salt", salt_bucket(F.col("cashier_id"))), lake.path("hourly"), batch_id, ("salt",))
+
+    hours = windows.hourly_metrics(events.once(silver, late_by))
+    writer = hours.writeStream.outputMode("append").foreachBatch(emit).option("checkpointLocation", lake.checkpoint("hourly"))
+    return _run(writer, trigger)
+
+
 def order_watch(
     silver: DataFrame, lake: Lake, threshold: float = 0.5, trigger: dict | None = None, late_by: str = events.LATE_BY
 ) -> StreamingQuery:

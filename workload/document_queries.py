@@ -169,9 +169,7 @@ def grounding_gate(spark, sf_dir):
     )
 
 
-@query(
-    "retrieve_runbooks",
-    f"""WITH {VECTORS_SQL},
+RETRIEVED_SQL = f"""WITH {VECTORS_SQL},
 grounded AS (SELECT query_id, doc_id, chunk_index, similarity_score, 'VECTOR_MATCH' AS status FROM top3
              WHERE rank = 1 AND similarity_score >= 0.70),
 lines AS (SELECT doc_id, chunk_index, ' ' || array_to_string({WORDS_SQL.format('chunk_content')}, ' ') || ' ' AS line FROM chunks),
@@ -184,16 +182,36 @@ stitched AS (
          string_agg(c.chunk_content, chr(10) ORDER BY c.chunk_index) AS stitched_content
   FROM matched m JOIN chunks c ON c.doc_id = m.doc_id AND c.chunk_index BETWEEN m.chunk_index - 1 AND m.chunk_index + 1
   GROUP BY ALL
-)
-SELECT item_id AS query_id, doc_id, chunk_index, similarity_score, coalesce(status, 'NO_CERTIFIED_MATCH') AS status,
+),
+answers AS (SELECT item_id AS query_id, doc_id, chunk_index, similarity_score, coalesce(status, 'NO_CERTIFIED_MATCH') AS status,
        stitched_content
-FROM benchmark LEFT JOIN stitched ON query_id = item_id""",
-)
+FROM benchmark LEFT JOIN stitched ON query_id = item_id)"""
+
+
+@query("retrieve_runbooks", f"{RETRIEVED_SQL} SELECT * FROM answers")
 def retrieve_runbooks(spark, sf_dir):
     """The whole path at the operator's own gate: nearest chunk, else text match, else none."""
     return S.retrieve(questions(spark, sf_dir), embedded_chunks(spark, sf_dir), "doc_id")
 
 
+@query(
+    "retrieve_envelope",
+    f"""{RETRIEVED_SQL} SELECT query_id, a.doc_id, status, d.source || ' ' || a.doc_id AS title, d.lang AS equipment,
+  'https://manuals.example/' || d.source || '/' || a.doc_id || '.pdf' AS link
+FROM answers a LEFT JOIN documents d USING (doc_id)""",
+)
+def retrieve_envelope(spark, sf_dir):
+    """Every answer with the title, equipment and link of its document."""
+    d = V.table(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string")
+    catalog = d.select(
+        "doc_id", F.concat("source", F.lit(" "), number).alias("title"), F.col("lang").alias("equipment"),
+        F.concat(F.lit("gs://"), "source", F.lit("/"), number, F.lit(".pdf")).alias("uri"),
+    )
+    answers = S.envelope(retrieve_runbooks(spark, sf_dir), catalog, "doc_id", "https://manuals.example")
+    return answers.select("query_id", "doc_id", "status", "title", "equipment", "link")
+
+
 PHRASE_WORDS = 4
 
 
