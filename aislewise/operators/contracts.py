@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from aislewise.functions.time import event_time, within_days
 from aislewise.operators import ledger as L
-from aislewise.operators.quality import Rule, counted, evaluate, holds, referenced_ratio, same_count, value_rule
+from aislewise.operators.quality import Rule, counted, evaluate_all, holds, referenced_ratio, same_count, value_rule
 from aislewise.operators.sales import ALERT_SOURCE, ORDER_ANOMALY, PROMO_ABUSE
 
 # Contracted columns.
@@ -174,7 +174,7 @@ def cross_table_checks(history: DataFrame, warranty: DataFrame, objects: DataFra
 
 
 def check_all(tables: dict[str, DataFrame], as_of: Column, as_of_date: str) -> DataFrame:
-    """Every table rule, one aggregation per table plus one per uniqueness rule."""
+    """Every table rule, in one pass per table, however many contracts it is under."""
     rules = {
         "pos_transactions_gold": gold_rules(as_of_date),
         "pos_anomaly_alerts": alert_rules(as_of),
@@ -183,9 +183,4 @@ def check_all(tables: dict[str, DataFrame], as_of: Column, as_of_date: str) -> D
         "warranty_generic_sections_extracted": warranty_rules(),
         "silver_pos_transactions": silver_rules(),
     }
-    out = None
-    for name, table_rules in rules.items():
-        if name in tables:
-            part = evaluate(tables[name], name, table_rules)
-            out = part if out is None else out.unionByName(part)
-    return out
+    return evaluate_all([(name, tables[name], own) for name, own in rules.items() if name in tables])

@@ -26,7 +26,8 @@ class Rule:
     """One number per rule, compared with a threshold.
 
     ``value`` is an aggregate column over the rule's table. ``unique`` instead names key columns, whose
-    value is distinct keys over keys present.
+    value is distinct keys over keys present. A rule over a row condition keeps it as ``predicate``; its value is the
+    share of rows that meet it, or their number if it ``counts``.
     """
 
     id: str
@@ -35,16 +36,18 @@ class Rule:
     operator: str = ">="
     threshold: float = 1.0
     unique: tuple[str, ...] = ()
+    predicate: Column | None = None
+    counts: bool = False
 
 
 def holds(rule_id: str, dimension: str, predicate: Column, threshold: float = 1.0) -> Rule:
     """Row condition: the fraction of rows that meet it."""
-    return Rule(rule_id, dimension, pass_fraction(predicate), ">=", threshold)
+    return Rule(rule_id, dimension, pass_fraction(predicate), ">=", threshold, predicate=predicate)
 
 
 def counted(rule_id: str, dimension: str, predicate: Column, at_least: float = 1.0) -> Rule:
     """Number of rows that meet a condition, such as a window that must not be empty."""
-    return Rule(rule_id, dimension, F.count_if(predicate), ">=", at_least)
+    return Rule(rule_id, dimension, F.count_if(predicate), ">=", at_least, predicate=predicate, counts=True)
 
 
 def unique_ratio(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,26 +57,19 @@ def unique_ratio(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(ratio(F.count(F.lit(1)), F.nullif(F.sum("n"), F.lit(0))).alias("value"))
 
 
-def judged(contract: str, values: DataFrame) -> DataFrame:
+def judged(values: DataFrame) -> DataFrame:
     """Compare values with thresholds; no value is a failure."""
     verdict = reduce(
         lambda rest, op: F.when(F.col("operator") == op, COMPARE[op](F.col("value"), F.col("threshold"))).otherwise(rest),
         COMPARE,
         F.lit(False),
     )
-    return values.select(
-        F.lit(contract).alias("contract"),
-        "rule_id",
-        "dimension",
-        "value",
-        "operator",
-        "threshold",
-        F.coalesce(verdict, F.lit(False)).alias("ok"),
-    )
+    return values.withColumn("ok", F.coalesce(verdict, F.lit(False))).select(*RESULT)
 
 
-def _described(rule: Rule, value: Column) -> Column:
+def _described(contract: str, rule: Rule, value: Column) -> Column:
     return F.struct(
+        F.lit(contract).alias("contract"),
         F.lit(rule.id).alias("rule_id"),
         F.lit(rule.dimension).alias("dimension"),
         value.cast("double").alias("value"),
@@ -82,22 +78,55 @@ def _described(rule: Rule, value: Column) -> Column:
     )
 
 
-def evaluate(df: DataFrame, contract: str, rules: Sequence[Rule]) -> DataFrame:
-    """All plain rules of a table in one aggregation; each uniqueness rule in its own."""
-    plain = [r for r in rules if not r.unique]
-    parts = []
-    if plain:
-        row = df.agg(*[r.value.cast("double").alias(r.id) for r in plain])
-        parts.append(row.select(F.inline(F.array(*[_described(r, F.col(r.id)) for r in plain]))))
-    for r in rules:
+def _in_one_pass(df: DataFrame, key: tuple[str, ...], rules: Sequence[Rule]) -> DataFrame:
+    """One row of all values from one grouping by the key: rows and met conditions are counted per key and added up."""
+    tests = [F.count_if(r.predicate).alias(f"met{i}") for i, r in enumerate(rules) if not r.unique]
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *tests)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    values = []
+    for i, r in enumerate(rules):
         if r.unique:
-            parts.append(unique_ratio(df, r.unique).select(F.inline(F.array(_described(r, F.col("value"))))))
-    return judged(contract, reduce(DataFrame.unionByName, parts))
+            values.append(ratio(F.count_if(known), F.nullif(F.sum(F.when(known, F.col("n"))), F.lit(0))))
+        elif r.counts:
+            values.append(F.coalesce(F.sum(f"met{i}"), F.lit(0)))
+        else:
+            values.append(ratio(F.sum(f"met{i}"), F.sum("n")))
+    return per_key.agg(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
+
+
+def evaluate_all(parts: Sequence[tuple[str, DataFrame, Sequence[Rule]]]) -> DataFrame:
+    """Every rule of every (contract, table, rules). Contracts over one table (the same DataFrame) share its pass: conditions
+    and the uniqueness of one key are counted together; without a key, or with several, conditions take one aggregation and
+    each key its own."""
+    tables: dict[int, tuple[DataFrame, list[tuple[str, Rule]]]] = {}
+    for contract, df, rules in parts:
+        tables.setdefault(id(df), (df, []))[1].extend((contract, r) for r in rules)
+    values = []
+    for df, named in tables.values():
+        rules = [r for _, r in named]
+        keys = {r.unique for r in rules if r.unique}
+        if len(keys) == 1 and all(r.unique or r.predicate is not None for r in rules):
+            rows = [(_in_one_pass(df, keys.pop(), rules), list(enumerate(named)))]
+        else:
+            plain = [(i, n) for i, n in enumerate(named) if not n[1].unique]
+            rows = [(df.agg(*[n[1].value.cast("double").alias(f"v{i}") for i, n in plain]), plain)] if plain else []
+            for key in sorted(keys):
+                own = [(i, n) for i, n in enumerate(named) if n[1].unique == key]
+                ratio_row = unique_ratio(df, key)
+                rows.append((ratio_row.select(*[F.col("value").alias(f"v{i}") for i, _ in own]), own))
+        for row, own in rows:
+            values.append(row.select(F.inline(F.array(*[_described(c, r, F.col(f"v{i}")) for i, (c, r) in own]))))
+    return judged(reduce(DataFrame.unionByName, values))
+
+
+def evaluate(df: DataFrame, contract: str, rules: Sequence[Rule]) -> DataFrame:
+    """All rules of one contract over its table."""
+    return evaluate_all([(contract, df, rules)])
 
 
 def value_rule(contract: str, rule: Rule, one_row: DataFrame) -> DataFrame:
     """A rule whose number comes from its own query, such as one over two tables."""
-    return judged(contract, one_row.select(F.inline(F.array(_described(rule, F.col("value"))))))
+    return judged(one_row.select(F.inline(F.array(_described(contract, rule, F.col("value"))))))
 
 
 def referenced_ratio(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:

@@ -235,3 +235,24 @@ def test_repeated_records_differ_from_plain_ones(spark):
     live = T.StructType.fromDDL("a array<struct<x:int>>, b array<struct<x:int>>, c string")
     issues = {r.path: r.issue for r in Q.schema_diff(spark, plain, live).collect()}
     assert issues["a"] == "TYPE" and issues["b"] == issues["c"] == "OK"
+
+
+def test_contracts_over_one_table_share_one_pass(spark, tmp_path):
+    data = [(1, 5), (1, -2), (2, None), (None, 3), (None, 4), (3, 0)]
+    spark.createDataFrame(data, "k int, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [
+        Q.holds("positive", "validity", F.col("v") >= 0, 0.5), Q.counted("large", "validity", F.col("v") > 3),
+        Q.Rule("unique", "uniqueness", unique=("k",)),
+    ]
+    other = [Q.holds("known", "completeness", F.col("k").isNotNull())]
+    both = Q.evaluate_all([("a", df, rules), ("b", df, other)])
+    got = {(r.contract, r.rule_id): (round(r.value, 6), r.ok) for r in both.collect()}
+    assert got == {
+        ("a", "positive"): (round(4 / 6, 6), True), ("a", "large"): (2.0, True), ("a", "unique"): (0.75, False), ("b", "known"): (round(4 / 6, 6), False),
+    }
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    none = {r.rule_id: (r.value, r.ok) for r in Q.evaluate(df.limit(0), "a", rules).collect()}
+    assert none == {"positive": (None, False), "large": (0.0, False), "unique": (None, False)}
+    separate = {r.rule_id: r.value for r in Q.evaluate(df, "a", [*rules, Q.Rule("pair", "uniqueness", unique=("k", "v"))]).collect()}
+    assert separate["unique"] == 0.75 and separate["positive"] == 4 / 6 and separate["pair"] == 1.0
