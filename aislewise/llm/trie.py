@@ -22,13 +22,14 @@ root. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aislewise.llm.common import written
+from aislewise.llm.common import SLICE, written
 from aislewise.llm.listrank import NONE, list_rank
 from aislewise.llm.ranges import running, salted_join
 
@@ -141,39 +142,55 @@ def tour_sums(nodes: DataFrame) -> DataFrame:
     return placed.join(inside, "place").select("conv_id", "depth", "n_children", "n_leaves", "saved_tokens")
 
 
+def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in names))
+
+
+def in_batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of numbers that end in a text, as batches of about a megabyte."""
+    held, size = [], 0
+    for row in itertools.chain(rows, [None]):
+        if row is not None:
+            held.append(row)
+            size += 40 + len(row[-1])
+        if held and (row is None or size >= SLICE):
+            *numbers, texts = zip(*held)
+            yield pa.RecordBatch.from_arrays([*(pa.array(n, pa.int64()) for n in numbers), pa.array(texts, pa.string())], names)
+            held, size = [], 0
+
+
 def member_digests(ends: DataFrame) -> DataFrame:
     """(hi, lo, depth, ends_sha256) of the nodes at which members end, given (conv_id, hi, lo, depth)."""
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int64()) for k in (*key, ids[0])), pa.array([",".join(map(str, ids))])], [*KEY, "first", "ids"])
-
+    def strings_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         key, ids = None, []
-        for batch in batches:
-            for conv, *k in zip(*(batch.column(c).to_pylist() for c in ("conv_id", *KEY))):
-                if ids and (k != key or len(ids) == JOINED):
-                    yield row()
-                    ids = []
-                key = k
-                ids.append(conv)
+        for conv, *k in rows:
+            if ids and (k != key or len(ids) == JOINED):
+                yield *key, ids[0], ",".join(map(str, ids))
+                ids = []
+            key = k
+            ids.append(conv)
         if ids:
-            yield row()
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*(pa.array([k], pa.int64()) for k in key), pa.array([state.hexdigest()])], [*KEY, "ends_sha256"])
+            yield *key, ids[0], ",".join(map(str, ids))
 
+    def hashes_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         key, state = None, None
-        for batch in batches:
-            for ids, *k in zip(*(batch.column(c).to_pylist() for c in ("ids", *KEY))):
-                if k != key:
-                    if key is not None:
-                        yield row()
-                    key, state = k, hashlib.sha256(ids.encode())
-                else:
-                    state.update(b"," + ids.encode())
+        for ids, *k in rows:
+            if k == key:
+                state.update(b"," + ids.encode())
+                continue
+            if key is not None:
+                yield *key, state.hexdigest()
+            key, state = k, hashlib.sha256(ids.encode())
         if key is not None:
-            yield row()
+            yield *key, state.hexdigest()
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_batches(strings_of(rows_of(batches, "conv_id", *KEY)), [*KEY, "first", "ids"])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_batches(hashes_of(rows_of(batches, "ids", *KEY)), [*KEY, "ends_sha256"])
 
     kinds = "hi long, lo long, depth long"
     ranged = ends.repartitionByRange(*KEY, "conv_id").sortWithinPartitions(*KEY, "conv_id")
