@@ -1,11 +1,14 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from aislewise.llm import nbsvm
 from aislewise.llm.queries import QUERIES
+from tests.llm.plain import curve, hinge
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, score double"
@@ -50,6 +53,42 @@ def test_query_on_the_test_tables(spark):
     assert np.mean([r.predicted == truth[r.doc_id] for r in rows if r.held_out and r.doc_id in truth]) > 0.9
 
 
+def test_scores_equal_a_plain_version(spark):
+    docs, labels = made(150, seed=4)
+    df, lab = frames(spark, docs, labels)
+    got = {r.doc_id: r.score for r in nbsvm.report(df, lab).collect()}
+    truth = {d: q for d, q, _ in labels}
+    held = {d: {int(x) for x in nbsvm.features(t.encode(), ({}, {}))} for d, t in docs}
+    train = [d for d in held if not held_out(d)]
+    n = Counter(truth[d] for d in train)
+    counts = {y: Counter(x for d in train if truth[d] == y for x in held[d]) for y in (0, 1)}
+
+    def ratio(x):
+        zero, one = ((counts[y][x] + 1) / (n[y] + 2) for y in (0, 1))
+        return math.log(one / zero) if counts[0][x] or counts[1][x] else 0.0
+
+    def vector(d):
+        v = {x: ratio(x) for x in held[d]}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {k: x / norm for k, x in v.items()} if norm else v
+
+    hashes = {r.doc_id: r.h for r in df.selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    sample = [d for y in (0, 1) for d in sorted((d for d in train if truth[d] == y), key=lambda d: hashes[d])]
+    rows, y = [vector(d) for d in sample], np.array([1 if truth[d] else -1 for d in sample])
+    cost = nbsvm.COST * 0.5 * len(y) / np.where(y > 0, (y > 0).sum(), (y < 0).sum())
+    fold, margins = np.arange(len(y)) % 3, np.zeros(len(y))
+    for k in range(3):
+        seen = np.flatnonzero(fold != k)
+        w = hinge([rows[i] for i in seen], y[seen], cost[seen], nbsvm.EPOCHS)
+        for i in np.flatnonzero(fold == k):
+            margins[i] = sum(w.get(x, 0.0) * v for x, v in rows[i].items()) + w["constant"]
+    slope, offset = curve(margins, y, np.ones(len(y)))
+    w = hinge(rows, y, cost, nbsvm.EPOCHS)
+    for d, _ in docs:
+        m = sum(w.get(x, 0.0) * v for x, v in vector(d).items()) + w["constant"]
+        assert abs(got[d] - 1 / (1 + math.exp(-(slope * m + offset)))) < 1e-4, d
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     docs, labels = made(120)
     turned = [(d, 1 - q if held_out(d) else q, s) for d, q, s in labels]
