@@ -22,6 +22,7 @@ without training rows of both classes has a constant probability. Each row gives
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,26 +36,28 @@ from aislewise.llm.common import raw_bytes, slices, written
 from aislewise.llm.fmindex import split_words
 from aislewise.llm.nbsvm import fit_curve, held_out, pack, possibly_labelled, unpack
 
-BITS = 20  # of a feature's number
+BITS = 18  # of a feature's number
 SIZE = 1 << BITS
 STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that count as features of their own, as endings vary
-SAMPLE = 6_000
-SAMPLE_BYTES = 128 << 20  # of a class
+SAMPLE = 4_000
+SAMPLE_BYTES = 24 << 20  # of a class, 4 a feature
 FOLDS = 3
 KINDS = 2
 TELLING = 3.0  # standard errors of a feature that groups rows
 COST = 1.0
 EPOCHS = 10
-REMEMBERED = 50_000
+REMEMBERED = 100_000
 THRESHOLD = 0.5
 
 Row = tuple[np.ndarray, np.ndarray]  # feature numbers and values
+number, SHIFT = xxhash.xxh32_intdigest, 32 - BITS
+FORMATS = [f"<{n}I" for n in range(len(STEMS) + 2)]
 
 
 def word_numbers(word: bytes) -> bytes:
     """The numbers of a word and of its beginnings."""
-    parts = [word, *(b"^" + word[:n] for n in STEMS if len(word) >= n)]
-    return np.array([xxhash.xxh32_intdigest(p) >> (32 - BITS) for p in parts], dtype="<u4").tobytes()
+    found = [number(word) >> SHIFT, *(number(b"^" + word[:n]) >> SHIFT for n in STEMS if len(word) >= n)]
+    return struct.pack(FORMATS[len(found)], *found)
 
 
 def numbers(text: bytes, known: dict[bytes, bytes]) -> np.ndarray:
@@ -114,9 +117,9 @@ def standard_errors(counts: np.ndarray) -> np.ndarray:
 
 
 def scaled(at: np.ndarray, scale: np.ndarray) -> Row:
-    value = scale[at].astype(float)
-    norm = np.sqrt((value**2).sum())
-    return at, value / norm if norm else value
+    value = scale[at]
+    norm = np.sqrt((value.astype(float) ** 2).sum())
+    return at, value / np.float32(norm) if norm else value
 
 
 def sampled(rows: DataFrame, y: str, label: int) -> list:
@@ -255,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, categories: Sequence[str
     counts = class_counts(rows, last)
     scale = standard_errors(counts).astype(np.float32)
     sample = [r for k in (0, 1) for r in sampled(rows, last, k)]
-    x = [scaled(unpack(r.features), scale) for r in sample]
+    x = [scaled(unpack(r.features).astype(np.int32), scale) for r in sample]
     y = np.array([[r[f"y{k}"] for k in range(len(columns))] for r in sample], dtype=float).reshape(len(sample), len(columns))
     toxic = y[:, -1]
     if not categories:
