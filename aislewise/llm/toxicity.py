@@ -12,7 +12,7 @@ Features are words and word beginnings, hashed to ``BITS`` bits. Spark counts ov
 texts of each class a feature stands; its weight in a row's vector is the number of standard errors that its log odds ratio is
 from zero, and vectors have length 1. No feature is left out. The linear models (hinge loss, dual coordinate descent) and the
 logistic curves that make probabilities of their margins are fitted on the driver on a sample of each class: the rows with the smallest
-hash of their id, at most ``SAMPLE`` of them and ``SAMPLE_BYTES`` of features, weighted to stand for all rows. Scoring reads every text
+hash of id and features, at most ``SAMPLE`` of them and ``SAMPLE_BYTES`` of features, weighted to stand for all rows. Scoring reads every text
 once. Of all texts, only those whose id may be labelled (a bitmap of fixed size says) give their words to the training.
 
 Defined results: a label that is null, not 0 or 1, or differs between rows of one id, is not used. Rows whose crc32 of
@@ -123,11 +123,19 @@ def scaled(at: np.ndarray, scale: np.ndarray) -> Row:
 
 
 def sampled(rows: DataFrame, y: str, label: int) -> list:
-    """The sample of one class: rows in the order of their hash, until either bound is met."""
-    own = rows.where(F.col(y) == label).orderBy(F.xxhash64("doc_id"), "doc_id", "features")
-    sizes = [r.n for r in own.select(F.octet_length("features").alias("n")).limit(SAMPLE).collect()]
-    fits = int((np.cumsum([0, *sizes[:-1]]) < SAMPLE_BYTES).sum()) if sizes else 0
-    return own.limit(fits).collect()
+    """The sample of one class: rows in the order of a hash of id and features, until either bound is met.
+
+    The bounds are found from hashes and sizes alone, so that only the sample itself is sent. Rows of one hash are equal.
+    """
+    own = rows.where(F.col(y) == label).withColumn("hash", F.xxhash64("doc_id", "features"))
+    sizes = own.select("hash", F.octet_length("features").alias("n")).orderBy("hash").limit(SAMPLE).collect()
+    if not sizes:
+        return []
+    fits = int((np.cumsum([0, *(r.n for r in sizes[:-1])]) < SAMPLE_BYTES).sum())
+    last = sizes[fits - 1]["hash"]
+    before = own.where(F.col("hash") < last).collect()
+    at_last = own.where(F.col("hash") == last).limit(fits - len(before)).collect()
+    return sorted(before + at_last, key=lambda r: r["hash"])
 
 
 def grouped(rows: list[Row], scale: np.ndarray, kinds: int) -> np.ndarray:

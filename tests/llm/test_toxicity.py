@@ -84,7 +84,9 @@ def test_scores_equal_a_plain_version(spark):
     df, lab = frames(spark, docs, labels)
     got = {r.doc_id: (r.p_kind_1, r.p_kind_2, r.p_toxic) for r in toxicity.report(df, lab).collect()}
     train, truth, texts, z, vector = plain(docs, labels)
-    hashes = {r.doc_id: r.h for r in df.selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    packed = [(d, pack(toxicity.numbers(t.encode(), {}))) for d, t in docs]
+    hashed = spark.createDataFrame(packed, "doc_id long, features binary").selectExpr("doc_id", "xxhash64(doc_id, features) AS h")
+    hashes = {r.doc_id: r.h for r in hashed.collect()}
     sample = [d for y in (0, 1) for d in sorted((d for d in train if truth[d] == y), key=lambda d: hashes[d])]
     rows = [vector(d) for d in sample]
     strong = [{x: z(x) for x in texts[d] if z(x) >= toxicity.TELLING} for d in sample if truth[d]]
@@ -192,3 +194,5 @@ def test_sample_is_bounded_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 100)
     rows = spark.createDataFrame([(i, bytes(40), 1) for i in range(20)], "doc_id long, features binary, y0 int")
     assert len(toxicity.sampled(rows, "y0", 1)) == 3 and toxicity.sampled(rows, "y0", 0) == []
+    repeated = spark.createDataFrame([(7, bytes(40), 1)] * 50, "doc_id long, features binary, y0 int")
+    assert len(toxicity.sampled(repeated, "y0", 1)) == 3
