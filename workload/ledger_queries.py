@@ -205,10 +205,15 @@ SELECT business_date, store_id, count(*) AS slots, min(h) AS first_hash, max(h)
 FROM hashes GROUP BY ALL""",
 )
 def audit_hash(spark, sf_dir):
-    """A digest of every position and slot, reported per store and day."""
-    hashes = L.audit_hashes(L.slot_fabric(positions(spark, sf_dir), SETTINGS), SETTINGS)
-    return hashes.groupBy("business_date", "store_id").agg(
-        F.count(F.lit(1)).alias("slots"), F.min("audit_hash").alias("first_hash"), F.max("audit_hash").alias("last_hash")
+    """A digest of every position and slot, reported per store and day. A position's digests are reduced in its own row: Spark
+    sorts rows to find the least text of a group, and the slots are hundreds of times more rows than the positions."""
+    hashes = L.audit_hashes(L.slot_fabric(positions(spark, sf_dir), SETTINGS, nested=True), SETTINGS)
+    ends = hashes.select(
+        "business_date", "store_id", F.size("audit_hash").alias("n"), F.array_min("audit_hash").alias("least"), F.array_max("audit_hash").alias("most")
+    )
+    # Dealt out first: otherwise the sort below the aggregation would hold the arrays.
+    return ends.repartition("business_date", "store_id").groupBy("business_date", "store_id").agg(
+        F.sum("n").alias("slots"), F.min("least").alias("first_hash"), F.max("most").alias("last_hash")
     )
 
 
