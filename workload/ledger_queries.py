@@ -91,13 +91,14 @@ ledger AS (
 LEDGER_SQL = f"WITH {LEDGER_CTE} SELECT * FROM ledger"
 
 
-def positions(spark, sf_dir):
+def positions(spark, sf_dir, per_task=None):
     silver = L.silver_sales(V.bronze_events(spark, sf_dir), SETTINGS)
-    return L.positions(V.inventory(spark, sf_dir), V.stores(spark, sf_dir), silver)
+    return L.positions(V.inventory(spark, sf_dir), V.stores(spark, sf_dir), silver, per_task)
 
 
 def ledger(spark, sf_dir, form="closed"):
-    return L.ledger(positions(spark, sf_dir), SETTINGS, form)
+    per_task = L.window_positions(SETTINGS) if form == "window" else None
+    return L.ledger(positions(spark, sf_dir, per_task), SETTINGS, form)
 
 
 @query("position_grid", f"WITH {POSITIONS_SQL} SELECT * FROM positions")
