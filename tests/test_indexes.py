@@ -108,3 +108,23 @@ def test_sketches_of_days_merge(spark, tmp_path):
     assert {r.column_name: r.n_rows for r in once} == {c: 20_000 for c in names}
     some = sketches.stored(spark, path, F.lit(5))
     assert sketches.profile(some).first().n_rows == df.where("day >= 5").count()
+
+
+def test_texts_are_dealt_to_a_given_number_of_tasks(spark, tmp_path):
+    """Adaptive execution would join partitions by the texts' size, and words of chunks are many times larger."""
+    from workload import views
+
+    spark.createDataFrame([(n, "some words") for n in range(20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts = views.texts(spark, str(tmp_path), "documents", "doc_id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert texts.rdd.getNumPartitions() == parts and texts.count() == 20
+
+
+def test_phrases_join_postings_of_their_words_only(spark):
+    chunks = spark.createDataFrame([(1, 0, "red apple pie and tea"), (2, 0, "green apple pie")], "doc_id long, chunk_index long, chunk_content string")
+    index = postings.build(chunks, "doc_id")
+    asked = spark.createDataFrame([(7, ["apple", "pie"]), (8, ["pie", "and", "tea"])], "query_id long, words array<string>")
+    found = postings.match_phrases(asked, index)
+    assert sorted(map(tuple, found.collect())) == [(7, 1, 0), (7, 2, 0), (8, 1, 0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2, "both lookups in the postings read the asked words only"
