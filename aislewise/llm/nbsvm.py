@@ -19,7 +19,8 @@ Every row gives one row, repeated rows included.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from copy import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -144,12 +145,47 @@ def class_counts(rows: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(c[at]) for c in counts)], ["feature", "zero", "one"])
 
     parts = rows.select("features", "y").mapInArrow(work, "feature long, zero long, one long")
-    total = parts.groupBy("feature").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).toPandas()
+    total = parts.groupBy("feature").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).toArrow()
     out = np.zeros((2, SIZE + 1))
-    out[:, total["feature"].to_numpy(dtype=int)] = total[["zero", "one"]].to_numpy(dtype=float).T
+    for y, column in enumerate(("zero", "one")):
+        out[y, total["feature"].to_numpy()] = total[column].to_numpy()
     return out
 
 
+def sampled(rows: DataFrame, y: int) -> DataFrame:
+    """The ``SAMPLE`` rows of one class with the smallest hashes of their ids, in order.
+
+    The last hash is found first, without features: otherwise every task would send so many rows to the driver.
+    """
+    own = rows.where(F.col("y") == y).withColumn("hash", F.xxhash64("doc_id"))
+    last = own.select("hash").orderBy("hash").limit(SAMPLE).agg(F.max("hash")).first()[0]
+    return own.where(F.col("hash") <= F.lit(last)).orderBy("hash", "doc_id", "features").limit(SAMPLE).select("features")
+
+
+class Sample(Sequence):
+    """Rows as (feature numbers, values). The numbers lie in one array; values, twice as large, are made when a row is read."""
+
+    def __init__(self, packed: list[bytes], ratios: np.ndarray):
+        self.ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+        self.numbers = np.empty(self.ends[-1], dtype=np.uint32)
+        for i, p in enumerate(packed):
+            self.numbers[self.ends[i] : self.ends[i + 1]] = unpack(p)
+        self.ratios, self.chosen = ratios, np.arange(len(packed))
+
+    def of(self, chosen: np.ndarray) -> Sample:
+        """The rows with these numbers; nothing is copied."""
+        out = copy(self)
+        out.chosen = self.chosen[chosen]
+        return out
+
+    def __len__(self) -> int:
+        return len(self.chosen)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        k = self.chosen[i]
+        return scaled(self.numbers[self.ends[k] : self.ends[k + 1]], self.ratios)
+
+
 def log_count_ratios(counts: np.ndarray) -> np.ndarray:
     """Log of the ratio of the smoothed rates in class 1 and class 0; features without a row get 0."""
     zero, one = ((c[:SIZE] + SMOOTHING) / (c[SIZE] + 2 * SMOOTHING) for c in counts)
@@ -163,7 +199,7 @@ def scaled(at: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, value / norm if norm else value
 
 
-def fit_hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray) -> np.ndarray:
+def fit_hinge(rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Weights, the last one constant, of the hinge loss by dual coordinate descent: each step solves for one row's
     multiplier, kept between 0 and its cost, and moves the weights along the row."""
     w = np.zeros(SIZE + 1)
@@ -224,10 +260,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
         share = (one + 1e-9) / (zero + one + 2e-9)
         return Model(np.zeros(SIZE), np.zeros(SIZE + 1), 0.0, float(np.log(share / (1 - share))))
     ratios = log_count_ratios(counts)
-    order = (F.xxhash64("doc_id"), "doc_id", "features")
-    sample = [r for y in (0, 1) for r in rows.where(F.col("y") == y).orderBy(*order).limit(SAMPLE).collect()]
-    x = [scaled(unpack(r.features), ratios) for r in sample]
-    y = np.array([1.0 if r.y else -1.0 for r in sample])
+    classes = [[r.features for r in sampled(rows, y).collect()] for y in (0, 1)]
+    y = np.repeat([-1.0, 1.0], [len(c) for c in classes])
+    x = Sample(classes.pop(0) + classes.pop(), ratios)
     # Each sampled row stands for as many rows of its class as all its class has to the sample.
     weight = np.where(y > 0, one / (y > 0).sum(), zero / (y < 0).sum())
     cost = COST * np.where(y > 0, 0.5 * len(y) / (y > 0).sum(), 0.5 * len(y) / (y < 0).sum())
@@ -235,8 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str) -> Model:
     margins = np.zeros(len(y))
     for k in range(3):
         seen = np.flatnonzero(fold != k)
-        w = fit_hinge([x[i] for i in seen], y[seen], cost[seen])
-        margins[fold == k] = [w[x[i][0]] @ x[i][1] + w[SIZE] for i in np.flatnonzero(fold == k)]
+        w = fit_hinge(x.of(seen), y[seen], cost[seen])
+        margins[fold == k] = [w[at] @ value + w[SIZE] for at, value in x.of(np.flatnonzero(fold == k))]
     return Model(ratios, fit_hinge(x, y, cost), *fit_curve(margins, y, weight))
 
 

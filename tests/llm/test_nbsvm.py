@@ -164,3 +164,23 @@ def test_keep(spark):
     assert nbsvm.keep(df, lab).columns == df.columns
     good = {d for d, q, _ in labels if q}
     assert len(kept & good) > 0.97 * len(good) and len(kept - good) < 0.05 * len(good)
+
+
+def test_only_the_sample_is_sent_and_held(spark, monkeypatch):
+    """The driver gets no more rows than the sample, and holds 4 bytes a feature; values are made as rows are read."""
+    monkeypatch.setattr(nbsvm, "SAMPLE", 20)
+    numbers = [np.unique(np.random.default_rng(i).integers(0, nbsvm.SIZE, 40)) for i in range(300)]
+    table = [(i % 200, nbsvm.pack(f), i % 2) for i, f in enumerate(numbers)]
+    rows = spark.createDataFrame(table, "doc_id long, features binary, y int").repartition(7)
+    first = spark.createDataFrame(table, "doc_id long, features binary, y int").where("y = 1")
+    wanted = [r.features for r in first.orderBy(*map(nbsvm.F.expr, ("xxhash64(doc_id)", "doc_id", "features"))).limit(20).collect()]
+    taken = nbsvm.sampled(rows, 1)
+    assert [bytes(r.features) for r in taken.collect()] == wanted
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "<=" in plan
+    ratios = np.random.default_rng(0).normal(size=nbsvm.SIZE)
+    held = nbsvm.Sample(wanted, ratios)
+    assert held.numbers.nbytes == sum(map(len, wanted))
+    for i, (at, value) in enumerate(held.of(np.arange(5, 20))):
+        numbers, values = nbsvm.scaled(nbsvm.unpack(wanted[i + 5]), ratios)
+        assert (at == numbers).all() and (value == values).all()
