@@ -114,3 +114,25 @@ def test_recall_flag_is_three_valued(g):
     assert view["tx3"].supplier_risk_category == "MODERATE_RISK"
     ledger = G.dispatch(G.recall_360(g, g.nodes["Store"].table), F.lit("b1")).collect()
     assert [r.transaction_id for r in ledger] == ["tx4", "tx1"]
+
+
+def test_right_ends_first(spark):
+    """The same rows; the columns of the wide left side are not carried through the join with the right ends."""
+    left = spark.createDataFrame([(1, "x"), (2, "y")], "k int, wide string")
+    edge = spark.createDataFrame([(1, 1, 7), (2, 1, 8), (3, 2, 7), (4, None, 7), (5, 2, None)], "e int, src int, dst int")
+    right = spark.createDataFrame([(7, "u"), (8, "v"), (9, "w")], "k int, name string")
+    g = G.PropertyGraph({"L": G.Nodes(left, "k"), "R": G.Nodes(right, "k")}, {"E": G.Edges(edge, "e", ("src", "L"), ("dst", "R"))})
+    step = lambda first: g.step(g.node("L", "l"), "l", "E", "e", g.node("R", "r"), "r", right_first=first)
+    assert step(True).columns == step(False).columns
+    assert sorted(step(True).collect()) == sorted(step(False).collect()) and step(True).count() == 3
+    top = lambda df: df._jdf.queryExecution().analyzed().children().apply(0).nodeName()
+    assert (top(step(False)), top(step(True))) == ("Join", "Project")
+
+
+def test_lots_are_told_apart_by_their_numbers(spark):
+    """The text of a lot's id is made after its rows are brought together, so it is not shuffled for that."""
+    from workload.graph_queries import recall_graph
+
+    lots = recall_graph(spark, "/root/testdata/sf0.001").nodes["BatchLot"].table
+    line = next(x for x in lots._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in x)
+    assert "l_partkey" in line and "l_suppkey" in line and "batch_id" not in line

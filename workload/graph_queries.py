@@ -24,11 +24,11 @@ def recall_graph(spark, sf_dir) -> G.PropertyGraph:
         (F.pmod(F.col("s_suppkey"), F.lit(3)) == 0).alias("certified"),
     )
     lots = (
-        line.select("l_partkey", "l_suppkey", lot_key.alias("batch_id"))
+        line.select("l_partkey", "l_suppkey")
         .distinct()
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            "batch_id",
+            lot_key.alias("batch_id"),
             F.col("l_partkey").alias("item_id"),
             F.col("p_name").alias("item_name"),
             F.col("l_suppkey").alias("supplier_id"),
