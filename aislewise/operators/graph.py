@@ -137,6 +137,7 @@ def walks(
     ``start`` and ``ends`` have a column ``id``; ``edges`` has ``edge_id``, ``src`` and ``dst``. One row
     per walk, nodes and edges may repeat. Each hop is one equi join with the edges that can still lead to an end in the hops
     left, so a walk that is carried on is part of a result. Long walks over dense graphs should cut the plan at each hop.
+    An edge becomes JSON once, before the joins; where only the text is asked for, no array is built.
     """
     link = F.struct(F.col("src"), F.col("edge_id"), F.col("dst"))
     later = edges if onward is None else onward
@@ -144,25 +145,36 @@ def walks(
 
     def hop(taken: DataFrame, walked: int) -> DataFrame:
         useful = live[walked - 1].withColumnRenamed("id", "dst")
-        return taken.join(useful, "dst", "left_semi").select("src", "dst", link.alias("link"))
+        return taken.join(useful, "dst", "left_semi").select("src", "dst", link.alias("link"), F.to_json(link).alias("text"))
 
     frontier = start.select("id").join(hop(edges, 1), F.col("id") == F.col("src")).select(
-        F.col("id").alias("start_id"), F.col("dst").alias("end_id"), F.array("link").alias("path")
+        F.col("id").alias("start_id"), F.col("dst").alias("end_id"), F.array("link").alias("path"), F.col("text").alias("steps")
     )
     last = ends.select(F.col("id").alias("end_id")).distinct()
     found = []
     for length in range(1, high + 1):
         if length > 1:
             frontier = frontier.join(hop(later, length), F.col("end_id") == F.col("src")).select(
-                "start_id", F.col("dst").alias("end_id"), F.concat("path", F.array("link")).alias("path")
+                "start_id",
+                F.col("dst").alias("end_id"),
+                F.concat("path", F.array("link")).alias("path"),
+                F.concat("steps", F.lit(","), "text").alias("steps"),
             )
         if checkpoint and length > 1:
             frontier = cut_lineage(frontier)
         if length >= low:
             # At the last length, all that is left are ends.
-            found.append(frontier if length == high else frontier.join(last, "end_id", "left_semi").select("start_id", "end_id", "path"))
-    every = reduce(DataFrame.unionByName, found)
-    return every.withColumn("hops", F.size("path")).withColumn("path_json", F.to_json("path"))
+            done = frontier if length == high else frontier.join(last, "end_id", "left_semi")
+            found.append(
+                done.select(
+                    "start_id",
+                    "end_id",
+                    "path",
+                    F.lit(length).alias("hops"),
+                    F.concat(F.lit("["), "steps", F.lit("]")).alias("path_json"),
+                )
+            )
+    return reduce(DataFrame.unionByName, found)
 
 
 def walk_counts(start: DataFrame, edges: DataFrame, ends: DataFrame, low: int, high: int, *, onward: DataFrame | None = None) -> DataFrame:

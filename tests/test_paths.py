@@ -47,3 +47,14 @@ def test_dead_ends_are_not_walked(spark):
     first = e.join(graph.reaching(t, e, e, 3, 3)[0].withColumnRenamed("id", "dst"), "dst", "left_semi")
     assert first.where(F.col("src") == 0).count() == 1
     assert [r.path_json.count("edge_id") for r in graph.walks(s, e, t, 3, 3).collect()] == [3]
+
+
+def test_path_text_without_arrays(spark):
+    """The text is that of the path, and asked for alone it comes from text, not from arrays made for every walk."""
+    edges = [(1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 2, 3), (None, 3, 3)]
+    found = graph.walks(*(frames(spark, [0], edges, edges, [1, 3])[k] for k in (0, 1, 3)), 1, 3)
+    rows = found.select("hops", "path_json", F.to_json("path").alias("text"), F.size("path").alias("n")).collect()
+    assert sorted(r.hops for r in rows) == [1, 2, 2, 3, 3]
+    assert all(r.path_json == r.text and r.hops == r.n for r in rows)
+    plan = found.drop("path")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array(" not in plan
