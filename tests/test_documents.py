@@ -245,3 +245,29 @@ def test_a_task_gives_out_its_best_rows_once(spark, monkeypatch):
     distance = np.round(1 - S._unit_rows(asked) @ S._unit_rows(vectors).T, S.RANK_DIGITS)
     want = [(q, d, i) for q in range(50) for d, i in sorted((d, i) for i, d in enumerate(distance[q]) if np.isfinite(d))[:3]]
     assert len(rows) == 150 and sorted(rows) == want
+
+
+def test_a_search_task_holds_few_cells_at_once():
+    """Memory of a task that ranks one full batch: bounded by the cells of a product, whatever the batch."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw = np.random.default_rng(2)
+    rows, width = 6_000, 16
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(draw.random(rows * width)))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(rows)), vectors], ["k", "v"])
+    matrix = S._unit_rows(draw.random((1_000, width)))
+    run = S._scorer(pa.array(np.arange(1_000)), matrix, ["k"], "v", 3)
+    tracemalloc.start()
+    found = pa.Table.from_batches(list(run(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 3_000 and peak < 60 << 20
+    exact = np.round(1.0 - matrix @ S._unit_rows(np.array(vectors.to_pylist())).T, S.RANK_DIGITS)
+    best = {q: sorted(zip(d.tolist(), range(rows)))[:3] for q, d in enumerate(exact)}
+    got = {}
+    for r in found.to_pylist():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["k"]))
+    assert {q: [k for _, k in sorted(x)] for q, x in got.items()} == {q: [k for _, k in x] for q, x in best.items()}
