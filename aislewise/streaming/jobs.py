@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from aislewise.functions.keys import salt_bucket
+from aislewise.functions.keys import SALT_BUCKETS, salt_bucket
 from aislewise.operators.dedup import latest_per_key
 from aislewise.sources.streams import table_changes
 from aislewise.streaming import events, scoring, windows
@@ -36,11 +36,26 @@ class Lake:
         return f"{self.root.rstrip('/')}/_checkpoints/{job}"
 
 
+def _gathered(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Few files per partition, and several tasks for one that is large.
+
+    Spark plans the batches of stateful streams without adaptive execution. There it drops the hint without a word, and
+    every task would write a file into every partition. So rows are dealt out by their values, the same way when a batch
+    runs again: a partition gets a salt bucket's share of the tasks.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    share = -(-int(conf.get("spark.sql.shuffle.partitions")) // SALT_BUCKETS)
+    # Maps and variants have no hash.
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    return df.repartition(*partition_by, F.pmod(F.xxhash64(*hashed), F.lit(share)))
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     stamped = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
     if partition_by:
-        # Few files per partition, and several tasks for one that is large.
-        stamped = stamped.hint("rebalance", *[F.col(c) for c in partition_by])
+        stamped = _gathered(stamped, partition_by)
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -53,6 +68,24 @@ def _run(writer, trigger: dict) -> StreamingQuery:
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def run_with(spark: SparkSession, writer, trigger: dict | None, settings: dict[str, str]) -> StreamingQuery:
+    """Starts a query under settings of its own; the session keeps its settings."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return _run(writer, trigger)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Two tasks a core, no more than the session's shuffles have. Each state partition costs its files in every batch,
+    however few rows it holds, and a query keeps the number that its first run had."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def ingest(raw: DataFrame, lake: Lake, trigger: dict | None = None) -> StreamingQuery:
     """Raw JSON to the silver table by business date, and what cannot be read to the dead-letter table."""
 
@@ -136,15 +169,18 @@ def cashier_watch(
     return _run(writer, trigger)
 
 
-def hourly_watch(silver: DataFrame, lake: Lake, late_by: str = events.LATE_BY, trigger: dict | None = None) -> StreamingQuery:
-    """Cashier metrics of each whole hour under its serving key, once the watermark has passed the hour's end."""
+def hourly_watch(
+    silver: DataFrame, lake: Lake, late_by: str = events.LATE_BY, trigger: dict | None = None, partitions: int | None = None
+) -> StreamingQuery:
+    """Cashier metrics of each whole hour under its serving key, once the watermark has passed the hour's end.
+    ``partitions`` are those of the state; without it, as many as the session's shuffles have."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch.withColumn("salt", salt_bucket(F.col("cashier_id"))), lake.path("hourly"), batch_id, ("salt",))
 
     hours = windows.hourly_metrics(events.once(silver, late_by))
     writer = hours.writeStream.outputMode("append").foreachBatch(emit).option("checkpointLocation", lake.checkpoint("hourly"))
-    return _run(writer, trigger)
+    return run_with(silver.sparkSession, writer, trigger, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
 
 
 def order_watch(

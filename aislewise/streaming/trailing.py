@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from aislewise.functions.keys import salt_bucket, serving_key
 from aislewise.streaming import events, scoring
-from aislewise.streaming.jobs import Lake, write_batch
+from aislewise.streaming.jobs import Lake, run_with, write_batch
 from aislewise.streaming.windows import KEYS, PANE_SECONDS, SPAN_SECONDS
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -143,14 +143,7 @@ def started(spark: SparkSession, writer, trigger: dict | None, partitions: int |
     wanted = {"spark.sql.streaming.stateStore.providerClass": STORE}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            spark.conf.set(k, v)
-        return writer.trigger(**(trigger or {"availableNow": True})).start()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return run_with(spark, writer, trigger, wanted)
 
 
 def trailing_watch(

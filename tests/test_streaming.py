@@ -176,6 +176,48 @@ def test_batch_writes_replace_themselves(spark, tmp_path):
     assert spark.read.parquet(path).count() == 8
 
 
+def test_hourly_stream_writes_few_files_a_bucket(spark, tmp_path):
+    source, lake = str(tmp_path / "in"), jobs.Lake(str(tmp_path / "lake"))
+    rows = spark.range(600).select(
+        F.concat(F.lit("t"), "id").alias("transaction_id"), F.timestamp_seconds(F.lit(1773100800) + F.col("id") * 60).alias("event_ts"),
+        F.lit("S").alias("store_id"), F.concat(F.lit("C"), F.col("id") % 40).alias("cashier_id"),
+        F.lit(10).cast("decimal(18,2)").alias("subtotal_amount"), F.col("id").cast("decimal(18,4)").alias("discount_amount"),
+        F.lit(None).cast("string").alias("promo_code_applied"), (F.col("id") % 3 == 0).alias("manual_discount_flag"),
+    )
+    closing = rows.limit(1).withColumn("transaction_id", F.lit("last")).withColumn("event_ts", F.lit(T0 + dt.timedelta(days=9)))
+    for fed in (rows.where("event_ts < '2026-03-10 05:30:00'"), rows.where("event_ts >= '2026-03-10 05:30:00'"), closing):
+        fed.write.mode("append").parquet(source)
+        query = jobs.hourly_watch(streams.table_changes(spark, source, rows.schema), lake, partitions=3)
+        query.awaitTermination()
+        state = [s for p in query.recentProgress for s in p["stateOperators"]]
+        assert state and {s["numShufflePartitions"] for s in state} == {3}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    got = spark.read.parquet(lake.path("hourly")).drop("salt", "batch_id")
+    want = windows.hourly_metrics(rows)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    files = [p.parent for p in (tmp_path / "lake" / "hourly").rglob("*.parquet")]
+    assert len(files) == len(set(files))
+
+
+def test_batch_partitions_without_adaptive_execution(spark, tmp_path):
+    rows = spark.range(4000, numPartitions=8).select("id", (F.col("id") % 3).alias("day"), F.array("id").alias("items"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for adaptive, partitions, files_a_day in (("false", "4", 1), ("false", "40", 3), ("true", "4", 1)):
+        path = tmp_path / f"{adaptive}_{partitions}"
+        try:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            for _ in range(2):
+                jobs.write_batch(rows, str(path), 0, ("day",))
+        finally:
+            for k, v in kept.items():
+                spark.conf.set(k, v)
+        # A large day is several tasks' work, and no day is a file of every task's.
+        assert [len([*(path / f"day={d}").rglob("*.parquet")]) for d in range(3)] == [files_a_day] * 3
+        assert spark.read.parquet(str(path)).select("id", "day", "items").exceptAll(rows).count() == 0
+        assert spark.read.parquet(str(path)).count() == 4000
+
+
 def test_sources_and_sinks(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     spark.range(5).write.parquet(path)
