@@ -128,3 +128,42 @@ def test_phrases_join_postings_of_their_words_only(spark):
     assert sorted(map(tuple, found.collect())) == [(7, 1, 0), (7, 2, 0), (8, 1, 0)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") >= 2, "both lookups in the postings read the asked words only"
+
+
+def test_postings_of_one_place_are_one_row(spark, tmp_path):
+    rows = [(1, 0, "b a b ERR-NET-1"), (1, 0, "a c err-net-1"), (1, 1, "a"), (None, 0, "a"), (2, 0, None), (3, 0, "")]
+    chunks = spark.createDataFrame(rows, "doc long, chunk_index int, chunk_content string")
+    index = postings.build(chunks, "doc", str(tmp_path / "p"))
+    got = {(r.kind, r.token, r.doc, r.chunk_index): sorted(r.positions) for r in index.entries(spark).collect()}
+    assert got == {
+        ("word", "a", 1, 0): [0, 1], ("word", "b", 1, 0): [0, 2], ("word", "c", 1, 0): [1], ("word", "a", 1, 1): [0],
+        ("word", "a", None, 0): [0], ("word", "err", 1, 0): [2, 3], ("word", "net", 1, 0): [3, 4], ("word", "1", 1, 0): [4, 5],
+        ("code", "err-net-1", 1, 0): [],
+    }
+    held = {(r.kind, r.token): (r.chunks, r.first.doc, r.first.at) for r in index.dictionary(spark).collect()}
+    assert held[("word", "a")] == (3, None, 0) and held[("code", "err-net-1")] == (1, 1, 0)
+    folders = {(r.kind, r.folder, r.token) for r in index.entries(spark).select("kind", "folder", postings.folder_of(F.col("token")).alias("f"), "token").where("f = folder").collect()}
+    assert len(folders) == len({k[:2] for k in got})
+
+
+def joins(df) -> str:
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_few_questions_do_not_shuffle_the_postings(spark, posted):
+    """Their size is known when the lookup is planned, whatever they were computed from."""
+    q = spark.createDataFrame([("c", "what is ERR-PAY-1?"), ("q", "red fox")], "query_id string, query string")
+    found = postings.match_text(q.join(q.select("query_id").distinct(), "query_id"), posted)
+    assert "SortMergeJoin" not in joins(found) and "BroadcastHashJoin" in joins(found)
+    assert {(r.query_id, r.doc, r.chunk_index) for r in found.collect()} == {("q", 0, 0), ("c", 0, 1)}
+
+
+def test_few_matches_do_not_shuffle_the_texts(spark, monkeypatch):
+    chunks = spark.createDataFrame([(k // 2, k % 2, t) for k, t in enumerate(TEXTS)], "doc long, chunk_index long, chunk_content string")
+    matches = spark.createDataFrame([("c", 0, 1), ("d", 1, 0), ("d", 0, 0)], "query_id string, doc long, chunk_index long")
+    few = search.stitch(matches, chunks, "doc", ["query_id", "doc", "chunk_index"])
+    assert "SortMergeJoin" not in joins(few) and "LeftSemi" in joins(few)
+    assert "LeftSemi" in joins(search.of_matches(chunks, matches, "doc")) and search.of_matches(chunks, matches, "doc").count() == 4
+    monkeypatch.setattr(search, "FEW_MATCHES", 2)
+    many = search.stitch(matches, chunks, "doc", ["query_id", "doc", "chunk_index"])
+    assert "LeftSemi" not in joins(many) and sorted(many.collect()) == sorted(few.collect()) and few.count() == 3
