@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +17,8 @@ HIGH_RISK, MODERATE_RISK = 0.75, 0.30
 FLAGGED, PASSED = "FLAGGED_HARMFUL_MATERIAL", "PASSED_CLEAN"
 EXPOSED = ("TRUE", "CONTAMINATED_HARMFUL")
 VIP_TIERS = ("PLATINUM", "GOLD")
+# Nodes of so many bytes are sent to every task.
+SMALL_BYTES = 64 << 20
 
 
 def _long(table: str, counts: DataFrame) -> DataFrame:
@@ -24,10 +27,38 @@ def _long(table: str, counts: DataFrame) -> DataFrame:
     return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*rules)))
 
 
+@dataclass(frozen=True)
+class Slim:
+    """The columns that a table's own are computed from. Joins of whole tables move these only; ``made`` computes the others after
+    the last join: it is given a function from a column's name to the column, and gives the table's columns by name.
+
+    ``keys`` names the columns that stand for a key of the table: two rows have the same key where these are equal, and none where
+    one of them is NULL. Both ends of an edge list theirs in the same order. ``head`` is a table of what many edges share, such as
+    the order of its lines, with the column of the edges and its own that meet; it holds their targets."""
+
+    table: DataFrame
+    made: Callable[[Callable[[str], Column]], dict[str, Column]]
+    keys: dict[str, tuple[str, ...]]
+    head: tuple[DataFrame, str, str] | None = None
+
+    def full(self) -> DataFrame:
+        rows = self.table
+        if self.head:
+            shared, at, key = self.head
+            rows = rows.join(shared, F.col(at) == F.col(key))
+        return rows.select(*[c.alias(name) for name, c in self.made(F.col).items()])
+
+
+def _slim(part: Nodes | Edges) -> Slim:
+    """A table without a slim form is its own."""
+    return part.slim or Slim(part.table, lambda c: {name: c(name) for name in part.table.columns}, {})
+
+
 @dataclass(frozen=True)
 class Nodes:
     table: DataFrame
     key: str
+    slim: Slim | None = None
 
 
 @dataclass(frozen=True)
@@ -38,6 +69,7 @@ class Edges:
     key: str
     source: tuple[str, str]
     target: tuple[str, str]
+    slim: Slim | None = None
 
 
 @dataclass(frozen=True)
@@ -225,6 +257,56 @@ def sales_of_lots(g: PropertyGraph, supplier: Column | None = None, lot: Column
     return g.step(made, "lot", "PURCHASED_LOT_BY_CUSTOMER", "sale", cust, "cust", right_first=supplier is None and lot is None)
 
 
+def sales_of_all_lots(g: PropertyGraph, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The rows and columns of ``sales_of_lots`` without a filter, for results that are wanted whole.
+
+    Joins move slim columns, and the tables' own are computed after the last of them; a filter on those would not reach the scans.
+    Customers meet the heads of sales, where there are any, and these the sales of lots last. Suppliers, where they are measured to
+    be small, are sent to every task at the end, so neither are edges dealt out by supplier nor do suppliers' columns travel."""
+    parts = {
+        "sup": g.nodes["Supplier"], "made": g.edges["PRODUCED_BATCH"], "lot": g.nodes["BatchLot"],
+        "sale": g.edges["PURCHASED_LOT_BY_CUSTOMER"], "cust": g.nodes["Customer"],
+    }
+    slim = {p: _slim(part) for p, part in parts.items()}
+    named = lambda p, df: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
+    moved = {p: named(p, s.table) for p, s in slim.items()}
+    heads = {p: named(p, s.head[0]) for p, s in slim.items() if s.head}
+    types = dict(pair for df in [*moved.values(), *heads.values()] for pair in df.dtypes)
+    equal: dict[str, str] = {}  # what a join makes equal is carried on once
+
+    def own(p: str) -> dict[str, Column]:
+        return slim[p].made(lambda c: F.col(equal.get(f"{p}_{c}", f"{p}_{c}")))
+
+    def same(left: str, left_key: str, right: str, right_key: str) -> Column:
+        a, b = slim[left].keys.get(left_key, ()), slim[right].keys.get(right_key, ())
+        if not a or len(a) != len(b):
+            return own(left)[left_key] == slim[right].made(lambda c: F.col(f"{right}_{c}"))[right_key]
+        pairs = [(equal.get(f"{left}_{x}", f"{left}_{x}"), f"{right}_{y}") for x, y in zip(a, b, strict=True)]
+        equal.update({y: x for x, y in pairs if types[x] == types[y]})
+        return reduce(Column.__and__, [F.col(x) == F.col(y) for x, y in pairs])
+
+    made, sale = parts["made"], parts["sale"]
+    few = _bytes(moved["sup"]) <= small_bytes
+    first = moved["made"] if few else moved["sup"].join(moved["made"], same("made", made.source[0], "sup", parts["sup"].key))
+    lots = first.join(moved["lot"], same("made", made.target[0], "lot", parts["lot"].key))
+    bought, to_customer = same("lot", parts["lot"].key, "sale", sale.source[0]), same("sale", sale.target[0], "cust", parts["cust"].key)
+    if slim["sale"].head:
+        _, at, key = slim["sale"].head
+        bought_with = heads["sale"].join(moved["cust"], to_customer)
+        met = lots.join(moved["sale"], bought).join(bought_with, F.col(f"sale_{at}") == F.col(f"sale_{key}"))
+    else:
+        met = lots.join(moved["sale"].join(moved["cust"], to_customer), bought)
+    if few:
+        met = met.join(F.broadcast(moved["sup"]), same("made", made.source[0], "sup", parts["sup"].key))
+    return met.select(*[c.alias(f"{p}_{name}") for p in parts for name, c in own(p).items()])
+
+
+def _bytes(df: DataFrame) -> int:
+    """About as many as the rows take in memory."""
+    row = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    return df.agg(F.sum(reduce(Column.__add__, row))).first()[0] or 0
+
+
 def vip_recall(g: PropertyGraph) -> DataFrame:
     """Loyal customers who hold a suspect lot of a high-risk supplier."""
     hit = sales_of_lots(g, F.col("risk_score") >= HIGH_RISK, None, F.col("loyalty_tier").isin(*VIP_TIERS))
@@ -348,11 +430,12 @@ def supplier_scorecard(g: PropertyGraph) -> DataFrame:
     )
 
 
-def recall_360(g: PropertyGraph, stores: DataFrame) -> DataFrame:
-    """Every sold unit with its lot, supplier, customer, recall flag, risk band and, if known, its store."""
+def recall_360(g: PropertyGraph, stores: DataFrame, whole: bool = False) -> DataFrame:
+    """Every sold unit with its lot, supplier, customer, recall flag, risk band and, if known, its store. ``whole``: the view is
+    wanted as it is, and no filter on it would have to reach the scans."""
     s = stores.select(*[F.col(c).alias(f"s_{c}") for c in ("store_id", "store_name", "city", "country", "region")])
     return (
-        sales_of_lots(g)
+        (sales_of_all_lots(g) if whole else sales_of_lots(g))
         .join(s, F.col("sale_store_id") == F.col("s_store_id"), "left")
         .select(
             F.col("sale_transaction_id").alias("transaction_id"),

@@ -10,68 +10,87 @@ from workload.document_queries import CHUNKS_SQL
 from workload.registry import query
 
 
+def lot_id(c):
+    return F.concat(F.lit("LOT-"), c("l_partkey").cast("string"), F.lit("-"), c("l_suppkey").cast("string"))
+
+
 def recall_graph(spark, sf_dir) -> G.PropertyGraph:
     line, order = V.table(spark, sf_dir, "lineitem"), V.table(spark, sf_dir, "orders")
     part, sup = V.table(spark, sf_dir, "part"), V.table(spark, sf_dir, "supplier")
     nation, cust = V.table(spark, sf_dir, "nation"), V.table(spark, sf_dir, "customer")
-    lot_key = F.concat(F.lit("LOT-"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
-
-    suppliers = sup.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("supplier_id"),
-        F.col("s_name").alias("facility_name"),
-        F.col("n_name").alias("country"),
-        (F.pmod(F.col("s_suppkey") * 37, F.lit(100)) / 100.0).alias("risk_score"),
-        (F.pmod(F.col("s_suppkey"), F.lit(3)) == 0).alias("certified"),
+    lot_parts = ("l_partkey", "l_suppkey")
+
+    suppliers = G.Slim(
+        sup.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name"),
+        lambda c: {
+            "supplier_id": c("s_suppkey"),
+            "facility_name": c("s_name"),
+            "country": c("n_name"),
+            "risk_score": F.pmod(c("s_suppkey") * 37, F.lit(100)) / 100.0,
+            "certified": F.pmod(c("s_suppkey"), F.lit(3)) == 0,
+        },
+        {"supplier_id": ("s_suppkey",)},
     )
-    lots = (
-        line.select("l_partkey", "l_suppkey")
+    # Three-valued: neither is told by NULL.
+    flagged = F.when(F.col("p_type") == "PROMO", True).when(F.col("p_type") == "STANDARD", False)
+    returned = F.when(F.col("l_returnflag") == "R", True).when(F.col("l_returnflag") == "A", False)
+    lots = G.Slim(
+        line.select(*lot_parts)
         .distinct()
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            lot_key.alias("batch_id"),
-            F.col("l_partkey").alias("item_id"),
-            F.col("p_name").alias("item_name"),
-            F.col("l_suppkey").alias("supplier_id"),
-            F.when(F.col("p_type") == "PROMO", G.FLAGGED)
-            .when(F.col("p_type") == "STANDARD", G.PASSED)
-            .otherwise("PENDING")
-            .alias("qa_inspection_status"),
-            F.when(F.col("p_type") == "PROMO", F.col("p_brand")).alias("harmful_material_defect"),
-            F.when(F.col("p_size") <= 5, "FULL_RECALL").when(F.col("p_size") <= 40, "NONE").alias("recall_status"),
-            F.lit("1995-01-01").cast("date").alias("manufacturing_date"),
-        )
+        .select(*lot_parts, "p_name", flagged.alias("flagged"), F.when(flagged, F.col("p_brand")).alias("defect"), "p_size"),
+        lambda c: {
+            "batch_id": lot_id(c),
+            "item_id": c("l_partkey"),
+            "item_name": c("p_name"),
+            "supplier_id": c("l_suppkey"),
+            "qa_inspection_status": F.when(c("flagged"), G.FLAGGED).when(~c("flagged"), G.PASSED).otherwise("PENDING"),
+            "harmful_material_defect": c("defect"),
+            "recall_status": F.when(c("p_size") <= 5, "FULL_RECALL").when(c("p_size") <= 40, "NONE"),
+            "manufacturing_date": F.lit("1995-01-01").cast("date"),
+        },
+        {"batch_id": lot_parts},
     )
-    customers = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", "PLATINUM")
-        .when(F.col("c_mktsegment") == "HOUSEHOLD", "GOLD")
-        .otherwise("SILVER")
-        .alias("loyalty_tier"),
-        F.concat(F.col("c_custkey").cast("string"), F.lit("@mail.example")).alias("email"),
-        F.concat(F.lit("555-"), F.col("c_custkey").cast("string")).alias("phone_number"),
-        F.col("n_name").alias("global_region"),
-        F.col("c_nationkey"),
+    tier = F.when(F.col("c_mktsegment") == "MACHINERY", "PLATINUM").when(F.col("c_mktsegment") == "HOUSEHOLD", "GOLD")
+    customers = G.Slim(
+        cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            "c_custkey", "c_name", tier.otherwise("SILVER").alias("tier"), "n_name"
+        ),
+        lambda c: {
+            "customer_id": c("c_custkey"),
+            "name": c("c_name"),
+            "loyalty_tier": c("tier"),
+            "email": F.concat(c("c_custkey").cast("string"), F.lit("@mail.example")),
+            "phone_number": F.concat(F.lit("555-"), c("c_custkey").cast("string")),
+            "global_region": c("n_name"),
+        },
+        {"customer_id": ("c_custkey",)},
     )
-    produced = lots.select(
-        F.concat(F.lit("P-"), "batch_id").alias("edge_id"),
-        F.col("supplier_id").alias("source_supplier_id"),
-        F.col("batch_id").alias("target_batch_id"),
+    produced = G.Slim(
+        lots.table.select(*lot_parts),
+        lambda c: {
+            "edge_id": F.concat(F.lit("P-"), lot_id(c)),
+            "source_supplier_id": c("l_suppkey"),
+            "target_batch_id": lot_id(c),
+        },
+        {"source_supplier_id": ("l_suppkey",), "target_batch_id": lot_parts},
     )
-    sold = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-    sales = sold.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("edge_id"),
-        lot_key.alias("batch_id"),
-        F.col("o_custkey").alias("target_customer_id"),
-        (F.pmod(F.col("l_orderkey"), F.lit(30))).alias("store_id"),
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("o_orderdate").alias("purchase_timestamp"),
-        F.col("l_linenumber").alias("serial_number"),
-        F.col("l_extendedprice").alias("unit_price_usd"),
-        F.lit("USD").alias("currency"),
-        F.when(F.col("l_returnflag") == "R", "CONTAMINATED_HARMFUL")
-        .when(F.col("l_returnflag") == "A", "FALSE")
-        .alias("exposure_flag"),
+    sales = G.Slim(
+        line.select("l_orderkey", *lot_parts, "l_linenumber", "l_extendedprice", returned.alias("returned")),
+        lambda c: {
+            "edge_id": F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string")),
+            "batch_id": lot_id(c),
+            "target_customer_id": c("o_custkey"),
+            "store_id": F.pmod(c("l_orderkey"), F.lit(30)),
+            "transaction_id": c("l_orderkey"),
+            "purchase_timestamp": c("o_orderdate"),
+            "serial_number": c("l_linenumber"),
+            "unit_price_usd": c("l_extendedprice"),
+            "currency": F.lit("USD"),
+            "exposure_flag": F.when(c("returned"), "CONTAMINATED_HARMFUL").when(~c("returned"), "FALSE"),
+        },
+        {"batch_id": lot_parts, "target_customer_id": ("o_custkey",)},
+        head=(order.select("o_orderkey", "o_custkey", "o_orderdate"), "l_orderkey", "o_orderkey"),
     )
     stores = nation.select(
         F.col("n_nationkey").alias("store_id"),
@@ -80,23 +99,26 @@ def recall_graph(spark, sf_dir) -> G.PropertyGraph:
         F.col("n_name").alias("country"),
         F.col("n_regionkey").cast("string").alias("region"),
     )
+    sold = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
     shipped = (
         sold.join(cust.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(lot_key.alias("src"), F.col("c_nationkey").alias("dst"))
+        .select(lot_id(F.col).alias("src"), F.col("c_nationkey").alias("dst"))
         .distinct()
         .select(F.concat_ws(">", "src", "dst").alias("edge_id"), "src", "dst")
     )
     return G.PropertyGraph(
         {
-            "Supplier": G.Nodes(suppliers, "supplier_id"),
-            "BatchLot": G.Nodes(lots, "batch_id"),
-            "Customer": G.Nodes(customers.drop("c_nationkey"), "customer_id"),
+            "Supplier": G.Nodes(suppliers.full(), "supplier_id", suppliers),
+            "BatchLot": G.Nodes(lots.full(), "batch_id", lots),
+            "Customer": G.Nodes(customers.full(), "customer_id", customers),
             "Store": G.Nodes(stores, "store_id"),
         },
         {
-            "PRODUCED_BATCH": G.Edges(produced, "edge_id", ("source_supplier_id", "Supplier"), ("target_batch_id", "BatchLot")),
+            "PRODUCED_BATCH": G.Edges(
+                produced.full(), "edge_id", ("source_supplier_id", "Supplier"), ("target_batch_id", "BatchLot"), produced
+            ),
             "PURCHASED_LOT_BY_CUSTOMER": G.Edges(
-                sales, "edge_id", ("batch_id", "BatchLot"), ("target_customer_id", "Customer")
+                sales.full(), "edge_id", ("batch_id", "BatchLot"), ("target_customer_id", "Customer"), sales
             ),
             "SHIPPED_TO": G.Edges(shipped, "edge_id", ("src", "BatchLot"), ("dst", "Store")),
         },
@@ -313,14 +335,14 @@ view_360 AS (
 )"""
 
 
-def view_360(spark, sf_dir):
+def view_360(spark, sf_dir, whole=False):
     g = recall_graph(spark, sf_dir)
-    return G.recall_360(g, g.nodes["Store"].table)
+    return G.recall_360(g, g.nodes["Store"].table, whole)
 
 
 @query("recall_360", f"WITH {GRAPH_SQL}, {VIEW_360_SQL} SELECT * FROM view_360")
 def recall_360(spark, sf_dir):
-    return view_360(spark, sf_dir)
+    return view_360(spark, sf_dir, whole=True)
 
 
 LOT_SQL = """
